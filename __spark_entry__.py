@@ -54,9 +54,9 @@ from daysync.sources.tables import read_day_table  # noqa: E402
 import oracle  # noqa: E402
 
 SMOKE = "/root/testdata/sf0.001"
-ID = ["shard", "event_id"]
-EVENT = ["shard", "user_id", "ts", "event_type"]
-SESSION = ["shard", "user_id", "event_type"]
+ID = {"keys": ["event_id"], "within": ["shard"]}
+EVENT = ["user_id", "ts", "event_type"]
+SESSION = ["user_id", "event_type"]
 WINDOW = {"logical_date": snap.LOGICAL_DATE, "lookback": snap.LOOKBACK}
 
 
@@ -151,33 +151,35 @@ def _reported(make: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
 
 
 def dedupe_latest(spark, d):
-    return latest(_sides(spark, d)[0], SESSION, ["ts", "event_id"])
+    return latest(_sides(spark, d)[0], [SHARD, *SESSION], ["ts", "event_id"])
 
 
 def merge_by_id(spark, d):
     source, target = _sides(spark, d)
-    return upsert(target, source, ID)
+    return upsert(target, source, **ID)
 
 
 def merge_composite(spark, d):
     source, target = _sides(spark, d)
-    return upsert(target, source, choose_keys(source.columns, composite=EVENT))
+    return upsert(target, source, choose_keys(source.columns, composite=EVENT), within=[SHARD])
 
 
 def merge_partial_key(spark, d):
     source, target = _sides(spark, d)
     keys = choose_keys(source.columns, composite=[*EVENT, "device"], present_only=True)
-    return upsert(target, source, keys)
+    return upsert(target, source, keys, within=[SHARD])
 
 
 def merge_keep_modified(spark, d):
     source, target = _sides(spark, d)
-    return upsert(target, source, ID, update_columns=["ts", "user_id", "event_type", "value", "props"])
+    return upsert(target, source, **ID, update_columns=["ts", "user_id", "event_type", "value", "props"])
 
 
 def merge_dedup(spark, d):
     source, target = _sides(spark, d)
-    return upsert(target, source, SESSION, on_duplicate="latest", order_by=["ts", "event_id"])
+    return upsert(
+        target, source, SESSION, within=[SHARD], on_duplicate="latest", order_by=["ts", "event_id"]
+    )
 
 
 def merge_fingerprint(spark, d):
@@ -192,18 +194,20 @@ def incremental_rows(spark, d):
 
 def incremental_merge(spark, d):
     source, target = _sides(spark, d)
-    return merge_incremental(target, source, "modified", _all_days(), keys=ID, time_column="ts")
+    return merge_incremental(
+        target, source, "modified", _all_days(), keys=["event_id"], within=[SHARD], time_column="ts"
+    )
 
 
 def evolve_schema(spark, d):
     source, target = _sides(spark, d)
     target = target.drop("props").withColumn("loaded_from", F.concat(F.lit("events_"), SHARD))
-    return upsert(target, source, ID)
+    return upsert(target, source, **ID)
 
 
 def empty_clone_merge(spark, d):
     source, _ = _sides(spark, d)
-    return upsert(empty_clone(source), in_shards(source, [snap.NOT_IN_TARGET], "ts"), ID)
+    return upsert(empty_clone(source), in_shards(source, [snap.NOT_IN_TARGET], "ts"), **ID)
 
 
 def replace_shard(spark, d):

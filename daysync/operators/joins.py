@@ -1,4 +1,4 @@
-"""Equi-joins, and the form of left join the merge operators share."""
+"""Equi-joins, and the form of key comparison the merge operators share."""
 
 from __future__ import annotations
 
@@ -9,28 +9,47 @@ from pyspark.sql import functions as F
 
 from daysync.functions.columns import all_of, col
 
-MATCHED = "__matched"
-_RIGHT_KEY = "__right_key_{}"
+KEY_HASH = "__key_hash"
+_KEY = "__key_{}"
+_VALUE = "__value_{}"
 
 
-def keyed(df: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``df`` as the right side of ``left_match``: renamed keys, a match flag, and ``keep``."""
-    renamed = [col(k).alias(_RIGHT_KEY.format(i)) for i, k in enumerate(keys)]
-    return df.select(*renamed, _key_hash(keys).alias(MATCHED), *[col(c) for c in keep])
+def keyed(df: DataFrame, keys: Sequence[str], values: Sequence[str] = ()) -> DataFrame:
+    """One side of a ``key_match``: keys and values under names no table has.
+
+    ``KEY_HASH`` is never NULL, so after an outer join it tells the matched rows.
+    """
+    return df.select(
+        *[col(k).alias(_KEY.format(i)) for i, k in enumerate(keys)],
+        _key_hash(keys).alias(KEY_HASH),
+        *[col(v).alias(_VALUE.format(i)) for i, v in enumerate(values)],
+    )
+
+
+def value(values: Sequence[str], name: str) -> Column:
+    """The column of a ``keyed`` frame that holds ``name``."""
+    return F.col(_VALUE.format(list(values).index(name)))
+
+
+def unkeyed(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The frame ``keyed`` was made from."""
+    return df.select(
+        *[F.col(_KEY.format(i)).alias(k) for i, k in enumerate(keys)],
+        *[F.col(_VALUE.format(i)).alias(v) for i, v in enumerate(values)],
+    )
 
 
-def left_match(left: DataFrame, right: DataFrame, keys: Sequence[str], *, null_safe: bool = False) -> DataFrame:
-    """Left outer join to a ``keyed`` frame; ``MATCHED`` is NULL where nothing matched.
+def key_match(keys: Sequence[str], *, null_safe: bool = False) -> Column:
+    """Join condition between a table and a ``keyed`` frame.
 
     The hash of the keys is one more join column. Aggregated or deduplicated inputs are
     already partitioned by the keys alone, and Spark would join them in place; with the
     hash they pass an exchange of their own, and adaptive execution can split the part of
     one hot key, which it only does directly above an exchange.
     """
-    pairs = [(col(k), col(_RIGHT_KEY.format(i))) for i, k in enumerate(keys)]
+    pairs = [(col(k), F.col(_KEY.format(i))) for i, k in enumerate(keys)]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    on = all_of([*same, _key_hash(keys) == col(MATCHED)])
-    return left.join(right, on, "left").drop(*[_RIGHT_KEY.format(i) for i in range(len(keys))])
+    return all_of([*same, _key_hash(keys) == F.col(KEY_HASH)])
 
 
 def _key_hash(keys: Sequence[str]) -> Column:

@@ -2,27 +2,29 @@
 
 A merge is not one full outer join: Spark can neither broadcast a side of that nor split a
 hot key in it. It is two left joins on the key, target to source for the rows that stay
-and source to target keys for the rows that are new. The first needs no shuffle of the
-target when the source is small, and both can be split where a key is hot.
+and source to target keys for the rows that are new. Both read the source in one form, so
+its shuffle is shared. The first needs no shuffle of the target when the source is small,
+and both can be split where a key is hot.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daysync.functions.columns import EPOCH, any_of, col
 from daysync.operators.dedupe import latest
-from daysync.operators.joins import MATCHED, keyed, left_match
+from daysync.operators.joins import KEY_HASH, key_match, keyed, unkeyed, value
 from daysync.operators.schema import conform, evolve
 from daysync.sources.shards import SHARD, in_shards, small
 
 ID_COLUMN = "id"
 EVENT_KEY = ("user_pseudo_id", "event_timestamp", "event_name")
 
-_NEW = "__new_{}"
 _COPIES = "__copies"
 _TARGET_ROWS = "__target_rows"
 
@@ -53,10 +55,12 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     *,
+    within: Sequence[str] = (),
     update_columns: Sequence[str] | None = None,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     null_safe: bool = False,
+    small_source: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it.
 
@@ -64,18 +68,24 @@ def upsert(
     NULLs too), source rows without a match are inserted, other target rows stay. Columns
     only the source has are added; columns only the target has stay, NULL on insert.
 
+    ``within`` names columns that are part of the key and never NULL, such as the shard.
+
     Two source rows matching one target row are ambiguous. ``on_duplicate="error"`` fails
     the job then; source rows that match nothing are inserted, however many share a key.
-    ``"latest"`` first keeps one row per key, the greatest by ``order_by``.
+    ``"latest"`` first keeps one row per key, the greatest by ``order_by``. ``"unique"``
+    takes the caller's word that the source has one row per key.
 
     Keys compare with ``=``, so rows with a NULL key match nothing: they stay or are
     inserted, and bypass the joins, where they would all meet in one task. With
     ``null_safe`` NULL equals NULL.
+
+    With ``small_source`` the target's keys are looked up among the source's instead of
+    all being shuffled; right if Spark can broadcast the source, costly if it cannot.
     """
-    keys = _checked_keys(keys, target, source)
-    if on_duplicate not in ("error", "latest"):
-        raise ValueError(f"on_duplicate is error or latest, not {on_duplicate}")
-    updates = [c for c in (source.columns if update_columns is None else update_columns) if c not in keys]
+    by = _checked_keys(keys, within, target, source)
+    if on_duplicate not in ("error", "latest", "unique"):
+        raise ValueError(f"on_duplicate is error, latest or unique, not {on_duplicate}")
+    updates = [c for c in (source.columns if update_columns is None else update_columns) if c not in by]
     unknown = [c for c in updates if c not in source.columns]
     if unknown:
         raise ValueError(f"update columns {unknown} are not in the source")
@@ -83,69 +93,52 @@ def upsert(
     target = evolve(target, source)
     source = conform(source, target)
     if on_duplicate == "latest":
-        source = latest(source, keys, order_by)
+        source = latest(source, by, order_by)
 
     parts = []
     if not null_safe:
-        t_loose, s_loose = (_null_keys(df, keys) for df in (target, source))
-        target, source = (_full_keys(df, keys) for df in (target, source))
-        parts += [t_loose, s_loose]
-
-    if on_duplicate == "latest":
-        # One row per key on both sides already: nothing left to split.
-        known = target.select(*[col(k) for k in keys]).distinct()
-        parts.append(_left_anti(source, known, keys, null_safe))
-    else:
-        known = target.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(_TARGET_ROWS))
-        found = left_match(source, keyed(known, keys, [_TARGET_ROWS]), keys, null_safe=null_safe)
-        parts.append(found.where(F.col(_TARGET_ROWS).isNull()).drop(MATCHED, _TARGET_ROWS))
-        if updates:
-            parts.insert(0, _ambiguous(source, known, keys, null_safe))
-    parts.append(_updated(target, source, keys, updates, null_safe) if updates else target)
-
-    result, *others = parts
-    for part in others:
-        result = result.unionByName(part)
-    return result
-
-
-def _checked_keys(keys: Sequence[str], target: DataFrame, source: DataFrame) -> list[str]:
+        loose = any_of([col(k).isNull() for k in keys])
+        parts = [target.where(loose), source.where(loose)]
+        target, source = target.where(~loose), source.where(~loose)
+
+    values = [c for c in target.columns if c not in by]
+    incoming = keyed(source, by, values)
+    known = target.select(*[col(k) for k in by])
+    if small_source:
+        known = known.join(keyed(source, by), key_match(by, null_safe=null_safe), "left_semi")
+    known = known.groupBy(*[col(k) for k in by]).agg(F.count(F.lit(1)).alias(_TARGET_ROWS))
+    if updates and on_duplicate == "error":
+        parts.insert(0, _ambiguous(source, known, by, null_safe))
+    found = incoming.join(known, key_match(by, null_safe=null_safe), "left")
+    new = found.where(F.col(_TARGET_ROWS).isNull())
+    parts.append(unkeyed(new, by, values).select(*[col(c) for c in target.columns]))
+    if updates:
+        target = _updated(target, incoming, by, values, updates, null_safe)
+    return reduce(DataFrame.unionByName, [*parts, target])
+
+
+def _checked_keys(
+    keys: Sequence[str], within: Sequence[str], target: DataFrame, source: DataFrame
+) -> list[str]:
     if not keys:
         raise ValueError("a merge needs at least one key column")
-    missing = [k for k in keys if k not in source.columns or k not in target.columns]
+    by = list(dict.fromkeys([*within, *keys]))
+    missing = [k for k in by if k not in source.columns or k not in target.columns]
     if missing:
         raise ValueError(f"key columns {missing} are not on both sides")
-    return list(keys)
-
-
-def _null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.where(any_of([col(k).isNull() for k in keys]))
-
-
-def _full_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.where(~any_of([col(k).isNull() for k in keys]))
-
-
-def _left_anti(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    pairs = [(col(k, "l"), col(k, "r")) for k in keys]
-    on = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    return left.alias("l").join(right.alias("r"), on, "left_anti")
+    return by
 
 
 def _updated(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], updates: Sequence[str], null_safe: bool
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], values: Sequence[str],
+    updates: Sequence[str], null_safe: bool,
 ) -> DataFrame:
     """The target rows, with the source's values where a source row matches."""
-    named = {c: _NEW.format(i) for i, c in enumerate(updates)}
-    incoming = source.select(
-        *[col(k) for k in keys], *[col(c).alias(new) for c, new in named.items()]
-    )
-    joined = left_match(target, keyed(incoming, keys, list(named.values())), keys, null_safe=null_safe)
+    joined = target.join(incoming, key_match(keys, null_safe=null_safe), "left")
+    hit = F.col(KEY_HASH).isNotNull()
     return joined.select(
         *[
-            F.when(F.col(MATCHED).isNotNull(), F.col(named[c])).otherwise(col(c)).alias(c)
-            if c in named
-            else col(c)
+            F.when(hit, value(values, c)).otherwise(col(c)).alias(c) if c in updates else col(c)
             for c in target.columns
         ]
     )
@@ -157,11 +150,8 @@ def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], null_sa
     Both sides are aggregated to their keys first. It is a part of the result, so it runs
     in the same job and leads the stage that would multiply rows.
     """
-    repeated = (
-        source.groupBy(*[col(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias(_COPIES))
-        .where(F.col(_COPIES) > 1)
-    )
+    copies = source.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(_COPIES))
+    repeated = copies.where(F.col(_COPIES) > 1)
     pairs = [(col(k, "s"), col(k, "t")) for k in keys]
     on = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     both = repeated.alias("s").join(known.alias("t"), on, "inner")
@@ -172,12 +162,8 @@ def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], null_sa
         F.lit(" is in "), F.col(_COPIES).cast("string"), F.lit(" source rows and "),
         F.col(_TARGET_ROWS).cast("string"), F.lit(" target rows"),
     )
-    return both.where(F.raise_error(message).isNotNull()).select(
-        *[
-            col(f.name, "s").alias(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in source.schema.fields
-        ]
-    )
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema.fields]
+    return both.where(F.raise_error(message).isNotNull()).select(*empty)
 
 
 def insert_new_rows(target: DataFrame, source: DataFrame, *, ignore: Sequence[str] = ()) -> DataFrame:
@@ -191,9 +177,10 @@ def insert_new_rows(target: DataFrame, source: DataFrame, *, ignore: Sequence[st
         raise ValueError("no column left to compare")
     target = evolve(target, source)
     source = conform(source, target)
-    known = target.select(*[col(c) for c in compared]).distinct()
-    found = left_match(source, keyed(known, compared), compared, null_safe=True)
-    return target.unionByName(found.where(F.col(MATCHED).isNull()).drop(MATCHED))
+    known = keyed(target.select(*[col(c) for c in compared]).distinct(), compared)
+    found = source.join(known, key_match(compared, null_safe=True), "left")
+    new = found.where(F.col(KEY_HASH).isNull())
+    return target.unionByName(new.select(*[col(c) for c in target.columns]))
 
 
 def high_water(target: DataFrame, modified: str, shards: Sequence[str]) -> DataFrame:
@@ -221,6 +208,30 @@ def incremental(
     )
 
 
+def mark_text(moment: Column, kind: T.DataType) -> Column:
+    """A modified time in a form that survives the way through the driver exactly."""
+    return F.unix_micros(moment).cast("string") if isinstance(kind, T.TimestampType) else moment.cast("string")
+
+
+def newer_than(source: DataFrame, modified: str, marks: Mapping[str, str | None]) -> DataFrame:
+    """``incremental`` where the mark of each day, as ``mark_text``, is known already.
+
+    The marks are literals in the filter, so partitions and Parquet row groups with
+    nothing newer are not read.
+    """
+    kind = source.schema[modified].dataType
+
+    def mark(text: str | None) -> Column:
+        if text is None:
+            return F.lit(EPOCH).cast(kind)
+        if isinstance(kind, T.TimestampType):
+            return F.timestamp_micros(F.lit(int(text)))
+        return F.lit(text).cast(kind)
+
+    newer = [(col(SHARD) == shard) & (col(modified) > mark(text)) for shard, text in marks.items()]
+    return in_shards(source, list(marks)).where(any_of(newer))
+
+
 def merge_incremental(
     target: DataFrame,
     source: DataFrame,
@@ -231,13 +242,20 @@ def merge_incremental(
     time_column: str | None = None,
     **options,
 ) -> DataFrame:
-    """Merge only the ``incremental`` rows; without ``keys``, by whole-row comparison.
+    """Merge only the ``incremental`` rows."""
+    staged = incremental(source, target, modified, shards, time_column)
+    return merge_staged(target, staged, modified, keys, **options)
+
+
+def merge_staged(
+    target: DataFrame, staged: DataFrame, modified: str, keys: Sequence[str] | None, **options
+) -> DataFrame:
+    """Merge rows by ``keys``, or without keys by whole-row comparison.
 
     The modified column of matched rows stays as it was unless ``update_columns`` names
     it, so an updated row is taken again the next time.
     """
-    staged = incremental(source, target, modified, shards, time_column)
     if keys is None:
         return insert_new_rows(target, staged, ignore=[modified])
-    options.setdefault("update_columns", [c for c in source.columns if c not in (*keys, modified)])
+    options.setdefault("update_columns", [c for c in staged.columns if c not in (*keys, modified)])
     return upsert(target, staged, keys, **options)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daysync.functions.columns import col
-from daysync.operators.joins import MATCHED, keyed, left_match
+from daysync.operators.joins import KEY_HASH, key_match, keyed
 
 
 def update_all(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
@@ -19,11 +19,10 @@ def update_all(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
 def update_matching(df: DataFrame, key: str, chosen: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """Set the columns in the rows whose ``key`` is in the first column of ``chosen``."""
     wanted = chosen.select(col(chosen.columns[0]).cast(df.schema[key].dataType).alias(key)).distinct()
-    marked = left_match(df, keyed(wanted, [key]), [key])
-    hit = F.col(MATCHED).isNotNull()
-    return marked.withColumns(
-        {c: F.when(hit, v).otherwise(col(c)) for c, v in values.items()}
-    ).drop(MATCHED)
+    marked = df.join(keyed(wanted, [key]), key_match([key]), "left")
+    hit = F.col(KEY_HASH).isNotNull()
+    changed = marked.withColumns({c: F.when(hit, v).otherwise(col(c)) for c, v in values.items()})
+    return changed.select(*[col(c) for c in df.columns])
 
 
 def update_first(df: DataFrame, key: str, count: int, values: Mapping[str, Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Row
 
 from daysync.functions.columns import col
-from daysync.operators.merge import merge_incremental, upsert
+from daysync.operators.merge import mark_text, merge_incremental, upsert
 from daysync.operators.schema import conform, evolve
 from daysync.plans.policies import MERGE, REPLACING
 from daysync.sources.shards import DEFAULT_LOOKBACK, SHARD, in_shards, missing_shards
@@ -28,7 +28,8 @@ class Decisions:
         Known days prune partitions when the next job is planned, and stay the same while
         that job replaces the files they were decided from.
         """
-        return cls(sorted(plan.collect(), key=lambda r: r["offset"]))
+        mark = mark_text(col("target_modified"), plan.schema["target_modified"].dataType)
+        return cls(sorted(plan.withColumn("mark", mark).collect(), key=lambda r: r["offset"]))
 
     @property
     def copied(self) -> list[str]:
@@ -45,6 +46,11 @@ class Decisions:
             r[SHARD] for r in self.rows if r["action"] == MERGE and r["target_rows"] is not None
         ]
 
+    @property
+    def marks(self) -> dict[str, str | None]:
+        """The target's high-water mark of each day to merge, as ``merge.mark_text``."""
+        return {r[SHARD]: r["mark"] for r in self.rows if r["action"] == MERGE}
+
     @property
     def changed(self) -> list[str]:
         return self.copied + self.merged
@@ -90,12 +96,13 @@ def merge_days(
     """
     mine = in_shards(target, list(days), time_column)
     theirs = in_shards(source, list(days), time_column)
-    by = None if keys is None else list(dict.fromkeys([SHARD, *keys]))
+    if keys is not None:
+        options.setdefault("within", [SHARD])
     if incremental_by:
-        return merge_incremental(mine, theirs, incremental_by, days, keys=by, **options)
-    if by is None:
+        return merge_incremental(mine, theirs, incremental_by, days, keys=keys, **options)
+    if keys is None:
         raise ValueError("a plan that merges days needs key columns")
-    return upsert(mine, theirs, by, **options)
+    return upsert(mine, theirs, keys, **options)
 
 
 def apply_plan(

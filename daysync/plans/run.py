@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.columns import col
+from daysync.operators.dedupe import latest
+from daysync.operators.merge import merge_staged, newer_than
 from daysync.plans.apply import Decisions, merge_days
 from daysync.plans.policies import plan_profiles
-from daysync.sinks.write import finish_replace, replace_shards
+from daysync.session import work_folder
+from daysync.sinks.write import finish_replace, replace_shards, stage
 from daysync.sources.files import Folder
 from daysync.sources.shards import DEFAULT_LOOKBACK, SHARD, in_shards, lookback_shards
 from daysync.sources.tables import merged_schema, read_day_table, schema_text, shard_schemas
 
 
+# A merged source up to this size is within what Spark broadcasts by default.
+SMALL_BYTES = 8 * 1024 * 1024
+
+
 class _Side:
     """The window of one table: its days' columns, its rows, its profile."""
 
@@ -26,6 +33,7 @@ class _Side:
         folder.make()
         present = [s for s in folder.shards() if s in set(shards)]
         self.spark, self.path, self.shards, self.modified = spark, path, shards, modified
+        self.size = lambda days: sum(folder.size(f"{SHARD}={day}") for day in days)
         self.schemas = shard_schemas(spark, path, present)
         self.rows = read_day_table(spark, path, merged_schema(self.schemas.values()))
 
@@ -73,12 +81,12 @@ def sync_table(
     Whether the source is newer is told by the ``modified`` column, or without one by the
     times of the files. Beyond that only days that change are read, and only they are
     written; a copied day gets the source's columns, a merged one those of both sides.
-    ``options`` are those of ``apply.merge_days``.
+    ``options`` are those of ``merge.upsert``.
     """
-    if policy == "incremental":
-        if modified is None:
-            raise ValueError("the incremental policy needs a modified column")
-        options.setdefault("incremental_by", modified)
+    if policy == "incremental" and modified is None:
+        raise ValueError("the incremental policy needs a modified column")
+    if keys is not None:
+        options.setdefault("within", [SHARD])
     finish_replace(spark, target_path)
     shards = lookback_shards(logical_date, lookback)
     source = _Side(spark, source_path, shards, modified)
@@ -86,27 +94,64 @@ def sync_table(
     plan = plan_profiles(source.profile(), target.profile(), policy, logical_date, lookback)
     decisions = Decisions.of(plan)
 
-    copied, merged = decisions.copied, decisions.merged
-    if options.get("incremental_by"):
-        copied, merged = [], decisions.changed
-    frames = source.by_columns(copied)
-    if merged:
-        frames.append(merge_days(source.rows, target.rows, merged, keys, **options))
-    if frames:
-        replace_shards(spark, frames, target_path, decisions.changed)
-    return _report(spark, plan.schema, decisions, target_path)
+    staged: list[Folder] = []
+    if policy == "incremental":
+        days, frames = _incremental(source, target, decisions, keys, options, staged)
+    else:
+        days, frames = decisions.changed, source.by_columns(decisions.copied)
+        if decisions.merged:
+            frames.append(_merged(source, target, decisions.merged, keys, options, staged))
+    if days:
+        replace_shards(spark, frames, target_path, days)
+    for folder in staged:
+        folder.drop("")
+    return _report(spark, plan.schema, decisions, days, target_path)
+
+
+def _staged(df: DataFrame, staged: list[Folder]) -> tuple[DataFrame, Folder]:
+    folder = Folder(df.sparkSession, work_folder(df.sparkSession))
+    staged.append(folder)
+    return stage(df, folder.path), folder
+
+
+def _incremental(
+    source: _Side, target: _Side, decisions: Decisions, keys: Sequence[str] | None, options: dict,
+    staged: list[Folder],
+) -> tuple[list[str], list[DataFrame]]:
+    """The days that have newer rows, and those days with the rows merged in."""
+    newer, folder = _staged(newer_than(source.rows, source.modified, decisions.marks), staged)
+    days = folder.shards()
+    if keys is not None:
+        options.setdefault("small_source", folder.size() <= SMALL_BYTES)
+    return days, [merge_staged(in_shards(target.rows, days), newer, source.modified, keys, **options)]
+
+
+def _merged(
+    source: _Side, target: _Side, days: list[str], keys: Sequence[str] | None, options: dict,
+    staged: list[Folder],
+) -> DataFrame:
+    theirs, size = source.rows, source.size(days)
+    if options.get("on_duplicate") == "latest" and keys is not None:
+        by = list(dict.fromkeys([*options["within"], *keys]))
+        survivors = latest(in_shards(theirs, days), by, options.get("order_by", ()))
+        theirs, folder = _staged(survivors, staged)
+        size = folder.size()
+        options["on_duplicate"] = "unique"
+    options.setdefault("small_source", size <= SMALL_BYTES)
+    return merge_days(theirs, target.rows, days, keys, **options)
 
 
 def _report(
-    spark: SparkSession, schema: T.StructType, decisions: Decisions, target_path: str
+    spark: SparkSession, schema: T.StructType, decisions: Decisions, days: list[str], target_path: str
 ) -> DataFrame:
-    """The fetched plan, and how many rows each changed day now has by the file footers."""
+    """The fetched plan, and how many rows each written day now has by the file footers."""
     written: dict[str, int] = {}
-    if decisions.changed:
-        now = in_shards(read_day_table(spark, target_path, T.StructType()), decisions.changed)
+    if days:
+        now = in_shards(read_day_table(spark, target_path, T.StructType()), days)
         written = {r[SHARD]: r["count"] for r in now.groupBy(SHARD).count().collect()}
+    shown = schema.names
     rows = [
-        (*r, written.get(r[SHARD], 0) if r[SHARD] in decisions.changed else None)
+        (*(r[c] for c in shown), written.get(r[SHARD], 0) if r[SHARD] in days else None)
         for r in decisions.rows
     ]
     return spark.createDataFrame(rows, T.StructType([*schema.fields, T.StructField("written_rows", T.LongType())]))

@@ -12,6 +12,7 @@ from daysync.functions.columns import col
 from daysync.operators.append import append_by_name
 from daysync.sources.files import Folder
 from daysync.sources.shards import SHARD
+from daysync.sources.tables import read_day_table
 
 _STAGED = "_staged-"
 _READY = "_READY"
@@ -27,6 +28,16 @@ def write_day_table(df: DataFrame, path: str) -> None:
     by_shard(df).write.mode("errorifexists").partitionBy(SHARD).parquet(path)
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """The rows written to a folder and read from there.
+
+    What uses them more than once does not compute them again, and Spark knows their size
+    when it plans the joins.
+    """
+    write_day_table(df, path)
+    return read_day_table(df.sparkSession, path, df.schema)
+
+
 def append_rows(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType) -> None:
     """Append to a table of the given columns; those the rows lack are NULL."""
     table = spark.createDataFrame([], schema)

@@ -28,6 +28,11 @@ class Folder:
         mark = f"{SHARD}="
         return sorted(n.removeprefix(mark) for n in self.names() if n.startswith(mark))
 
+    def size(self, name: str = "") -> int:
+        """Bytes of all files in the folder, or in one inside it."""
+        at = self._at(name)
+        return self._fs.getContentSummary(at).getLength() if self._fs.exists(at) else 0
+
     def make(self) -> None:
         self._fs.mkdirs(self._at(""))
 
