@@ -148,7 +148,8 @@ def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], null_sa
     """No rows; fails the job if a key of several source rows is in the target.
 
     Both sides are aggregated to their keys first. It is a part of the result, so it runs
-    in the same job and leads the stage that would multiply rows.
+    in the same job and leads the stage that would multiply rows. Its keys are real and
+    its other columns are the failure, so a later filter cannot drop it unasked.
     """
     copies = source.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(_COPIES))
     repeated = copies.where(F.col(_COPIES) > 1)
@@ -162,8 +163,12 @@ def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], null_sa
         F.lit(" is in "), F.col(_COPIES).cast("string"), F.lit(" source rows and "),
         F.col(_TARGET_ROWS).cast("string"), F.lit(" target rows"),
     )
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema.fields]
-    return both.where(F.raise_error(message).isNotNull()).select(*empty)
+    failure = F.raise_error(message)
+    columns = [
+        col(f.name, "s").alias(f.name) if f.name in keys else failure.cast(f.dataType).alias(f.name)
+        for f in source.schema.fields
+    ]
+    return both.where(failure.isNotNull()).select(*columns)
 
 
 def insert_new_rows(target: DataFrame, source: DataFrame, *, ignore: Sequence[str] = ()) -> DataFrame:

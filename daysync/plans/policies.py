@@ -120,12 +120,12 @@ def plan_profiles(
 
     def side(df: DataFrame, name: str) -> DataFrame:
         named = {"rows": f"{name}_rows", "max_modified": f"{name}_modified", "fingerprint": f"{name}_fingerprint"}
-        return small(in_shards(df, shards).withColumnsRenamed(named), lookback)
+        return in_shards(df, shards).withColumnsRenamed(named)
 
-    days = (
-        expected_shards(source.sparkSession, logical_date, lookback)
-        .join(side(source, "source"), SHARD, "left")
-        .join(side(target, "target"), SHARD, "left")
+    # Both profiles are partitioned by shard already, so this moves nothing.
+    known = side(source, "source").join(side(target, "target"), SHARD, "full_outer")
+    days = expected_shards(source.sparkSession, logical_date, lookback).join(
+        small(known, lookback), SHARD, "left"
     )
     shown = [SHARD, "offset", "source_rows", "target_rows", "source_modified", "target_modified"]
     if policy in SCHEMA_POLICIES:
