@@ -124,8 +124,7 @@ def schema_fingerprint(spark, d):
 
 
 def schema_drift(spark, d):
-    source, target = _sides(spark, d)
-    return drift(schema_rows(source, "source"), schema_rows(target, "target"))
+    return drift(*_sides(spark, d))
 
 
 def schema_listing(spark, d):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,49 +18,68 @@ _WIDER = {
 }
 
 
+def _value_counts(df: DataFrame, prefix: str) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """One row per shard counting the values of each column, and the columns in order."""
+    types = {f.name: f.dataType for f in df.schema.fields if f.name != SHARD}
+    counts = [F.count(col(name)).alias(f"{prefix}{i}") for i, name in enumerate(types)]
+    return df.groupBy(SHARD).agg(*counts), types
+
+
 def schema_rows(df: DataFrame, side: str) -> DataFrame:
     """One row ``(side, shard, pos, name, type)`` per column that holds a value in the shard.
 
     See ``shards.profile`` for why an all-NULL column counts as absent.
     """
-    fields = [f for f in df.schema.fields if f.name != SHARD]
-    counts = df.groupBy(SHARD).agg(*[F.count(col(f.name)).alias(f"n{i}") for i, f in enumerate(fields)])
+    counts, types = _value_counts(df, "n")
     rows = [
         F.when(
             F.col(f"n{i}") > 0,
             F.struct(
                 F.lit(i + 1).alias("pos"),
-                F.lit(f.name).alias("name"),
-                F.lit(f.dataType.simpleString()).alias("type"),
+                F.lit(name).alias("name"),
+                F.lit(kind.simpleString()).alias("type"),
             ),
         )
-        for i, f in enumerate(fields)
+        for i, (name, kind) in enumerate(types.items())
     ]
     listed = counts.select(SHARD, F.explode(F.array_compact(F.array(*rows))).alias("f"))
     return listed.select(F.lit(side).alias("side"), SHARD, "f.pos", "f.name", "f.type")
 
 
-def drift(source_rows: DataFrame, target_rows: DataFrame) -> DataFrame:
+def drift(source: DataFrame, target: DataFrame) -> DataFrame:
     """How the target's columns differ from the source's, per shard both sides have.
 
     ``added`` is in the source only, ``removed`` in the target only, ``type_changed`` in
-    both with different types. Same columns give no row.
+    both with different types. Same columns give no row. Each side is read once; what is
+    joined is one row of counts per day.
     """
-    days = source_rows.select(SHARD).distinct().join(
-        target_rows.select(SHARD).distinct(), SHARD, "left_semi"
-    )
-    s = source_rows.select(SHARD, "name", F.col("type").alias("source_type"))
-    t = target_rows.select(SHARD, "name", F.col("type").alias("target_type"))
+    s_counts, s_types = _value_counts(source, "s")
+    t_counts, t_types = _value_counts(target, "t")
+
+    def present(prefix: str, types: dict[str, T.DataType], name: str) -> Column:
+        if name not in types:
+            return F.lit(None).cast("string")
+        count = F.col(f"{prefix}{list(types).index(name)}")
+        return F.when(count > 0, types[name].simpleString())
+
+    rows = [
+        F.struct(
+            F.lit(name).alias("name"),
+            present("s", s_types, name).alias("source_type"),
+            present("t", t_types, name).alias("target_type"),
+        )
+        for name in dict.fromkeys([*s_types, *t_types])
+    ]
     change = (
         F.when(F.col("target_type").isNull(), "added")
         .when(F.col("source_type").isNull(), "removed")
-        .when(F.col("source_type") != F.col("target_type"), "type_changed")
+        .otherwise("type_changed")
     )
+    both = s_counts.join(t_counts, SHARD).select(SHARD, F.explode(F.array(*rows)).alias("f"))
     return (
-        s.join(t, [SHARD, "name"], "full_outer")
-        .join(days, SHARD, "left_semi")
-        .select(SHARD, "name", "source_type", "target_type", change.alias("change"))
-        .where(F.col("change").isNotNull())
+        both.select(SHARD, "f.*")
+        .where(~F.col("source_type").eqNullSafe(F.col("target_type")))
+        .withColumn("change", change)
     )
 
 

@@ -15,7 +15,7 @@ from daysync.operators.merge import merge_staged, newer_than
 from daysync.plans.apply import Decisions, merge_days
 from daysync.plans.policies import plan_profiles
 from daysync.session import work_folder
-from daysync.sinks.write import finish_replace, replace_shards, stage
+from daysync.sinks.write import by_shard, finish_replace, replace_shards, stage
 from daysync.sources.files import Folder
 from daysync.sources.shards import DEFAULT_LOOKBACK, SHARD, in_shards, lookback_shards
 from daysync.sources.tables import merged_schema, read_day_table, schema_text, shard_schemas
@@ -123,7 +123,8 @@ def _incremental(
     days = folder.shards()
     if keys is not None:
         options.setdefault("small_source", folder.size() <= SMALL_BYTES)
-    return days, [merge_staged(in_shards(target.rows, days), newer, source.modified, keys, **options)]
+    merged = merge_staged(in_shards(target.rows, days), newer, source.modified, keys, **options)
+    return days, [by_shard(merged)]
 
 
 def _merged(
@@ -138,7 +139,7 @@ def _merged(
         size = folder.size()
         options["on_duplicate"] = "unique"
     options.setdefault("small_source", size <= SMALL_BYTES)
-    return merge_days(theirs, target.rows, days, keys, **options)
+    return by_shard(merge_days(theirs, target.rows, days, keys, **options))
 
 
 def _report(

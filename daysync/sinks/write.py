@@ -58,13 +58,16 @@ def replace_shards(
     read the table itself: all rows are first written next to it. Then every staged shard
     takes the place of the old one, and a shard without rows is dropped. If the driver
     dies in between, ``finish_replace`` goes on from the staged copy.
+
+    Rows are written as they lie: good for days read from a table of days, which need no
+    shuffle. Apply ``by_shard`` first where the rows of a day are scattered.
     """
     finish_replace(spark, path)
     folder = Folder(spark, path)
     staged = f"{_STAGED}{uuid.uuid4().hex}"
     for df in frames:
         kept = df.where(col(SHARD).isin(list(shards)))
-        by_shard(kept).write.mode("append").partitionBy(SHARD).parquet(f"{folder.path}/{staged}")
+        kept.write.mode("append").partitionBy(SHARD).parquet(f"{folder.path}/{staged}")
     written = set(folder.names(staged))
     for shard in shards:
         if f"{SHARD}={shard}" not in written:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +48,35 @@ def file_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shard_schemas(spark: SparkSession, path: str, shards: Iterable[str]) -> dict[str, T.StructType]:
-    """The columns of each shard, from the footers of its files.
+    """The columns of each shard, from the footers of its files, days side by side.
 
     ``shards`` are the existing days of a lookback window: a few, not the table.
     """
-    read = spark.read.option("mergeSchema", "true")
-    return {s: read.parquet(f"{path.rstrip('/')}/{SHARD}={s}").schema for s in shards}
+    days = list(shards)
+
+    def columns(day: str) -> T.StructType:
+        read = spark.read.option("mergeSchema", "true")
+        return read.parquet(f"{path.rstrip('/')}/{SHARD}={day}").schema
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(zip(days, pool.map(columns, days), strict=True))
+
+
+def read_day_tables(spark: SparkSession, prefix: str, shards: Iterable[str]) -> DataFrame:
+    """Catalog tables of one day each, such as ``db.events_20240130``, as one frame.
+
+    Days without a table are left out, columns a day does not have are NULL. The shard is
+    a constant of each part, so days a query does not want are dropped from its plan.
+    """
+    names = {s: f"{prefix}_{s}" for s in shards}
+    parts = [
+        spark.table(name).withColumn(SHARD, F.lit(shard))
+        for shard, name in names.items()
+        if spark.catalog.tableExists(name)
+    ]
+    if not parts:
+        raise ValueError(f"no table {prefix}_<day> for any of the days")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def schema_text(schema: T.StructType) -> str:

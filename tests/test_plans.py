@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from daysync.operators.schema import drift
 from daysync.plans import report
 from daysync.plans.apply import apply_plan
 from daysync.plans.policies import POLICIES, plan_profiles, sync_plan
@@ -132,11 +133,9 @@ def test_reports_of_an_idle_run(spark):
 
 
 def test_drift_names_every_kind_of_change(spark):
-    from daysync.operators.schema import drift, schema_rows
-
     source = spark.createDataFrame([(D1, 1, "x", 2.0), ("20260401", 1, "x", 2.0)], "shard string, a int, new string, v double")
     target = spark.createDataFrame([(D1, 1, "x", 2)], "shard string, a int, old string, v long")
-    changes = drift(schema_rows(source, "source"), schema_rows(target, "target")).collect()
+    changes = drift(source, target).collect()
     assert {(r["shard"], r["name"], r["change"]) for r in changes} == {
         (D1, "new", "added"), (D1, "old", "removed"), (D1, "v", "type_changed")
     }

@@ -12,7 +12,14 @@ from daysync.plans.run import sync_table
 from daysync.sinks import write
 from daysync.sources.files import Folder
 from daysync.sources.shards import in_shards
-from daysync.sources.tables import file_profile, merged_schema, read_day_table, read_named, shard_schemas
+from daysync.sources.tables import (
+    file_profile,
+    merged_schema,
+    read_day_table,
+    read_day_tables,
+    read_named,
+    shard_schemas,
+)
 
 DAY = "shard string, id long, v string, modified timestamp_ntz"
 TIMES = ["2026-04-12 10:00:00", "2026-04-12 11:00:00"]
@@ -134,6 +141,22 @@ def test_catalog_table(spark):
     assert [tuple(r) for r in joined.collect()] == [(1, "a", "b")]
 
 
+def test_tables_of_one_day_each(spark):
+    for day, columns in (("20260411", {"v": "a"}), ("20260412", {"v": "b", "extra": "c"})):
+        df = spark.range(2).withColumns({c: F.lit(v) for c, v in columns.items()})
+        df.write.mode("overwrite").saveAsTable(f"day_events_{day}")
+    shards = ["20260412", "20260411", "20260410"]
+    events = read_day_tables(spark, "day_events", shards)
+    assert sorted(tuple(r) for r in events.select("shard", "id", "v", "extra").collect()) == [
+        ("20260411", 0, "a", None), ("20260411", 1, "a", None),
+        ("20260412", 0, "b", "c"), ("20260412", 1, "b", "c"),
+    ]
+    plan = in_shards(events, ["20260412"])._jdf.queryExecution().executedPlan().toString()
+    assert "day_events_20260412" in plan and "day_events_20260411" not in plan
+    with pytest.raises(ValueError, match="no table"):
+        read_day_tables(spark, "nothing", shards)
+
+
 def test_joined_null_keys(spark):
     a = spark.createDataFrame([(None, "a"), (1, "b")], "id long, x string")
     assert merge_on(a, a, "id").count() == 2
