@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from daysync.functions.columns import col
 from daysync.operators.dedupe import latest
-from daysync.operators.merge import merge_staged, newer_than
+from daysync.operators.merge import ID_COLUMN, choose_keys, merge_staged, newer_than
 from daysync.plans.apply import Decisions, merge_days
 from daysync.plans.policies import plan_profiles
 from daysync.session import work_folder
@@ -26,16 +26,18 @@ SMALL_BYTES = 8 * 1024 * 1024
 
 
 class _Side:
-    """The window of one table: its days' columns, its rows, its profile."""
+    """The window of one table: its days' columns, its rows, its profile.
+
+    Folders of other days are not even listed.
+    """
 
     def __init__(self, spark: SparkSession, path: str, shards: list[str], modified: str | None):
-        folder = Folder(spark, path)
-        folder.make()
-        present = [s for s in folder.shards() if s in set(shards)]
         self.spark, self.path, self.shards, self.modified = spark, path, shards, modified
-        self.size = lambda days: sum(folder.size(f"{SHARD}={day}") for day in days)
+        self.folder = Folder(spark, path)
+        self.folder.make()
+        present = [s for s in self.folder.shards() if s in set(shards)]
         self.schemas = shard_schemas(spark, path, present)
-        self.rows = read_day_table(spark, path, merged_schema(self.schemas.values()))
+        self.rows = read_day_table(spark, path, merged_schema(self.schemas.values()), present)
 
     def profile(self) -> DataFrame:
         """Two columns are read for it at most; none if files tell what is newer."""
@@ -53,13 +55,16 @@ class _Side:
         )
         return days.withColumn("fingerprint", columns)
 
+    def size(self, days: list[str]) -> int:
+        return sum(self.folder.size(f"{SHARD}={day}") for day in days)
+
     def by_columns(self, days: list[str]) -> list[DataFrame]:
         """The rows of the given days, a frame for each set of columns; usually one."""
         alike: dict[str, list[str]] = {}
         for day in days:
             alike.setdefault(schema_text(self.schemas[day]), []).append(day)
         return [
-            in_shards(read_day_table(self.spark, self.path, self.schemas[group[0]]), group)
+            read_day_table(self.spark, self.path, self.schemas[group[0]], group)
             for group in alike.values()
         ]
 
@@ -81,12 +86,11 @@ def sync_table(
     Whether the source is newer is told by the ``modified`` column, or without one by the
     times of the files. Beyond that only days that change are read, and only they are
     written; a copied day gets the source's columns, a merged one those of both sides.
-    ``options`` are those of ``merge.upsert``.
+    ``keys`` and ``options`` are those of ``merge.upsert``; without keys the columns of the
+    source decide, see ``_keys``.
     """
     if policy == "incremental" and modified is None:
         raise ValueError("the incremental policy needs a modified column")
-    if keys is not None:
-        options.setdefault("within", [SHARD])
     finish_replace(spark, target_path)
     shards = lookback_shards(logical_date, lookback)
     source = _Side(spark, source_path, shards, modified)
@@ -94,6 +98,10 @@ def sync_table(
     plan = plan_profiles(source.profile(), target.profile(), policy, logical_date, lookback)
     decisions = Decisions.of(plan)
 
+    if keys is None and (policy == "incremental" or decisions.merged):
+        keys = _keys(policy, source.rows.columns)
+    if keys is not None:
+        options.setdefault("within", [SHARD])
     staged: list[Folder] = []
     if policy == "incremental":
         days, frames = _incremental(source, target, decisions, keys, options, staged)
@@ -108,6 +116,13 @@ def sync_table(
     return _report(spark, plan.schema, decisions, days, target_path)
 
 
+def _keys(policy: str, columns: list[str]) -> list[str] | None:
+    """The id, else what there is of the event key; incremental merges compare whole rows."""
+    if policy == "incremental":
+        return [ID_COLUMN] if ID_COLUMN in columns else None
+    return choose_keys(columns, present_only=True)
+
+
 def _staged(df: DataFrame, staged: list[Folder]) -> tuple[DataFrame, Folder]:
     folder = Folder(df.sparkSession, work_folder(df.sparkSession))
     staged.append(folder)
@@ -128,11 +143,11 @@ def _incremental(
 
 
 def _merged(
-    source: _Side, target: _Side, days: list[str], keys: Sequence[str] | None, options: dict,
+    source: _Side, target: _Side, days: list[str], keys: Sequence[str], options: dict,
     staged: list[Folder],
 ) -> DataFrame:
     theirs, size = source.rows, source.size(days)
-    if options.get("on_duplicate") == "latest" and keys is not None:
+    if options.get("on_duplicate") == "latest":
         by = list(dict.fromkeys([*options["within"], *keys]))
         survivors = latest(in_shards(theirs, days), by, options.get("order_by", ()))
         theirs, folder = _staged(survivors, staged)
@@ -148,7 +163,7 @@ def _report(
     """The fetched plan, and how many rows each written day now has by the file footers."""
     written: dict[str, int] = {}
     if days:
-        now = in_shards(read_day_table(spark, target_path, T.StructType()), days)
+        now = read_day_table(spark, target_path, T.StructType(), days)
         written = {r[SHARD]: r["count"] for r in now.groupBy(SHARD).count().collect()}
     shown = schema.names
     rows = [

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,26 +20,33 @@ def read_named(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_day_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    shards: Iterable[str] | None = None,
 ) -> DataFrame:
     """A Parquet table partitioned by shard, the shard as text.
 
     With ``schema`` (the data columns) days written before a column existed read it as
     NULL. Without, the columns of all files are merged, which opens every footer.
+    With ``shards``, days the table has, only their folders are listed.
     """
-    if schema is not None:
-        fields = [f for f in schema.fields if f.name != SHARD] + [T.StructField(SHARD, T.StringType())]
-        return spark.read.schema(T.StructType(fields)).parquet(path)
-    found = spark.read.option("mergeSchema", "true").parquet(path)
-    return found.withColumn(SHARD, F.col(SHARD).cast("string"))
+    folders, reader = _folders(spark, path, shards)
+    if schema is None:
+        found = reader.option("mergeSchema", "true").parquet(*folders)
+        return found.withColumn(SHARD, F.col(SHARD).cast("string"))
+    fields = [f for f in schema.fields if f.name != SHARD] + [T.StructField(SHARD, T.StringType())]
+    typed = T.StructType(fields)
+    return reader.schema(typed).parquet(*folders) if folders else spark.createDataFrame([], typed)
 
 
-def file_profile(spark: SparkSession, path: str) -> DataFrame:
+def file_profile(spark: SparkSession, path: str, shards: Iterable[str] | None = None) -> DataFrame:
     """Per shard ``files``, ``bytes`` and ``max_modified`` from the file listing alone.
 
     Only path, size and time of the files are selected, so none is opened.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    folders, reader = _folders(spark, path, shards)
+    files = reader.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folders)
     return files.groupBy(F.col(SHARD).cast("string").alias(SHARD)).agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("length").alias("bytes"),
@@ -47,6 +54,14 @@ def file_profile(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _folders(
+    spark: SparkSession, path: str, shards: Iterable[str] | None
+) -> tuple[list[str], DataFrameReader]:
+    root = path.rstrip("/")
+    folders = [root] if shards is None else [f"{root}/{SHARD}={s}" for s in shards]
+    return folders, spark.read.option("basePath", root)
+
+
 def shard_schemas(spark: SparkSession, path: str, shards: Iterable[str]) -> dict[str, T.StructType]:
     """The columns of each shard, from the footers of its files, days side by side.
 
