@@ -45,11 +45,12 @@ def key_match(keys: Sequence[str], *, null_safe: bool = False) -> Column:
     The hash of the keys is one more join column. Aggregated or deduplicated inputs are
     already partitioned by the keys alone, and Spark would join them in place; with the
     hash they pass an exchange of their own, and adaptive execution can split the part of
-    one hot key, which it only does directly above an exchange.
+    one hot key, which it only does directly above an exchange. It comes first, as rows
+    are sorted faster by a number that differs than by keys that begin alike.
     """
     pairs = [(col(k), F.col(_KEY.format(i))) for i, k in enumerate(keys)]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    return all_of([*same, _key_hash(keys) == F.col(KEY_HASH)])
+    return all_of([_key_hash(keys) == F.col(KEY_HASH), *same])
 
 
 def _key_hash(keys: Sequence[str]) -> Column:

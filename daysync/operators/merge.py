@@ -147,25 +147,24 @@ def _updated(
 def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """No rows; fails the job if a key of several source rows is in the target.
 
-    Both sides are aggregated to their keys first. It is a part of the result, so it runs
-    in the same job and leads the stage that would multiply rows. Its keys are real and
-    its other columns are the failure, so a later filter cannot drop it unasked.
+    Both sides are aggregated to their keys first, and adaptive execution drops the join
+    once it sees no key repeated. It is a part of the result, so it runs in the same job and
+    leads the stage that would multiply rows. Its keys are real and its other columns are
+    the failure, so a later filter cannot drop it unasked.
     """
     copies = source.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(_COPIES))
-    repeated = copies.where(F.col(_COPIES) > 1)
-    pairs = [(col(k, "s"), col(k, "t")) for k in keys]
-    on = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    both = repeated.alias("s").join(known.alias("t"), on, "inner")
+    repeated = keyed(copies.where(F.col(_COPIES) > 1), keys, [_COPIES])
+    both = known.join(repeated, key_match(keys, null_safe=null_safe))
     # Naming a value of each side keeps the check above the join.
     message = F.concat(
         F.lit("merge key "),
-        F.to_json(F.struct(*[col(k, "s").alias(k) for k in keys])),
-        F.lit(" is in "), F.col(_COPIES).cast("string"), F.lit(" source rows and "),
+        F.to_json(F.struct(*[col(k) for k in keys])),
+        F.lit(" is in "), value([_COPIES], _COPIES).cast("string"), F.lit(" source rows and "),
         F.col(_TARGET_ROWS).cast("string"), F.lit(" target rows"),
     )
     failure = F.raise_error(message)
     columns = [
-        col(f.name, "s").alias(f.name) if f.name in keys else failure.cast(f.dataType).alias(f.name)
+        col(f.name) if f.name in keys else failure.cast(f.dataType).alias(f.name)
         for f in source.schema.fields
     ]
     return both.where(failure.isNotNull()).select(*columns)

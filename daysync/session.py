@@ -7,13 +7,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution sizes the shuffles and splits skewed joins. UTC keeps the day of an
+# Adaptive execution sizes the shuffles, splits skewed joins, and joins by hashing where
+# every partition it has measured is below the size it aims for. UTC keeps the day of an
 # instant the same everywhere. Recording the Python line of every column is switched off,
 # as it doubles the time to build a plan.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.python.sql.dataFrameDebugging.enabled": "false",

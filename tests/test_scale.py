@@ -9,6 +9,7 @@ import __spark_entry__ as driver
 from daysync.operators.dedupe import latest
 from daysync.operators.merge import insert_new_rows, newer_than, upsert
 from daysync.operators.update import update_matching
+from daysync.plans.apply import merge_days
 from daysync.plans.policies import sync_plan
 from daysync.sinks.write import by_shard, write_day_table
 from daysync.sources.shards import in_shards
@@ -71,7 +72,7 @@ def test_hot_target_key_is_split(spark, tmp_path, skewed):
     source = table(spark, f"{tmp_path}/s", -1).dropDuplicates(["id"])
     rows, plan = ran(upsert(target, source, ["id"]))
     assert rows == 6000
-    assert "SortMergeJoin(skew=true)" in plan and "LeftOuter" in plan
+    assert "Join(skew=true)" in plan and "LeftOuter" in plan
 
 
 def test_hot_new_key_is_split(spark, tmp_path, skewed):
@@ -79,16 +80,16 @@ def test_hot_new_key_is_split(spark, tmp_path, skewed):
     source = table(spark, f"{tmp_path}/s", -2)
     rows, plan = ran(upsert(target, source, ["id"]))
     assert rows == 6000 + 2000
-    assert "SortMergeJoin(skew=true)" in plan
+    assert "Join(skew=true)" in plan
 
 
 def test_hot_key_in_row_comparison_and_update_is_split(spark, tmp_path, skewed):
     target, source = table(spark, f"{tmp_path}/t", -1), table(spark, f"{tmp_path}/s", -2)
     hot = source.select("id", F.when(F.col("id") != -2, F.col("v")).alias("v"), F.col("v").alias("modified"))
     rows, plan = ran(insert_new_rows(target, hot, ignore=["modified"]))
-    assert rows == 6000 + 2000 and "SortMergeJoin(skew=true)" in plan
+    assert rows == 6000 + 2000 and "Join(skew=true)" in plan
     rows, plan = ran(update_matching(target, "id", source.select("id"), {"v": F.lit("x")}))
-    assert rows == 6000 and "SortMergeJoin(skew=true)" in plan
+    assert rows == 6000 and "Join(skew=true)" in plan
 
 
 def test_null_keys_do_not_enter_the_joins(spark, tmp_path, skewed):
@@ -114,6 +115,20 @@ def test_merge_shares_the_source_shuffle(spark, tmp_path, conf):
     assert len(re.findall(r"ReusedExchange \[id", plan)) == 1
 
 
+def test_merged_days_share_the_source_shuffle(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    sides = []
+    for name, hot in (("t", -1), ("s", -2)):
+        write_day_table(table(spark, f"{tmp_path}/{name}0", hot).withColumn("shard", F.lit("20260411")), f"{tmp_path}/{name}")
+        sides.append(read_day_table(spark, f"{tmp_path}/{name}"))
+    target, source = sides
+    rows, plan = ran(merge_days(source, target, ["20260411"], ["id"]))
+    assert rows == 8000
+    assert len(re.findall(r"ReusedExchange \[__key_0", plan)) == 1
+    full = r"Exchange hashpartitioning\(__key_hash#\d+L, __key_0#\d+, __key_1#\d+L"
+    assert len(re.findall(full, plan)) == 3  # the source, the mention of it, its repeated keys
+
+
 def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     target = table(spark, f"{tmp_path}/t", -1)
     source = table(spark, f"{tmp_path}/s", -2, 30)
