@@ -201,13 +201,13 @@ def incremental(
     Strictly after: rows at the high-water mark, and rows with no modified time, are not
     taken. A day the target does not have counts from 1970.
     """
-    marks = small(high_water(target, modified, shards), len(shards))
-    kind = source.schema[modified].dataType
-    floor = F.lit(EPOCH).cast(kind)
+    mark = ["high_water"]
+    marks = keyed(high_water(target, modified, shards), [SHARD], mark)
+    floor = F.lit(EPOCH).cast(source.schema[modified].dataType)
     return (
         in_shards(source, list(shards), time_column)
-        .join(marks, SHARD, "left")
-        .where(col(modified) > F.coalesce(F.col("high_water"), floor))
+        .join(small(marks, len(shards)), key_match([SHARD]), "left")
+        .where(col(modified) > F.coalesce(value(mark, "high_water"), floor))
         .select(*[col(c) for c in source.columns])
     )
 

@@ -11,14 +11,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daysync.functions.columns import col
 from daysync.sources.shards import (
     DEFAULT_LOOKBACK,
     SHARD,
     expected_shards,
+    in_shards,
     lookback_shards,
     profile,
-    in_shards,
     small,
 )
 
@@ -34,6 +33,7 @@ DATA_CHANGE = "data_change"
 
 REPLACING = (DIRECT_TRANSFER, BACKFILL_COPY, SYNC_DONE, SCHEMA_CHANGE, DATA_CHANGE)
 
+
 def _first(*rules: tuple[Column, str], otherwise: str) -> Column:
     """The action of the first rule that holds; a comparison with NULL does not hold."""
     chain = F.when(F.col("source_rows").isNull(), MISSING_SOURCE)

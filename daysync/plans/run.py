@@ -87,7 +87,7 @@ def sync_table(
     times of the files. Beyond that only days that change are read, and only they are
     written; a copied day gets the source's columns, a merged one those of both sides.
     ``keys`` and ``options`` are those of ``merge.upsert``; without keys the columns of the
-    source decide, see ``_keys``.
+    source decide, see ``_keys``. One sync of a table may run at a time.
     """
     if policy == "incremental" and modified is None:
         raise ValueError("the incremental policy needs a modified column")
@@ -103,16 +103,18 @@ def sync_table(
     if keys is not None:
         options.setdefault("within", [SHARD])
     staged: list[Folder] = []
-    if policy == "incremental":
-        days, frames = _incremental(source, target, decisions, keys, options, staged)
-    else:
-        days, frames = decisions.changed, source.by_columns(decisions.copied)
-        if decisions.merged:
-            frames.append(_merged(source, target, decisions.merged, keys, options, staged))
-    if days:
-        replace_shards(spark, frames, target_path, days)
-    for folder in staged:
-        folder.drop("")
+    try:
+        if policy == "incremental":
+            days, frames = _incremental(source, target, decisions, keys, options, staged)
+        else:
+            days, frames = decisions.changed, source.by_columns(decisions.copied)
+            if decisions.merged:
+                frames.append(_merged(source, target, decisions.merged, keys, options, staged))
+        if days:
+            replace_shards(spark, frames, target_path, days)
+    finally:
+        for folder in staged:
+            folder.drop("")
     return _report(spark, plan.schema, decisions, days, target_path)
 
 
@@ -134,6 +136,8 @@ def _incremental(
     staged: list[Folder],
 ) -> tuple[list[str], list[DataFrame]]:
     """The days that have newer rows, and those days with the rows merged in."""
+    if not decisions.marks:
+        return [], []
     newer, folder = _staged(newer_than(source.rows, source.modified, decisions.marks), staged)
     days = folder.shards()
     if keys is not None:
@@ -170,4 +174,5 @@ def _report(
         (*(r[c] for c in shown), written.get(r[SHARD], 0) if r[SHARD] in days else None)
         for r in decisions.rows
     ]
-    return spark.createDataFrame(rows, T.StructType([*schema.fields, T.StructField("written_rows", T.LongType())]))
+    out = T.StructType([*schema.fields, T.StructField("written_rows", T.LongType())])
+    return spark.createDataFrame(rows, out)

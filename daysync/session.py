@@ -39,7 +39,7 @@ def work_folder(spark: SparkSession) -> str:
     Only where the session names none (tests on one machine) is it a temporary folder.
     """
     global _own_folder
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

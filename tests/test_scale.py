@@ -11,8 +11,7 @@ from daysync.operators.merge import insert_new_rows, newer_than, upsert
 from daysync.operators.update import update_matching
 from daysync.plans.apply import merge_days
 from daysync.plans.policies import sync_plan
-from daysync.sinks.write import by_shard, write_day_table
-from daysync.sources.shards import in_shards
+from daysync.sinks.write import write_day_table
 from daysync.sources.tables import read_day_table
 
 SF_DIR = "/root/testdata/sf0.001"

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from daysync.operators.joins import merge_on
 from daysync.plans.run import sync_table
+from daysync.session import work_folder
 from daysync.sinks import write
 from daysync.sources.files import Folder
 from daysync.sources.shards import in_shards
@@ -133,6 +134,11 @@ def test_schemas_of_days_are_merged_to_the_wider_type():
         merged_schema([a, schema(x=T.StringType())])
 
 
+def test_scratch_lies_in_the_shared_folder(spark):
+    folder = work_folder(spark)
+    assert folder.startswith(spark.conf.get("spark.checkpoint.dir") + "/") and folder != work_folder(spark)
+
+
 def test_catalog_table(spark):
     spark.range(3).withColumn("w", F.lit("b")).write.mode("overwrite").saveAsTable("lake_b")
     spark.createDataFrame([(1, "a"), (None, "n")], "id long, w string").createOrReplaceTempView("lake_a")
@@ -266,6 +272,25 @@ def test_incremental_sync_without_an_id_compares_rows(spark, tmp_path):
     assert {(r[0], str(r[1])) for r in content(spark, target, "v", "modified")} == {("a", TIMES[0]), ("b", TIMES[1])}
 
 
+def test_nothing_due(spark, pair):
+    for policy in ("incremental", "hybrid", "replicate"):
+        done = sync_table(spark, *pair, policy, logical_date="2026-06-01", modified="modified").collect()
+        assert {(r["action"], r["written_rows"]) for r in done} == {("missing_source", None)}
+
+
+def test_failed_sync_leaves_the_table_and_no_scratch(spark, pair):
+    before = content(spark, pair[1], "shard", "id", "v")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    source = days(spark, [("20260411", 1, "a", TIMES[1])] * 2)
+    write.replace_shards(spark, [source], pair[0], ["20260411"])
+    with pytest.raises(Exception, match="merge key"):
+        sync(spark, pair, keys=["id"], modified="modified")
+    assert content(spark, pair[1], "shard", "id", "v") == before
+    sync(spark, pair, "incremental", keys=["id"], modified="modified", on_duplicate="latest", order_by=["modified"])
+    assert not [n for n in os.listdir(shared) if n.startswith("daysync-")]
+    assert not [n for n in os.listdir(pair[1]) if n.startswith("_staged")]
+
+
 def test_replicated_days_have_exactly_the_columns_of_the_source(spark, pair):
     source, target = pair
     drifted = days(spark, [("20260410", 1, TIMES[0], "x")], "shard string, id long, modified string, extra string")
