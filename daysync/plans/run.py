@@ -14,7 +14,7 @@ from daysync.operators.dedupe import latest
 from daysync.operators.merge import ID_COLUMN, choose_keys, merge_staged, newer_than
 from daysync.plans.apply import Decisions, merge_days
 from daysync.plans.policies import plan_profiles
-from daysync.session import work_folder
+from daysync.session import shuffles_for, work_folder
 from daysync.sinks.write import by_shard, finish_replace, replace_shards, stage
 from daysync.sources.files import Folder
 from daysync.sources.shards import DEFAULT_LOOKBACK, SHARD, in_shards, lookback_shards
@@ -104,14 +104,15 @@ def sync_table(
         options.setdefault("within", [SHARD])
     staged: list[Folder] = []
     try:
-        if policy == "incremental":
-            days, frames = _incremental(source, target, decisions, keys, options, staged)
-        else:
-            days, frames = decisions.changed, source.by_columns(decisions.copied)
-            if decisions.merged:
-                frames.append(_merged(source, target, decisions.merged, keys, options, staged))
-        if days:
-            replace_shards(spark, frames, target_path, days)
+        with shuffles_for(spark, source.size(decisions.merged) + target.size(decisions.merged)):
+            if policy == "incremental":
+                days, frames = _incremental(source, target, decisions, keys, options, staged)
+            else:
+                days, frames = decisions.changed, source.by_columns(decisions.copied)
+                if decisions.merged:
+                    frames.append(_merged(source, target, decisions.merged, keys, options, staged))
+            if days:
+                replace_shards(spark, frames, target_path, days)
     finally:
         for folder in staged:
             folder.drop("")

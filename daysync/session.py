@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +24,15 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Shuffles of a sync are laid out for parts of about this many bytes on disk as Parquet,
+# which are some three times that when shuffled. Adaptive execution joins parts that turn
+# out small. The number is bounded, as every map task keeps a size for each part.
+PART_BYTES = 32 * 1024 * 1024
+MOST_PARTS = 32_768
+
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _own_folder: str | None = None
 
 
@@ -47,3 +58,22 @@ def work_folder(spark: SparkSession) -> str:
             _own_folder = tempfile.mkdtemp(prefix="daysync-")
         shared = _own_folder
     return f"{shared.rstrip('/')}/daysync-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, size: int) -> Iterator[int]:
+    """Inside, shuffles start with enough parts for ``size`` bytes, or what is set if more.
+
+    Adaptive execution splits only parts that stand out, not a number that is too low.
+    """
+    kept = spark.conf.get(_FIRST_PARTITIONS, None)
+    now = int(kept or spark.conf.get(_PARTITIONS))
+    parts = max(now, min(MOST_PARTS, -(-size // PART_BYTES)))
+    spark.conf.set(_FIRST_PARTITIONS, parts)
+    try:
+        yield parts
+    finally:
+        if kept is None:
+            spark.conf.unset(_FIRST_PARTITIONS)
+        else:
+            spark.conf.set(_FIRST_PARTITIONS, kept)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from daysync import session
 from daysync.operators.dedupe import latest
 from daysync.operators.merge import insert_new_rows, newer_than, upsert
 from daysync.operators.update import update_matching
@@ -170,6 +171,18 @@ def test_hot_day_is_written_by_many_tasks(spark, tmp_path, conf):
     assert len(spark.read.parquet(f"{tmp_path}/out2").inputFiles()) == 1
 
 
+def test_shuffles_start_with_enough_parts(spark):
+    before = spark.conf.get(session._FIRST_PARTITIONS, None)
+    with session.shuffles_for(spark, 1000 * session.PART_BYTES + 1) as parts:
+        assert parts == 1001
+        assert ", 1001)" in planned(spark.range(9).groupBy(F.col("id") % 3).count())
+    with session.shuffles_for(spark, 1) as parts:
+        assert parts == 4
+    with session.shuffles_for(spark, 10**15) as parts:
+        assert parts == session.MOST_PARTS
+    assert spark.conf.get(session._FIRST_PARTITIONS, None) == before
+
+
 def test_flat_tables_are_filtered_by_time_range(spark):
     plan = planned(driver.queries()["lookback_scan"](spark, SF_DIR))
     assert "GreaterThanOrEqual(ts,2024-01-24T00:00), LessThan(ts,2024-01-31T00:00)" in plan
