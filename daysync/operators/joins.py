@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +39,8 @@ def unkeyed(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFr
     )
 
 
-def key_match(keys: Sequence[str], *, null_safe: bool = False) -> Column:
-    """Join condition between a table and a ``keyed`` frame.
+def key_match(keys: Sequence[str], null_safe: Collection[str] = ()) -> Column:
+    """Join condition between a table and a ``keyed`` frame; in ``null_safe`` NULL equals NULL.
 
     The hash of the keys is one more join column. Aggregated or deduplicated inputs are
     already partitioned by the keys alone, and Spark would join them in place; with the
@@ -48,8 +48,8 @@ def key_match(keys: Sequence[str], *, null_safe: bool = False) -> Column:
     one hot key, which it only does directly above an exchange. It comes first, as rows
     are sorted faster by a number that differs than by keys that begin alike.
     """
-    pairs = [(col(k), F.col(_KEY.format(i))) for i, k in enumerate(keys)]
-    same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    pairs = [(k, F.col(_KEY.format(i))) for i, k in enumerate(keys)]
+    same = [col(k).eqNullSafe(other) if k in null_safe else col(k) == other for k, other in pairs]
     return all_of([_key_hash(keys) == F.col(KEY_HASH), *same])
 
 

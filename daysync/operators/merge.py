@@ -68,7 +68,9 @@ def upsert(
     NULLs too), source rows without a match are inserted, other target rows stay. Columns
     only the source has are added; columns only the target has stay, NULL on insert.
 
-    ``within`` names columns that are part of the key and never NULL, such as the shard.
+    ``within`` names columns that are part of the key and in which NULL equals NULL, such
+    as the shard. (Comparing so also keeps Spark from filtering one use of the source by
+    NULLs and not the other, and computing it twice.)
 
     Two source rows matching one target row are ambiguous. ``on_duplicate="error"`` fails
     the job then; source rows that match nothing are inserted, however many share a key.
@@ -101,19 +103,20 @@ def upsert(
         parts = [target.where(loose), source.where(loose)]
         target, source = target.where(~loose), source.where(~loose)
 
+    match = key_match(by, by if null_safe else within)
     values = [c for c in target.columns if c not in by]
     incoming = keyed(source, by, values)
     known = target.select(*[col(k) for k in by])
     if small_source:
-        known = known.join(keyed(source, by), key_match(by, null_safe=null_safe), "left_semi")
+        known = known.join(keyed(source, by), match, "left_semi")
     known = known.groupBy(*[col(k) for k in by]).agg(F.count(F.lit(1)).alias(_TARGET_ROWS))
     if updates and on_duplicate == "error":
-        parts.insert(0, _ambiguous(source, known, by, null_safe))
-    found = incoming.join(known, key_match(by, null_safe=null_safe), "left")
+        parts.insert(0, _ambiguous(source, known, by, match))
+    found = incoming.join(known, match, "left")
     new = found.where(F.col(_TARGET_ROWS).isNull())
     parts.append(unkeyed(new, by, values).select(*[col(c) for c in target.columns]))
     if updates:
-        target = _updated(target, incoming, by, values, updates, null_safe)
+        target = _updated(target.join(incoming, match, "left"), target.columns, values, updates)
     return reduce(DataFrame.unionByName, [*parts, target])
 
 
@@ -130,21 +133,19 @@ def _checked_keys(
 
 
 def _updated(
-    target: DataFrame, incoming: DataFrame, keys: Sequence[str], values: Sequence[str],
-    updates: Sequence[str], null_safe: bool,
+    joined: DataFrame, columns: Sequence[str], values: Sequence[str], updates: Sequence[str]
 ) -> DataFrame:
     """The target rows, with the source's values where a source row matches."""
-    joined = target.join(incoming, key_match(keys, null_safe=null_safe), "left")
     hit = F.col(KEY_HASH).isNotNull()
     return joined.select(
         *[
             F.when(hit, value(values, c)).otherwise(col(c)).alias(c) if c in updates else col(c)
-            for c in target.columns
+            for c in columns
         ]
     )
 
 
-def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], match: Column) -> DataFrame:
     """No rows; fails the job if a key of several source rows is in the target.
 
     Both sides are aggregated to their keys first, and adaptive execution drops the join
@@ -154,7 +155,7 @@ def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], null_sa
     """
     copies = source.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(_COPIES))
     repeated = keyed(copies.where(F.col(_COPIES) > 1), keys, [_COPIES])
-    both = known.join(repeated, key_match(keys, null_safe=null_safe))
+    both = known.join(repeated, match)
     # Naming a value of each side keeps the check above the join.
     message = F.concat(
         F.lit("merge key "),
@@ -182,7 +183,7 @@ def insert_new_rows(target: DataFrame, source: DataFrame, *, ignore: Sequence[st
     target = evolve(target, source)
     source = conform(source, target)
     known = keyed(target.select(*[col(c) for c in compared]).distinct(), compared)
-    found = source.join(known, key_match(compared, null_safe=True), "left")
+    found = source.join(known, key_match(compared, compared), "left")
     new = found.where(F.col(KEY_HASH).isNull())
     return target.unionByName(new.select(*[col(c) for c in target.columns]))
 

@@ -63,6 +63,17 @@ def test_null_keys_match_when_null_safe(spark):
     assert rows(merged) == [(None, None, "s"), (None, 1, "s"), (1, None, "t")]
 
 
+def test_null_is_a_value_of_the_columns_merged_within(spark):
+    schema = "shard string, id long, v string"
+    target = frame(spark, [(None, 1, "t"), ("d", 1, "t"), (None, None, "t")], schema)
+    source = frame(spark, [(None, 1, "s"), ("e", 1, "s"), (None, None, "s")], schema)
+    assert rows(upsert(target, source, ["id"], within=["shard"])) == [
+        (None, None, "s"), (None, None, "t"), (None, 1, "s"), ("d", 1, "t"), ("e", 1, "s"),
+    ]
+    with pytest.raises(Exception, match="merge key"):
+        upsert(target, source.union(source), ["id"], within=["shard"]).collect()
+
+
 def test_latest_keeps_one_row_of_null_keys_too(spark):
     target = frame(spark, [(None, "t", 1)], "id long, a string, seq int")
     source = frame(spark, [(None, "old", 1), (None, "new", 2)], "id long, a string, seq int")
