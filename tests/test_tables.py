@@ -65,6 +65,9 @@ def test_replace_from_the_table_itself(spark, path):
     table = read_day_table(spark, path)
     kept = {n: os.path.getmtime(f"{path}/shard=20260410/{n}") for n in os.listdir(f"{path}/shard=20260410")}
     changed = table.withColumn("v", F.lit("b")).where("shard = '20260411' AND id < 2")
+    with pytest.raises(ValueError, match="other shards.*20260411"):
+        write.replace_shards(spark, [changed], path, ["20260412"])
+    assert len(content(spark, path, "id")) == 12
     write.replace_shards(spark, [changed], path, ["20260411", "20260412"])
     assert content(spark, path, "shard", "id", "v") == [
         ("20260410", i, "a") for i in range(4)
