@@ -22,6 +22,7 @@ from daysync.operators.joins import KEY_HASH, key_match, keyed, unkeyed, value
 from daysync.operators.schema import conform, evolve
 from daysync.sources.shards import SHARD, in_shards, small
 
+# The column that is the key by itself, and the columns that are it together.
 ID_COLUMN = "id"
 EVENT_KEY = ("user_pseudo_id", "event_timestamp", "event_name")
 

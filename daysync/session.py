@@ -66,14 +66,11 @@ def shuffles_for(spark: SparkSession, size: int) -> Iterator[int]:
 
     Adaptive execution splits only parts that stand out, not a number that is too low.
     """
-    kept = spark.conf.get(_FIRST_PARTITIONS, None)
-    now = int(kept or spark.conf.get(_PARTITIONS))
-    parts = max(now, min(MOST_PARTS, -(-size // PART_BYTES)))
-    spark.conf.set(_FIRST_PARTITIONS, parts)
+    setting = _PARTITIONS if spark.conf.get(_FIRST_PARTITIONS, None) is None else _FIRST_PARTITIONS
+    kept = spark.conf.get(setting)
+    parts = max(int(kept), min(MOST_PARTS, -(-size // PART_BYTES)))
+    spark.conf.set(setting, parts)
     try:
         yield parts
     finally:
-        if kept is None:
-            spark.conf.unset(_FIRST_PARTITIONS)
-        else:
-            spark.conf.set(_FIRST_PARTITIONS, kept)
+        spark.conf.set(setting, kept)

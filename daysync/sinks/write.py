@@ -55,10 +55,11 @@ def replace_shards(
     """Make the frames' rows the contents of the given shards of the table at ``path``.
 
     Rows of other shards are an error. (A filter here would reach into the plans of the
-    frames, and keep them from sharing work.) Frames may differ in columns, as long as each shard comes from one of them, and may
-    read the table itself: all rows are first written next to it. Then every staged shard
-    takes the place of the old one, and a shard without rows is dropped. If the driver
-    dies in between, ``finish_replace`` goes on from the staged copy.
+    frames, and keep them from sharing work.) Frames may differ in columns, as long as each
+    shard comes from one of them, and may read the table itself: all rows are first written
+    next to it. Then every staged shard takes the place of the old one, and a shard without
+    rows is dropped. If the driver dies in between, ``finish_replace`` goes on from the
+    staged copy.
 
     Rows are written as they lie: good for days read from a table of days, which need no
     shuffle. Apply ``by_shard`` first where the rows of a day are scattered.

@@ -6,13 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from daysync import session
+from daysync import session, snapshots
 from daysync.operators.dedupe import latest
-from daysync.operators.merge import insert_new_rows, newer_than, upsert
+from daysync.operators.merge import incremental, insert_new_rows, newer_than, upsert
 from daysync.operators.update import update_matching
 from daysync.plans.apply import merge_days
 from daysync.plans.policies import sync_plan
 from daysync.sinks.write import write_day_table
+from daysync.sources import shards
+from daysync.sources.shards import lookback_shards, missing_shards
 from daysync.sources.tables import read_day_table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -174,7 +176,7 @@ def test_hot_day_is_written_by_many_tasks(spark, tmp_path, conf):
 
 
 def test_shuffles_start_with_enough_parts(spark):
-    before = spark.conf.get(session._FIRST_PARTITIONS, None)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     with session.shuffles_for(spark, 1000 * session.PART_BYTES + 1) as parts:
         assert parts == 1001
         assert ", 1001)" in planned(spark.range(9).groupBy(F.col("id") % 3).count())
@@ -182,7 +184,26 @@ def test_shuffles_start_with_enough_parts(spark):
         assert parts == 4
     with session.shuffles_for(spark, 10**15) as parts:
         assert parts == session.MOST_PARTS
-    assert spark.conf.get(session._FIRST_PARTITIONS, None) == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_window_too_long_to_broadcast(spark, monkeypatch, conf):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    source, target = snapshots.source_events(events), snapshots.target_events(events)
+    days = lookback_shards(snapshots.LOGICAL_DATE, snapshots.ALL_DAYS)
+
+    def run():
+        plan = sync_plan(source, target, "hybrid", snapshots.LOGICAL_DATE, snapshots.ALL_DAYS)
+        staged = incremental(source, target, "modified", days)
+        gaps = missing_shards(source, snapshots.LOGICAL_DATE, snapshots.ALL_DAYS)
+        return [sorted(map(str, df.collect())) for df in (plan, staged, gaps)], planned(staged)
+
+    hinted, _ = run()
+    monkeypatch.setattr(shards, "BROADCAST_DAYS", 1)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plain, plan = run()
+    assert plain == hinted
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
 
 
 def test_flat_tables_are_filtered_by_time_range(spark):
