@@ -95,6 +95,8 @@ def sync_table(
     shards = lookback_shards(logical_date, lookback)
     source = _Side(spark, source_path, shards, modified)
     target = _Side(spark, target_path, shards, modified)
+    if modified and source.schemas and modified not in source.rows.columns:
+        raise ValueError(f"the source has no column {modified}")
     plan = plan_profiles(source.profile(), target.profile(), policy, logical_date, lookback)
     decisions = Decisions.of(plan)
 

@@ -275,6 +275,11 @@ def test_incremental_sync_without_an_id_compares_rows(spark, tmp_path):
     assert {(r[0], str(r[1])) for r in content(spark, target, "v", "modified")} == {("a", TIMES[0]), ("b", TIMES[1])}
 
 
+def test_modified_column_has_to_be_in_the_source(spark, pair):
+    with pytest.raises(ValueError, match="no column changed"):
+        sync(spark, pair, keys=["id"], modified="changed")
+
+
 def test_nothing_due(spark, pair):
     for policy in ("incremental", "hybrid", "replicate"):
         done = sync_table(spark, *pair, policy, logical_date="2026-06-01", modified="modified").collect()
