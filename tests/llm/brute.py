@@ -1,0 +1,51 @@
+"""Plain versions of the operators, one row at a time, to compare results with."""
+
+import re
+from collections import Counter, defaultdict
+
+
+def word_list(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lower)
+
+
+def shingles(text, size):
+    words = word_list(text)
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+
+
+def roots(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def near_duplicates(docs, size, percent):
+    """docs: id -> text. id -> (set size, component)."""
+    sets = {k: shingles(t, size) for k, t in docs.items()}
+    having = defaultdict(list)
+    for k, s in sets.items():
+        for x in s:
+            having[x].append(k)
+    shared = Counter()
+    for ids in having.values():
+        for i, a in enumerate(ids):
+            for b in ids[i + 1 :]:
+                shared[a, b] += 1
+    links = [
+        (a, b) for (a, b), n in shared.items()
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)
+    ]
+    at = roots(docs, links)
+    return {k: (len(sets[k]), at[k]) for k in docs}
