@@ -53,6 +53,11 @@ from daysync.sources.tables import read_day_table  # noqa: E402
 
 import oracle  # noqa: E402
 
+try:  # the corpus operators and their pipeline are a part that can be left out
+    from daysync.llm import queries as corpus
+except ImportError:
+    corpus = None
+
 SMOKE = "/root/testdata/sf0.001"
 ID = {"keys": ["event_id"], "within": ["shard"]}
 EVENT = ["user_id", "ts", "event_type"]
@@ -320,6 +325,10 @@ def _generated(random: bool) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _table_queries() | (corpus.queries() if corpus else {})
+
+
+def _table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "shard_scan": shard_scan,
         "lookback_scan": lookback_scan,
@@ -382,4 +391,4 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (corpus.oracle_sql() if corpus else {})
