@@ -20,3 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
