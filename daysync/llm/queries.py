@@ -2,25 +2,60 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daysync.llm import minhash
+from daysync.llm import bpe, exact, minhash, sql
 from daysync.llm.common import table
 
 
+#: The vocabulary of the queries; the operators take any file of its form.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op3_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digests(block, ids, offsets, encoder):
+        decimals = [str(k).encode() for k in range(len(encoder.vocabulary.token_bytes))]
+        ids, bounds = ids.tolist(), offsets.tolist()
+        coded, decoded = [], []
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            own = ids[a:b]
+            coded.append(hashlib.sha256(b",".join([decimals[k] for k in own])).hexdigest())
+            decoded.append(hashlib.sha256(encoder.decode(own).encode()).hexdigest())
+        sizes = pa.array(offsets[1:] - offsets[:-1])
+        columns = [block.column("doc_id"), sizes, pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return bpe.with_ids(docs, "text", VOCABULARY, digests, schema)
+
+
+def op6_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.exact_groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept",
+        F.col("sha256").alias("text_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
+        "op3_bpe_trie": op3_bpe_trie,
+        "op6_grace_exact_dedup": op6_grace_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.STATEMENTS)
