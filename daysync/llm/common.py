@@ -82,3 +82,15 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Itera
 def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     """A list column out of the values of all rows and where each row begins."""
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each lengthened until no column has it in any spelling."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from daysync.llm.common import blocks, ship, stored
+from daysync.llm.common import blocks, fresh, ship, stored
 
 #: Bytes of distinct text that a table holds before it spills.
 TABLE_BYTES = 48 << 20
@@ -211,21 +211,19 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     single = out.where(~(top & (F.col("tops") > 1))).withColumn("kept", top)
     many = found.where("tops > 1").select(
         F.col("top").alias("id"), F.lower(F.hex("digest")).alias("sha256"), "top", "size",
-        (F.explode(F.sequence(F.lit(1).cast("long"), "tops")) == 1).alias("kept"),
-    )
+        F.explode(F.sequence(F.lit(1).cast("long"), "tops")).alias("nth"),
+    ).withColumn("kept", F.col("nth") == 1)
     columns = ["id", F.col("top").alias("keep"), F.col("size").alias("group_size"), "kept", "sha256"]
     return single.select(*columns).unionByName(many.select(*columns))
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
-    name = "sha256"
-    while name in docs.columns:
-        name += "_"
+    name, top, tops = fresh(docs.columns, "sha256", "top", "tops")
     found = classes(docs, id_column, text_column, table_bytes)
-    stay = found.select(F.lower(F.hex("digest")).alias(name), F.col("top").alias(f"{name}top"), F.col("tops").alias(f"{name}tops"))
+    stay = found.select(F.lower(F.hex("digest")).alias(name), F.col("top").alias(top), F.col("tops").alias(tops))
     rows = _digested(docs, text_column, name).join(stay, name)
-    rows = rows.where(F.col(id_column).cast("long").eqNullSafe(F.col(f"{name}top")))
-    once = rows.where(F.col(f"{name}tops") == 1)
-    again = rows.where(F.col(f"{name}tops") > 1).dropDuplicates([name])
+    rows = rows.where(F.col(id_column).cast("long").eqNullSafe(F.col(top)))
+    once = rows.where(F.col(tops) == 1)
+    again = rows.where(F.col(tops) > 1).dropDuplicates([name])
     return once.unionByName(again).select(*docs.columns)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daysync.llm import bpe, exact, minhash, sql
+from daysync.llm import bpe, exact, minhash, packing, sql
 from daysync.llm.common import table
 
 
@@ -49,11 +49,17 @@ def op6_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf_dir, "documents"), VOCABULARY)
+    return packing.pack(pieces).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op3_bpe_trie": op3_bpe_trie,
         "op6_grace_exact_dedup": op6_grace_exact_dedup,
+        "op8_best_fit_packing": op8_best_fit_packing,
     }
 
 

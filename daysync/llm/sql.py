@@ -5,12 +5,12 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 #: Linked pairs of documents with their components, by walking the links.
 _NEAR = f"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[ \\t\\n\\x0B\\f\\r]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents
 ), sets AS (
   SELECT doc_id, CASE
     WHEN len(w) = 0 THEN []
     WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
   FROM words
 ), sized AS (
   SELECT doc_id, len(s) AS n FROM sets
