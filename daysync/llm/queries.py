@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daysync.llm import bpe, exact, minhash, packing, sql
+from daysync.llm import bpe, exact, minhash, packing, quality, sql
 from daysync.llm.common import table
 
 
@@ -54,12 +54,24 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
 
+def _held_out(id_column: str) -> Column:
+    return F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0
+
+
+def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~_held_out("doc_id"))
+    found = quality.scored(docs, quality.train(docs, labels))
+    return found.select("doc_id", _held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op3_bpe_trie": op3_bpe_trie,
         "op6_grace_exact_dedup": op6_grace_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op10_rule_quality": op10_rule_quality,
     }
 
 
