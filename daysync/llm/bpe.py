@@ -22,10 +22,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from daysync.llm.common import blocks, lists, ship
+from daysync.llm.common import blocks, extended, lists, ship
 from daysync.llm.words import split_words
 
 #: Words kept by a worker between blocks, and characters of them.
@@ -259,7 +258,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: st
     merged; texts of any length are encoded whole. An empty table gives an empty result.
     """
     docs = docs.drop(ids_column) if ids_column != text_column else docs
-    schema = StructType([*docs.schema.fields]).add(ids_column, "array<int>")
+    schema = extended(docs, {ids_column: "array<int>"})
 
     def add(block, ids, offsets, _):
         return pa.RecordBatch.from_arrays([*block.columns, lists(ids, offsets, pa.int32())], names=[*block.schema.names, ids_column])
@@ -273,7 +272,7 @@ def decode(docs: DataFrame, path: str, ids_column: str = "ids", text_column: str
     ship(spark)
     content = spark.sparkContext.broadcast(read_vocabulary(path))
     docs = docs.drop(text_column)
-    schema = StructType([*docs.schema.fields]).add(text_column, "string")
+    schema = extended(docs, {text_column: "string"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
@@ -283,4 +282,4 @@ def decode(docs: DataFrame, path: str, ids_column: str = "ids", text_column: str
                 texts = [None if x is None else encoder.decode(x) for x in block.column(ids_column).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*block.columns, pa.array(texts, pa.string())], names=[*block.schema.names, text_column])
 
-    return docs.select(*docs.columns, F.col(ids_column).alias(text_column)).drop(text_column).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructField, StructType
 
 from daysync.session import work_folder
 
@@ -94,3 +95,8 @@ def fresh(columns: list[str], *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def extended(df: DataFrame, kinds: dict[str, str]) -> StructType:
+    """The schema of ``df`` and further columns of these types."""
+    return StructType([*df.schema.fields, *(StructField(name, DataType.fromDDL(kind)) for name, kind in kinds.items())])

@@ -21,9 +21,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from daysync.llm.common import blocks, fresh, ship, stored
+from daysync.llm.common import blocks, extended, fresh, ship, stored
 
 #: Bytes of distinct text that a table holds before it spills.
 TABLE_BYTES = 48 << 20
@@ -182,7 +181,7 @@ def classes(docs: DataFrame, id_column: str, text_column: str, table_bytes: int
 
 def _digested(docs: DataFrame, text_column: str, name: str) -> DataFrame:
     """``docs`` with the SHA-256 of the normalised text instead of the text, or beside it."""
-    schema = StructType([*docs.schema.fields, StructField(name, StringType())])
+    schema = extended(docs, {name: "string"})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

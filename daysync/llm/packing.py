@@ -23,10 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from daysync.llm import bpe
-from daysync.llm.common import fresh, ship, stored
+from daysync.llm.common import extended, fresh, ship, stored
 
 CAPACITY = 2048
 #: Pieces per chunk aimed at, and chunks of one length for each shuffle partition at most.
@@ -198,5 +197,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             columns = [pa.array([w[k] for w in where], pa.int64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*names, "sequence_id", "offset"])
 
-    schema = StructType([*pieces.schema.fields]).add("sequence_id", "long").add("offset", "long")
-    return numbered.mapInArrow(place, schema)
+    return numbered.mapInArrow(place, extended(pieces, {"sequence_id": "long", "offset": "long"}))

@@ -17,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from daysync.llm.common import blocks, fresh, ship, text_buffers
+from daysync.llm.common import blocks, extended, fresh, ship, text_buffers
 from daysync.llm.shingles import word_hashes
 
 # What a text is judged by, all as shares or means so that its length matters in one only.
@@ -95,9 +94,7 @@ def with_statistics(docs: DataFrame, text_column: str = "text") -> tuple[DataFra
     """``docs`` with a column for each statistic, and the columns' names."""
     ship(docs.sparkSession)
     names = fresh(docs.columns, *STATISTICS)
-    schema = StructType([*docs.schema.fields])
-    for name in names:
-        schema = schema.add(name, "double")
+    schema = extended(docs, dict.fromkeys(names, "double"))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

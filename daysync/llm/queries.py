@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daysync.llm import bpe, exact, minhash, packing, quality, sql
+from daysync.llm import bpe, exact, minhash, packing, pii, quality, sql
 from daysync.llm.common import table
 
 
@@ -54,6 +54,20 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
 
+def _written(spans: Column) -> Column:
+    """``kind:start:end`` of all spans, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op9_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs)).select("doc_id", "pii", F.filter("pii", lambda s: s["base"]).alias("base"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, kind)).alias(kind) for kind in pii.KINDS]
+    counts = [(F.size("base") - c).cast("long").alias(f"n_{kind}") for c, kind in zip(counts, pii.KINDS, strict=True)]
+    return found.select("doc_id", *counts, F.sha2(_written(F.col("base")), 256).alias("base_sha256"), _written(F.col("pii")).alias("spans"))
+
+
 def _held_out(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0
 
@@ -71,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe_trie": op3_bpe_trie,
         "op6_grace_exact_dedup": op6_grace_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_crf_pii": op9_crf_pii,
         "op10_rule_quality": op10_rule_quality,
     }
 
