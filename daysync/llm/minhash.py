@@ -4,18 +4,22 @@ A table key of ordinary banding is made of ``2 * r`` MinHash values of its own.
 are two small collections of ``m`` half keys, each of ``r`` values, and every pair of a half
 key of the first and one of the second makes a table: ``m * m`` tables out of ``2 * m * r``
 values instead of ``2 * m * m * r``. Texts of similarity ``s`` meet in some table with
-probability ``(1 - (1 - s**r) ** m) ** 2``: with the default 2 and 10, all but one pair in
-14,000 at a similarity of just 0.8, and all but one in 500,000 at 0.86.
+probability ``(1 - (1 - s**r) ** m) ** 2``: with the default 4 and 20, all but one pair in
+19,000 at a similarity of just 0.8, and all but one in 3 million at 0.86. A half key that
+no other text has is left out before pairs are made of it, as its tables hold one text.
 
 Texts with the same set of shingles are put into a class before anything is paired, so a
 group of copies takes part once. What meets in a table is confirmed on full sets:
 
-1. every class with the smallest of each of its tables; confirmed links give components;
-2. in tables that still hold several components, pairs between components.
+1. every class with one leader of each of its tables, the class that meets most others;
+   confirmed links give components;
+2. in tables that still hold several components, pairs between components. Texts there may
+   meet by the thousand for a passage they all have. Of a linked pair, either text shares
+   with the other all but a few of its shingles, so they share one among the rarest of each,
+   and as many as the threshold asks for. Pairs are therefore joined by rare shingles, with
+   this bound on what each text shares with any other.
 
-So a large group of near copies costs a link per member, not per pair, and no bucket is cut.
-Pairs of the second step are looked at by their MinHash values first: with an estimate of
-under ``least - SLACK`` (over five standard deviations) texts are not fetched.
+So a large group of near copies costs a link per member, not per pair, and no table is cut.
 """
 
 from __future__ import annotations
@@ -25,16 +29,15 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daysync.llm.common import blocks, lists, ship, stored, text_buffers
 from daysync.llm.components import components
 from daysync.llm.shingles import mix, overlap, shingle_sets
 
-HALVES = 10
-ROWS = 2
-SLACK = 0.35
+HALVES = 20
+ROWS = 4
 
 
 def _multipliers(count: int) -> np.ndarray:
@@ -42,10 +45,10 @@ def _multipliers(count: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_column: str, text_column: str, words: int, halves: int = HALVES, rows: int = ROWS) -> DataFrame:
-    """``id, n_shingles, f1, f2, a, b, sketch`` of each row.
+    """``id, n_shingles, f1, f2, a, b`` of each row.
 
-    f1 and f2 identify the set, a and b are its half keys, sketch has a byte of each MinHash
-    value. Without words n_shingles is 0 and the lists are empty.
+    f1 and f2 identify the set, a and b are its half keys. Without words n_shingles is 0 and
+    the lists are empty.
     """
     ship(docs.sparkSession)
     values = 2 * halves * rows
@@ -70,10 +73,6 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, words: int, ha
                 for k in range(rows):
                     half = mix(half + least[:, k :: rows])
                 offsets = np.concatenate([[0], np.cumsum((sizes > 0) * halves)]).astype(np.int32)
-                bytes_ = mix(least).astype(np.uint8)
-                sketch = [b""] * len(sets)
-                for k, row in zip(full.tolist(), bytes_, strict=True):
-                    sketch[k] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.column("id"),
@@ -82,27 +81,50 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, words: int, ha
                         pa.array(f2.view(np.int64)),
                         lists(half[:, :halves].reshape(-1).view(np.int64), offsets, pa.int64()),
                         lists(half[:, halves:].reshape(-1).view(np.int64), offsets, pa.int64()),
-                        pa.array(sketch, pa.binary()),
                     ],
-                    names=["id", "n_shingles", "f1", "f2", "a", "b", "sketch"],
+                    names=["id", "n_shingles", "f1", "f2", "a", "b"],
                 )
 
     given = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    schema = "id long, n_shingles long, f1 long, f2 long, a array<long>, b array<long>, sketch binary"
+    schema = "id long, n_shingles long, f1 long, f2 long, a array<long>, b array<long>"
     return given.select(F.col("id").cast("long"), "text").mapInArrow(sign, schema)
 
 
-def _similar_sketches(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs whose MinHash values agree in at least so large a part."""
+def _exploded(docs: DataFrame, words: int) -> DataFrame:
+    """``id, n, h``: each shingle of the texts of ``id, text``."""
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, y = (text_buffers(batch.column(c).cast(pa.large_binary()))[0] for c in ("sketch_a", "sketch_b"))
-                same = (x == y).reshape(batch.num_rows, -1).mean(axis=1) >= least
-                yield batch.filter(pa.array(same)).select(["a", "b"])
+            for block in blocks(batch, "text", 1 << 20):
+                sets = shingle_sets(*text_buffers(block.column("text")), words)
+                sizes = np.array([len(x) for x in sets], np.int64)
+                ids = np.repeat(block.column("id").to_numpy(), sizes)
+                hashes = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.repeat(sizes, sizes)), pa.array(hashes)], names=["id", "n", "h"])
+
+    return docs.mapInArrow(run, "id long, n long, h long")
+
+
+def _pairs_by_rare_shingles(texts: DataFrame, groups: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different groups that may be similar enough; no such pair is missing.
 
-    return pairs.mapInArrow(keep, "a long, b long")
+    ``texts`` has ``id, text``, one for each set; ``groups`` has ``rep, component``.
+    """
+    rows = stored(_exploded(texts, words))
+    often = stored(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
+    rows = stored(rows.join(often, "h"))
+    # So many of its shingles a text must share with another.
+    sums = rows.groupBy("id", "n").agg(F.count("*").alias("shared")).where(F.col("shared") * 100 >= F.col("n") * percent)
+    ranked = rows.join(stored(sums), ["id", "n"])
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))
+    # The rarest of a text: those that no other has come first, and are not among the rows.
+    most = F.col("shared") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = ranked.withColumn("nth", nth).where(F.col("nth") <= most)
+    rare = stored(rare.join(groups, F.col("id") == F.col("rep")).select("h", "id", "n", "shared", "component"))
+    left = rare.toDF("h", "a", "n_a", "shared_a", "x")
+    right = rare.toDF("h", "b", "n_b", "shared_b", "y")
+    enough = F.least("shared_a", "shared_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return left.join(right, "h").where((F.col("x") < F.col("y")) & enough).select("a", "b").distinct()
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, share: Fraction) -> DataFrame:
@@ -155,42 +177,40 @@ def near_duplicates(
     classes = stored(full.groupBy(*identity).agg(F.min("id").alias("rep")))
     reps = (
         full.withColumnRenamed("id", "rep").join(classes.where("rep is not null"), [*identity, "rep"], "left_semi")
-        .dropDuplicates([*identity, "rep"])
+        .dropDuplicates([*identity, "rep"]).select("rep", "a", "b")
     )
-    reps = stored(reps.select("rep", "n_shingles", "a", "b", "sketch"))
-
-    # Every pair of half keys is a table; the key says which table it is.
-    tabled = (
-        reps.select("rep", "b", F.posexplode("a").alias("i", "x"))
-        .select("rep", "i", "x", F.posexplode("b").alias("j", "y"))
-        .select("rep", F.xxhash64("i", "j", "x", "y").alias("key"))
-    )
-    shared = stored(
-        tabled.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
-        .select("key", "first")
+
+    # Half keys that several classes have, and the tables that pairs of them make.
+    halves_of = stored(
+        reps.select("rep", F.posexplode("a").alias("i", "x")).select("rep", F.lit(0).alias("side"), F.xxhash64(F.lit(0), "i", "x").alias("half"))
+        .unionByName(reps.select("rep", F.posexplode("b").alias("i", "x")).select("rep", F.lit(1).alias("side"), F.xxhash64(F.lit(1), "i", "x").alias("half")))
     )
-    meetings = stored(tabled.join(shared, "key"))
-    pairs = meetings.where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+    common = halves_of.groupBy("half").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y")
+    halves_of = stored(halves_of.join(stored(common.select("half")), "half", "left_semi"))
+    first = halves_of.where("side = 0").select("rep", F.col("half").alias("x"))
+    second = halves_of.where("side = 1").select("rep", F.col("half").alias("y"))
+    tabled = stored(first.join(second, "rep").select("rep", F.xxhash64("x", "y").alias("key")))
+    several = tabled.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y"), F.count("*").alias("size")).where("x < y")
+    met = stored(tabled.join(stored(several.select("key", "size")), "key"))
+
+    # Each with the leader of its tables.
+    degrees = stored(met.groupBy("rep").agg(F.sum("size").alias("degree")))
+    met = stored(met.join(degrees, "rep").select("key", "rep", "degree"))
+    leaders = met.groupBy("key").agg(F.max_by("rep", F.struct("degree", "rep")).alias("leader"))
+    pairs = met.join(stored(leaders), "key").where("rep != leader")
+    pairs = stored(pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct())
     share = Fraction(percent, 100)
-    linked = stored(_confirmed(stored(pairs), given, words, share))
+    linked = stored(_confirmed(pairs, given, words, share))
 
-    # Rows that share an id but not their set: their classes have one node already.
-    first_found = components(linked)
-    at = meetings.select("key", "rep").join(first_found, F.col("rep") == F.col("node"), "left")
+    # Between components that share a table.
+    found = components(linked)
+    at = met.join(found, F.col("rep") == F.col("node"), "left")
     at = stored(at.select("key", "rep", F.coalesce("component", "rep").alias("component")))
     mixed = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    at = stored(at.join(stored(mixed.select("key")), "key", "left_semi"))
-    left = at.select("key", F.col("rep").alias("a"), F.col("component").alias("x"))
-    right = at.select("key", F.col("rep").alias("b"), F.col("component").alias("y"))
-    across = left.join(right, "key").where("x < y").select("a", "b").distinct()
-    sketched = reps.select("rep", "n_shingles", "sketch").dropDuplicates(["rep"])
-    across = (
-        across.join(sketched.toDF("a", "n_a", "sketch_a"), "a").join(sketched.toDF("b", "n_b", "sketch_b"), "b")
-        .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        .select("a", "b", "sketch_a", "sketch_b")
-    )
-    rest = stored(_similar_sketches(across, percent / 100 - SLACK))
-    linked = linked.union(_confirmed(rest, given, words, share))
+    groups = stored(at.join(stored(mixed.select("key")), "key", "left_semi").select("rep", "component").distinct())
+    texts = given.join(groups, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"])
+    rest = stored(_pairs_by_rare_shingles(texts, groups, words, percent))
+    linked = linked.union(_confirmed(rest.join(pairs, ["a", "b"], "left_anti"), given, words, share))
 
     # Classes of one id (rows that repeat it with other texts) belong together.
     found = components(linked)
