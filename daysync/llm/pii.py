@@ -34,6 +34,27 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
+# Labelled lines that the corpus may lack, data in brackets after its kind.
+LINES = (
+    "call {phone:(988) 555-2485} today",
+    "call {phone:(212) 555 0199} or {phone:212-555-0199}",
+    "tel {phone:030 1234567} fax {phone:030-1234568}",
+    "tel {phone:+49 30 1234567}",
+    "tel {phone:+1 (412) 555-0123} {card:4041894974608795}",
+    "{email:ann.lee@mail.example.com} {phone:+1 (412) 555-0123} {ip:42.144.35.254}",
+    "{ip:42.144.35.254} {card:4041894974608795} {email:b.07@example.org}",
+    "card {card:4041 8949 7460 8795} and {card:4041-8949-7460-8795}",
+    "order 12345678 of 2024-11-30 at 10:45",
+    "order 4041894974608796 was 1234567890123456",
+    "in 1999 and 2003, 17 of 250 or 6.8 %",
+    "version 3.14 or 1.2.3 or 300.1.2.3 or 1.2.3.4.5",
+    "pages 12-15, room 555, 24/7",
+    "a@b and @home and x@ 5",
+    "item 0641917ea4e9feb9cda83477b57ac2654884f485 or 9f86d081884c7d65",
+    "3. 4.0. 12. 100",
+    "numbers 1 2 3 4 5 6 7 8 and 1,000 or 12,500.75",
+)
+
 LABELS = ("O", *(f"{edge}-{kind}" for kind in KINDS for edge in "BI"))
 _OUT = 0
 
@@ -118,6 +139,9 @@ def runs(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+Labelled = tuple[list[tuple[str, ...]], list[int]]
+
+
 @dataclass(frozen=True)
 class Crf:
     """Weights: of each feature for each label, from label to label, at a run's edges."""
@@ -171,7 +195,7 @@ class Crf:
             out[name] = found[k, : sizes[k]].tolist()
 
 
-def fit(rows: list[tuple[list[tuple[str, ...]], list[int]]], steps: int = 150, penalty: float = 0.02) -> Crf:
+def fit(rows: list[Labelled], steps: int = 150, penalty: float = 0.02) -> Crf:
     """A field that gives the labels of ``rows`` the greatest likelihood, with an L2 penalty.
 
     Rows are features of a run's words and their labels. Without rows nothing is ever labelled.
@@ -256,41 +280,53 @@ def _bare() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pairs, first, np.zeros(len(LABELS))
 
 
-def labelled_runs(text: str) -> list[tuple[list[tuple[str, ...]], list[int]]]:
+def _labels(text: str, run: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> Labelled:
+    labels, before = [], None
+    for a, b in run:
+        hit = next((s for s in spans if s[0] < b and a < s[1]), None)
+        labels.append(_OUT if hit is None else 1 + 2 * hit[2] + (hit == before))
+        before = hit
+    return [features(text[a:b]) for a, b in run], labels
+
+
+def labelled_lines() -> list[Labelled]:
+    """The runs of ``LINES`` with their labels."""
+    out = []
+    for line in LINES:
+        text, spans = "", []
+        for part in re.split(r"(\{\w+:[^}]*\})", line):
+            if part.startswith("{"):
+                kind, value = part[1:-1].split(":", 1)
+                spans.append((len(text), len(text) + len(value), KINDS.index(kind)))
+                part = value
+            text += part
+        out += [_labels(text, run, spans) for run in runs(text)]
+    return out
+
+
+def labelled_runs(text: str) -> list[Labelled]:
     """Runs of a text with the labels that the rules give their words.
 
-    A phone number is there a second time without its country code, and a card number in
-    groups of four: forms that the rules leave out or that are rare.
+    Runs with something of a rule's form that failed its other conditions are left out: it
+    may be two things that stand side by side.
     """
     spans = rule_spans(text)
+    kept = {s[:2] for s in spans}
+    doubtful = [m.span() for form in (_IP, _CARD, _PHONE) for m in form.finditer(text) if m.span() not in kept and len(_NOT_DIGIT.sub("", m[0])) >= 9]
     out = []
     for run in runs(text):
         run = run[:MOST_WORDS]
-        labels, before = [], None
-        for a, b in run:
-            hit = next((s for s in spans if s[0] < b and a < s[1]), None)
-            labels.append(_OUT if hit is None else 1 + 2 * hit[2] + (hit == before))
-            before = hit
-        words = [text[a:b] for a, b in run]
-        out.append(([features(w) for w in words], labels))
-        phone, card = 1 + 2 * KINDS.index("phone"), 1 + 2 * KINDS.index("card")
-        if phone in labels and phone + 1 in labels:
-            k = labels.index(phone)
-            if labels[k + 1 : k + 2] == [phone + 1]:
-                out.append(([features(w) for w in words[:k] + words[k + 1 :]], [*labels[:k], phone, *labels[k + 2 :]]))
-        if card in labels and words[labels.index(card)].isdigit():
-            k = labels.index(card)
-            groups = [words[k][x : x + 4] for x in range(0, len(words[k]), 4)]
-            out.append(([features(w) for w in [*words[:k], *groups, *words[k + 1 :]]], [*labels[:k], card, *[card + 1] * (len(groups) - 1), *labels[k + 1 :]]))
+        if not any(a < run[-1][1] and run[0][0] < b for a, b in doubtful):
+            out.append(_labels(text, run, spans))
     return out
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_documents: int = MOST_DOCUMENTS) -> Crf:
     """A field trained on a small table of labelled runs.
 
-    The table is made from ``most_documents`` documents with digits, those with the smallest
-    hash of their id, and holds each kind of run with its number only. Ids that are null are
-    not used here.
+    The table has ``LINES`` and what the rules say of ``most_documents`` documents with
+    digits, those with the smallest hash of their id; it holds each kind of run once with its
+    number. Rows without id are not used here.
     """
     ship(docs.sparkSession)
     given = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
@@ -316,7 +352,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     found = texts.mapInArrow(label, "words array<array<string>>, labels array<int>, n long")
     found = found.groupBy("words", "labels").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "words", "labels").limit(most_documents)
     rows = [([tuple(w) for w in r["words"]], list(r["labels"])) for r in found.collect() for _ in range(min(r["n"], 100))]
-    return fit(rows)
+    return fit(rows + 20 * labelled_lines())
 
 
 def _added(texts: list[str], rules: list[list[tuple[int, int, int]]], model: Crf) -> list[list[tuple[int, int, int]]]:
