@@ -54,6 +54,7 @@ from daysync.sources.tables import read_day_table  # noqa: E402
 import oracle  # noqa: E402
 
 try:  # the corpus operators and their pipeline are a part that can be left out
+    import corpus_pipeline
     from daysync.llm import queries as corpus
 except ImportError:
     corpus = None
@@ -325,7 +326,9 @@ def _generated(random: bool) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _table_queries() | (corpus.queries() if corpus else {})
+    if corpus is None:
+        return _table_queries()
+    return _table_queries() | corpus.queries() | {"pipeline": corpus_pipeline.run}
 
 
 def _table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -391,4 +394,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements() | (corpus.oracle_sql() if corpus else {})
+    if corpus is None:
+        return oracle.statements()
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracle.statements() | corpus.oracle_sql() | sql
