@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daysync.llm import bpe, exact, minhash, packing, pii, quality, sql
+from daysync.llm import bpe, exact, lattice, minhash, packing, pii, quality, secrets, sql
 from daysync.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op2_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lattice.near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op3_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digests(block, ids, offsets, encoder):
         decimals = [str(k).encode() for k in range(len(encoder.vocabulary.token_bytes))]
@@ -41,6 +46,25 @@ def op3_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_ids(docs, "text", VOCABULARY, digests, schema)
 
 
+def _written(spans: Column) -> Column:
+    """``kind:start:end`` of all spans, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op4_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
+    base = F.filter("secrets", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    status = F.transform("secrets", lambda s: s["status"])
+    count = lambda values, value: (F.size(values) - F.size(F.array_remove(values, value))).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(kinds, k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
+        F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("secrets")).alias("spans"),
+        count(status, "live").alias("n_live"), count(status, "example").alias("n_example"),
+    )
+
+
 def op6_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.exact_groups(table(spark, sf_dir, "documents"))
     return found.select(
@@ -54,11 +78,6 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
 
-def _written(spans: Column) -> Column:
-    """``kind:start:end`` of all spans, joined by commas."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
 def op9_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.train(docs)).select("doc_id", "pii", F.filter("pii", lambda s: s["base"]).alias("base"))
@@ -82,7 +101,9 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
+        "op2_lattice_near_dedup": op2_lattice_near_dedup,
         "op3_bpe_trie": op3_bpe_trie,
+        "op4_ownership_secrets": op4_ownership_secrets,
         "op6_grace_exact_dedup": op6_grace_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_crf_pii": op9_crf_pii,

@@ -35,6 +35,33 @@ SELECT doc_id, n::BIGINT AS n_shingles, component_id, doc_id = component_id AS k
 FROM sized JOIN found USING (doc_id)
 """
 
+#: A vector that is zero or holds a null or non-finite component has no length.
+_VECTORS = """
+WITH RECURSIVE sized AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), usable AS (
+  SELECT * FROM sized WHERE label IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_max(list_transform(v, lambda x: abs(x))) > 0
+), links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q
+  ON p.label = q.label AND p.vec_id < q.vec_id AND len(p.v) = len(q.v)
+  WHERE list_cosine_similarity(p.v, q.v) >= 0.93
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reached.a, ways.b FROM reached JOIN ways ON ways.a = reached.b
+), found AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n FROM ways GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM found LEFT JOIN counted USING (vec_id)
+"""
+
 _EXACT = f"""
 WITH keyed AS (SELECT doc_id, {_LOWER} AS t FROM documents),
 groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM keyed GROUP BY t)
@@ -44,5 +71,6 @@ FROM keyed JOIN groups USING (t)
 
 STATEMENTS = {
     "op1_minhash_near_dedup": _NEAR,
+    "op2_lattice_near_dedup": _VECTORS,
     "op6_grace_exact_dedup": _EXACT,
 }
