@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daysync.llm import bpe, exact, lattice, minhash, packing, pii, quality, secrets, sql
+from daysync.llm import bpe, chat, exact, html, lattice, minhash, packing, pii, quality, secrets, sql
 from daysync.llm.common import table
 
 
@@ -65,6 +65,11 @@ def op4_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.visible_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.exact_groups(table(spark, sf_dir, "documents"))
     return found.select(
@@ -73,6 +78,16 @@ def op6_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chat.conversations(table(spark, sf_dir, "conversations"))
+    pairs = chat.stale_replies(found).withColumn("n_turns", F.size("chosen"))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return chat.format_preferences(pairs).select(
+        F.col("id").alias("conv_id"), "n_turns", "n_common", "prompt", "chosen", spans("chosen_mask").alias("chosen_mask"),
+        "rejected", spans("rejected_mask").alias("rejected_mask"),
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), VOCABULARY)
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
@@ -104,7 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_lattice_near_dedup": op2_lattice_near_dedup,
         "op3_bpe_trie": op3_bpe_trie,
         "op4_ownership_secrets": op4_ownership_secrets,
+        "op5_html_layout": op5_html_layout,
         "op6_grace_exact_dedup": op6_grace_exact_dedup,
+        "op7_preference_format": op7_preference_format,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_crf_pii": op9_crf_pii,
         "op10_rule_quality": op10_rule_quality,

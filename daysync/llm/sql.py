@@ -69,8 +69,47 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 FROM keyed JOIN groups USING (t)
 """
 
+#: The last reply against the one before; turns written as in the operator.
+_CHAT = """
+WITH given AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM given
+), replies AS (
+  SELECT conv_id, max(k) AS last FROM numbered WHERE role = 'assistant' GROUP BY conv_id
+), sides AS (
+  SELECT n.*, n.k = r.last AS reply FROM numbered n LEFT JOIN replies r USING (conv_id)
+  WHERE r.last IS NULL OR n.k <= r.last
+), earlier AS (
+  SELECT n.conv_id, max_by(n.text, n.k) AS text FROM numbered n JOIN replies r USING (conv_id)
+  WHERE n.role = 'assistant' AND n.k < r.last GROUP BY n.conv_id
+), both AS (
+  SELECT s.conv_id, s.k, s.role, s.text AS c, CASE WHEN s.reply THEN coalesce(e.text, '') ELSE s.text END AS r
+  FROM sides s LEFT JOIN earlier e USING (conv_id)
+), turns AS (
+  SELECT *, '<|' || role || '|>' || chr(10) AS head,
+    sum(CASE WHEN c <> r THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) > 0 AS apart
+  FROM both
+), sized AS (
+  SELECT *, coalesce(sum(length(head) + length(c) + 8) FILTER (apart) OVER w, 0) AS c_at,
+    coalesce(sum(length(head) + length(r) + 8) FILTER (apart) OVER w, 0) AS r_at
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT conv_id, count(*)::INTEGER AS n_turns, count(*) FILTER (NOT apart)::INTEGER AS n_common,
+  coalesce(string_agg(head || c || '<|end|>' || chr(10), '' ORDER BY k) FILTER (NOT apart), '') AS prompt,
+  coalesce(string_agg(head || c || '<|end|>' || chr(10), '' ORDER BY k) FILTER (apart), '') AS chosen,
+  coalesce(string_agg((c_at + length(head))::BIGINT || ':' || (c_at + length(head) + length(c) + 7)::BIGINT, ',' ORDER BY k)
+    FILTER (apart AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(head || r || '<|end|>' || chr(10), '' ORDER BY k) FILTER (apart), '') AS rejected,
+  coalesce(string_agg((r_at + length(head))::BIGINT || ':' || (r_at + length(head) + length(r) + 7)::BIGINT, ',' ORDER BY k)
+    FILTER (apart AND role = 'assistant'), '') AS rejected_mask
+FROM sized GROUP BY conv_id
+"""
+
 STATEMENTS = {
     "op1_minhash_near_dedup": _NEAR,
     "op2_lattice_near_dedup": _VECTORS,
+    "op7_preference_format": _CHAT,
     "op6_grace_exact_dedup": _EXACT,
 }
