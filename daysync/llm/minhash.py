@@ -16,8 +16,10 @@ group of copies takes part once. What meets in a table is confirmed on full sets
 2. in tables that still hold several components, pairs between components. Texts there may
    meet by the thousand for a passage they all have. Of a linked pair, either text shares
    with the other all but a few of its shingles, so they share one among the rarest of each,
-   and as many as the threshold asks for. Pairs are therefore joined by rare shingles, with
-   this bound on what each text shares with any other.
+   and in all no more than either shares with anyone. Pairs are therefore joined by their
+   rare shingles with this bound. Where the first shingle they share is one that many texts
+   have, so are all that they share, and only such shingles count for the bound: copies that
+   were changed too much to be linked with most of their group drop out before pairing.
 
 So a large group of near copies costs a link per member, not per pair, and no table is cut.
 """
@@ -38,6 +40,8 @@ from daysync.llm.shingles import mix, overlap, shingle_sets
 
 HALVES = 20
 ROWS = 4
+#: A shingle that more texts have is frequent; the number changes what is compared, not the result.
+FREQUENT = 16
 
 
 def _multipliers(count: int) -> np.ndarray:
@@ -114,21 +118,23 @@ def _pairs_by_rare_shingles(texts: DataFrame, groups: DataFrame, words: int, per
     often = stored(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
     rows = stored(rows.join(often, "h"))
     # So many of its shingles a text must share with another.
-    sums = rows.groupBy("id", "n").agg(F.count("*").alias("shared")).where(F.col("shared") * 100 >= F.col("n") * percent)
+    sums = rows.groupBy("id", "n").agg(F.count("*").alias("shared"), F.count_if(F.col("df") > FREQUENT).alias("frequent"))
+    sums = sums.where(F.col("shared") * 100 >= F.col("n") * percent)
     ranked = rows.join(stored(sums), ["id", "n"])
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))
+    nth = F.row_number().over(Window.partitionBy("id", "n").orderBy("df", "h"))
     # The rarest of a text: those that no other has come first, and are not among the rows.
     most = F.col("shared") - F.ceil(F.col("n") * percent / 100) + 1
     rare = ranked.withColumn("nth", nth).where(F.col("nth") <= most)
-    rare = stored(rare.join(groups, F.col("id") == F.col("rep")).select("h", "id", "n", "shared", "component"))
-    left = rare.toDF("h", "a", "n_a", "shared_a", "x")
-    right = rare.toDF("h", "b", "n_b", "shared_b", "y")
-    enough = F.least("shared_a", "shared_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    rare = rare.withColumn("bound", F.when(F.col("df") > FREQUENT, F.col("frequent")).otherwise(F.col("shared")))
+    rare = stored(rare.join(groups, F.col("id") == F.col("rep")).select("h", "id", "n", "bound", "component"))
+    left = rare.toDF("h", "a", "n_a", "bound_a", "x")
+    right = rare.toDF("h", "b", "n_b", "bound_b", "y")
+    enough = F.least("bound_a", "bound_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     return left.join(right, "h").where((F.col("x") < F.col("y")) & enough).select("a", "b").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, share: Fraction) -> DataFrame:
-    """Pairs ``a, b`` of ids whose full sets are similar enough; ``docs`` has ``id, text``."""
+def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """Pairs ``a, b`` of ids whose full sets are similar enough; ``texts`` has ``id, text``."""
     up, down = share.numerator, share.denominator
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +148,6 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, share: Fraction) -
                     good.append(both > 0 and down * both >= up * (len(s) + len(t) - both))
                 yield block.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = stored(docs.join(ends, "id", "left_semi"))
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
@@ -199,8 +203,10 @@ def near_duplicates(
     leaders = met.groupBy("key").agg(F.max_by("rep", F.struct("degree", "rep")).alias("leader"))
     pairs = met.join(stored(leaders), "key").where("rep != leader")
     pairs = stored(pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct())
+    texts = given.join(degrees.select(F.col("rep").alias("id")), "id", "left_semi")
+    texts = stored(texts.dropDuplicates(["id", "text"]))
     share = Fraction(percent, 100)
-    linked = stored(_confirmed(pairs, given, words, share))
+    linked = stored(_confirmed(pairs, texts, words, share))
 
     # Between components that share a table.
     found = components(linked)
@@ -208,9 +214,9 @@ def near_duplicates(
     at = stored(at.select("key", "rep", F.coalesce("component", "rep").alias("component")))
     mixed = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     groups = stored(at.join(stored(mixed.select("key")), "key", "left_semi").select("rep", "component").distinct())
-    texts = given.join(groups, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"])
-    rest = stored(_pairs_by_rare_shingles(texts, groups, words, percent))
-    linked = linked.union(_confirmed(rest.join(pairs, ["a", "b"], "left_anti"), given, words, share))
+    mixed_texts = texts.join(groups.select(F.col("rep").alias("id")), "id", "left_semi")
+    rest = stored(_pairs_by_rare_shingles(mixed_texts, groups, words, percent))
+    linked = linked.union(_confirmed(rest.join(pairs, ["a", "b"], "left_anti"), texts, words, share))
 
     # Classes of one id (rows that repeat it with other texts) belong together.
     found = components(linked)

@@ -84,13 +84,13 @@ WITH given AS (
 ), earlier AS (
   SELECT n.conv_id, max_by(n.text, n.k) AS text FROM numbered n JOIN replies r USING (conv_id)
   WHERE n.role = 'assistant' AND n.k < r.last GROUP BY n.conv_id
-), both AS (
+), paired AS (
   SELECT s.conv_id, s.k, s.role, s.text AS c, CASE WHEN s.reply THEN coalesce(e.text, '') ELSE s.text END AS r
   FROM sides s LEFT JOIN earlier e USING (conv_id)
 ), turns AS (
   SELECT *, '<|' || role || '|>' || chr(10) AS head,
     sum(CASE WHEN c <> r THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) > 0 AS apart
-  FROM both
+  FROM paired
 ), sized AS (
   SELECT *, coalesce(sum(length(head) + length(c) + 8) FILTER (apart) OVER w, 0) AS c_at,
     coalesce(sum(length(head) + length(r) + 8) FILTER (apart) OVER w, 0) AS r_at
