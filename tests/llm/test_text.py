@@ -1,0 +1,157 @@
+"""Words, shingles, byte-level BPE and packing plans, without Spark."""
+
+import random
+from collections import Counter
+
+import brute
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from daysync.llm import bpe, lattice, packing, quality
+from daysync.llm.common import blocks, text_buffers
+from daysync.llm.shingles import overlap, shingle_sets
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+TEXTS = st.text(alphabet=st.sampled_from("aAbB .,'st1²é中\n\t\x0b\x1c\x85 "), max_size=40)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.TrieEncoder(bpe.Vocabulary(bpe.read_vocabulary(PATH)))
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@given(st.lists(st.one_of(st.none(), TEXTS), max_size=6), st.integers(1, 5))
+@settings(max_examples=150, deadline=None)
+def test_shingles_are_those_of_a_plain_version(texts, size):
+    sets = shingle_sets(*text_buffers(pa.array(texts, pa.string())), size)
+    plain = [brute.shingles(t, size) for t in texts]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    for i in range(len(texts)):
+        for j in range(i):
+            assert overlap(sets[i], sets[j]) == len(plain[i] & plain[j])
+
+
+def test_blocks_hold_every_row():
+    batch = pa.RecordBatch.from_pydict({"t": ["a" * k for k in (0, 50, 3, 4, 0, 5, 100, 0)] + [None]})
+    found = list(blocks(batch, "t", 10))
+    assert [x for b in found for x in b.column("t").to_pylist()] == batch.column("t").to_pylist()
+    assert all(b.num_rows == 1 or len(text_buffers(b.column("t"))[0]) <= 10 for b in found)
+    assert list(blocks(batch.slice(0, 0), "t")) == []
+
+
+def _same(encoder, library, texts):
+    ids, offsets = encoder.encode(texts)
+    expected = [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == expected
+    assert [encoder.decode(x) for x in expected] == [library.decode(x, skip_special_tokens=False) for x in expected]
+
+
+def test_ids_are_those_of_the_library(encoder, library):
+    pick = random.Random(3)
+    parts = ["'", "s", "re", "ll", " ", "\n", "  ", "\t", "a", "B", "é", "1", "²", "٣", "!", "€", "😀", " ", " ", "\x85",
+             "​", "中", "<|endoftext|>", "ſ", "\x1c", "\x00", "'d", "'ve", "’", "tion", "zu", "�"]
+    _same(encoder, library, ["".join(pick.choice(parts) for _ in range(pick.randint(0, 12))) for _ in range(3000)])
+    _same(encoder, library, [None, "", " ", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x" * 5000, " " * 3000 + "y", "ab" * 4000])
+
+
+@given(st.lists(st.text(max_size=30), max_size=5))
+@settings(max_examples=100, deadline=None)
+def test_any_text_is_encoded_as_by_the_library(encoder, library, texts):
+    _same(encoder, library, texts)
+
+
+def test_every_character_has_the_library_class(encoder, library):
+    _same(encoder, library, [f"a{chr(c)}a1{chr(c)} {chr(c)}" for c in range(0, 0x3100)])
+
+
+def test_forgetting_words_changes_nothing(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 20)
+    for k in range(5):
+        _same(encoder, library, [f"word{k} and{j} more" for j in range(10)])
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=40))
+@settings(max_examples=100, deadline=None)
+def test_plans_use_each_length_as_often_as_it_counts(counts):
+    plan = packing.plan(counts, 64)
+    used = Counter()
+    for p in plan:
+        assert 0 < sum(p.lengths) <= 64
+        for n in p.lengths:
+            used[n] += p.count
+    assert used == Counter(counts)
+    total = sum(k * n for k, n in counts.items())
+    # Best fit leaves no two sequences that would fit into one.
+    assert sum(p.count for p in plan) <= max(1, 2 * -(-total // 64))
+
+
+def test_complements_of_one_two_and_three_are_filled():
+    for lengths in ([40, 24], [40, 20, 4], [40, 12, 8, 4]):
+        plan = packing.plan(Counter(lengths), 64)
+        assert [sorted(p.lengths) for p in plan] == [sorted(lengths)]
+    many = packing.plan({40: 1000, 12: 1000, 8: 1000, 4: 1000}, 64)
+    assert sum(p.count for p in many) == 1000
+
+
+def test_places_are_gapless():
+    at = packing.places(packing.plan({40: 3, 24: 2, 10: 5, 64: 1}, 64))
+    filled = {}
+    for length, n in {40: 3, 24: 2, 10: 5, 64: 1}.items():
+        for k in range(n):
+            sequence, offset = at.find(length, k)
+            filled.setdefault(sequence, []).append((offset, length))
+    for rows in filled.values():
+        end = 0
+        for offset, length in sorted(rows):
+            assert offset == end
+            end += length
+        assert end <= 64
+
+
+def test_e8_points_are_the_nearest():
+    rng = np.random.default_rng(0)
+    y = rng.standard_normal((300, 8)) * 2
+    found = lattice.nearest_e8(y)
+    assert ((2 * found) % 1 == 0).all() and (found.sum(1) % 2 == 0).all()
+    assert all(len(set((2 * row) % 2)) == 1 for row in found)
+    shortest = lattice._minimal_vectors()
+    assert len(shortest) == 240 and len(np.unique(shortest, axis=0)) == 240
+    d = ((y - found) ** 2).sum(1)
+    for v in shortest:
+        assert (((y - found - v) ** 2).sum(1) >= d - 1e-9).all()
+
+
+def test_recall_of_cells_at_the_threshold():
+    rng = np.random.default_rng(1)
+    u, w = rng.standard_normal((2, 4000, 64))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    w -= (w * u).sum(1)[:, None] * u
+    w /= np.linalg.norm(w, axis=1)[:, None]
+    labels = np.zeros(4000, np.int64)
+    a, b = (lattice.cells(x, labels, lattice.Lattice()) for x in (u, 0.93 * u + np.sqrt(1 - 0.93**2) * w))
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    assert (both[:, 1:] == both[:, :-1]).any(1).mean() > 0.999
+
+
+def test_rules_separate_and_are_few():
+    rng = np.random.default_rng(5)
+    x = rng.random((3000, len(quality.STATISTICS)))
+    y = ((x[:, 1] < 0.5) & (x[:, 5] < 0.8)).astype(int)
+    model = quality.fit(x, y)
+    z = rng.random((2000, x.shape[1]))
+    truth = (z[:, 1] < 0.5) & (z[:, 5] < 0.8)
+    assert ((model.score(z) >= 0.5) == truth).mean() > 0.97
+    assert len(model.rules) < 80
+    assert quality.fit(x[:0], y[:0]).score(z).min() > 0.99
+    assert quality.fit(x, np.zeros(3000, int)).score(z).max() < 0.01
+    assert quality.fit(x * 0, y).score(z).std() == 0
