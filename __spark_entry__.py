@@ -39,7 +39,7 @@ from daysync.plans.apply import apply_plan, backfill, replace_days  # noqa: E402
 from daysync.plans.policies import sync_plan  # noqa: E402
 from daysync.plans.run import sync_table  # noqa: E402
 from daysync.session import work_folder  # noqa: E402
-from daysync.sinks.write import export_parquet  # noqa: E402
+from daysync.sinks.write import export_parquet, write_day_table  # noqa: E402
 from daysync.sources.shards import (  # noqa: E402
     SHARD,
     in_shards,
@@ -255,6 +255,42 @@ def _synced(policy: str, result: Callable[[SparkSession, str, DataFrame], DataFr
     return query
 
 
+def incremental_first_sync(spark, d):
+    """The target has no table yet."""
+    folder = work_folder(spark)
+    write_day_table(_sides(spark, d)[0], f"{folder}/source")
+    sync_table(
+        spark, f"{folder}/source", f"{folder}/target", "incremental", modified="modified", keys=["event_id"], **WINDOW
+    )
+    return read_day_table(spark, f"{folder}/target")
+
+
+def _renamed_sync(names: dict[str, str], columns: list[str], policy: str, **options):
+    """A sync of tables that have the key columns by their names."""
+
+    def query(spark, d):
+        folder = work_folder(spark)
+        for side, df in zip(("source", "target"), _sides(spark, d), strict=True):
+            if "event_time" in names.values():
+                df = df.withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+            write_day_table(df.withColumnsRenamed(names).select(*columns, SHARD), f"{folder}/{side}")
+        sync_table(spark, f"{folder}/source", f"{folder}/target", policy, modified="modified", **WINDOW, **options)
+        return read_day_table(spark, f"{folder}/target")
+
+    return query
+
+
+def late_rows(spark, d):
+    """Days whose newest rows are alike and of which the source has more are merged too."""
+    source, target = _sides(spark, d)
+    late = source.withColumn("modified", target_time(source))
+    return sync_plan(late, target, "modified", time_column="ts", late_rows=True, **WINDOW)
+
+
+def target_time(source):
+    return F.col("ts").cast(source.schema["modified"].dataType)
+
+
 def _target_table(spark, target, _):
     return read_day_table(spark, target)
 
@@ -284,17 +320,17 @@ def union_both(spark, d):
 
 
 def update_every_row(spark, d):
-    extra = F.concat(F.lit("Extra_"), F.floor("value").cast("string"))
+    extra = F.concat(F.lit("whole "), F.floor("value").cast("string"))
     return update_all(_sides(spark, d)[1], {"props": extra})
 
 
 def update_by_subquery(spark, d):
-    text = F.lit("Updated description for testing")
+    text = F.lit("first by id")
     return update_first(_sides(spark, d)[1], "event_id", 1, {"props": text})
 
 
 def update_top_k(spark, d):
-    extra = F.concat(F.lit("Extra_"), F.col("user_id").cast("string"))
+    extra = F.concat(F.lit("user "), F.col("user_id").cast("string"))
     return update_first(_sides(spark, d)[1], "event_id", 3, {"props": extra})
 
 
@@ -327,11 +363,11 @@ def _generated(random: bool) -> Callable[[SparkSession, str], DataFrame]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     if corpus is None:
-        return _table_queries()
-    return _table_queries() | corpus.queries() | {"pipeline": corpus_pipeline.run}
+        return table_queries()
+    return table_queries() | corpus.queries() | {"pipeline": corpus_pipeline.run}
 
 
-def _table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "shard_scan": shard_scan,
         "lookback_scan": lookback_scan,
@@ -374,6 +410,22 @@ def _table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hybrid_sync_table": _synced("hybrid", _target_table, keys=["event_id"]),
         "replicate_sync_table": _synced("replicate", _target_table),
         "hybrid_sync_report": _synced("hybrid", _sync_report, keys=["event_id"]),
+        "modified_sync_table": _synced("modified", _target_table, keys=["event_id"]),
+        "d1_replace_sync_table": _synced("d1_replace", _target_table, keys=["event_id"]),
+        "rowcount_sync_table": _synced("rowcount", _target_table, keys=["event_id"]),
+        "both_sync_table": _synced("both", _target_table, keys=["event_id"]),
+        "incremental_sync_table": _synced("incremental", _target_table, keys=["event_id"]),
+        "incremental_first_sync": incremental_first_sync,
+        "event_key_sync_table": _renamed_sync(
+            {"ts": "event_time", "event_type": "event_name"}, ["event_time", "event_name", "value", "modified"],
+            "hybrid", on_duplicate="latest",
+        ),
+        "composite_sync_table": _renamed_sync(
+            {"user_id": "user_pseudo_id", "ts": "event_timestamp", "event_type": "event_name"},
+            ["event_id", "user_pseudo_id", "event_timestamp", "event_name", "value", "modified"], "hybrid",
+        ),
+        "late_rows": late_rows,
+        "report_replicate": lambda spark, d: report.by_bucket(_plan("replicate")(spark, d), report.REPLICATE_BUCKETS),
         "export_projection": export_projection,
         "append_by_name": append_rows_by_name,
         "union_all": union_both,

@@ -63,11 +63,12 @@ def merge_on(
     on: str | Sequence[str],
     *,
     suffixes: tuple[str, str] = ("_x", "_y"),
-    null_safe: bool = True,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Inner join showing each key once; other clashing names get a suffix per side.
 
-    As in a data-frame merge a NULL key matches a NULL key, unless ``null_safe`` is off.
+    A NULL key matches nothing, as in SQL. With ``null_safe`` it matches every NULL key, which
+    gives a row for each pair of them.
     """
     keys = [on] if isinstance(on, str) else list(on)
     clash = (set(left.columns) & set(right.columns)) - set(keys)

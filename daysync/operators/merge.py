@@ -20,11 +20,15 @@ from daysync.functions.columns import EPOCH, any_of, col
 from daysync.operators.dedupe import latest
 from daysync.operators.joins import KEY_HASH, key_match, keyed, unkeyed, value
 from daysync.operators.schema import conform, evolve
-from daysync.sources.shards import SHARD, in_shards, small
+from daysync.sources.shards import SHARD, in_shards
 
 # The column that is the key by itself, and the columns that are it together.
 ID_COLUMN = "id"
 EVENT_KEY = ("user_pseudo_id", "event_timestamp", "event_name")
+TIME_KEY = ("event_time", "event_name")
+
+# For callers that made the source's keys unique: nothing is checked.
+UNIQUE = "unique"
 
 _COPIES = "__copies"
 _TARGET_ROWS = "__target_rows"
@@ -35,15 +39,20 @@ def choose_keys(
     *,
     id_column: str = ID_COLUMN,
     composite: Sequence[str] = EVENT_KEY,
+    by_time: Sequence[str] = TIME_KEY,
     present_only: bool = False,
 ) -> list[str]:
-    """The merge key a source with these columns gets: its id, else the composite key.
+    """The merge key a source with these columns gets: its id, else a composite key.
 
-    A composite key with a column missing is an error, or with ``present_only`` shrinks to
-    the columns there are, as long as one is.
+    That is ``composite``, or ``by_time`` where only this one is complete. If neither is, it
+    is an error. Only with ``present_only`` does ``composite`` shrink to the columns there
+    are: rows that differ in the others are then one.
     """
     if id_column in columns:
         return [id_column]
+    for key in (composite, by_time):
+        if key and all(c in columns for c in key):
+            return list(key)
     present = [c for c in composite if c in columns]
     missing = [c for c in composite if c not in columns]
     if not present or (missing and not present_only):
@@ -61,7 +70,6 @@ def upsert(
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     null_safe: bool = False,
-    small_source: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it.
 
@@ -75,19 +83,21 @@ def upsert(
 
     Two source rows matching one target row are ambiguous. ``on_duplicate="error"`` fails
     the job then; source rows that match nothing are inserted, however many share a key.
-    ``"latest"`` first keeps one row per key, the greatest by ``order_by``. ``"unique"``
-    takes the caller's word that the source has one row per key.
+    ``"latest"`` first keeps one row per key, the greatest by ``order_by``, which has to be
+    given then.
 
     Keys compare with ``=``, so rows with a NULL key match nothing: they stay or are
     inserted, and bypass the joins, where they would all meet in one task. With
     ``null_safe`` NULL equals NULL.
 
-    With ``small_source`` the target's keys are looked up among the source's instead of
-    all being shuffled; right if Spark can broadcast the source, costly if it cannot.
+    Of the target's keys only those are counted that the source has. Spark broadcasts a
+    small source for that, and the target is not shuffled.
     """
     by = _checked_keys(keys, within, target, source)
-    if on_duplicate not in ("error", "latest", "unique"):
-        raise ValueError(f"on_duplicate is error, latest or unique, not {on_duplicate}")
+    if on_duplicate not in ("error", "latest", UNIQUE):
+        raise ValueError(f"on_duplicate is error or latest, not {on_duplicate}")
+    if on_duplicate == "latest" and not order_by:
+        raise ValueError("the latest row of a key needs order_by")
     updates = [c for c in (source.columns if update_columns is None else update_columns) if c not in by]
     unknown = [c for c in updates if c not in source.columns]
     if unknown:
@@ -107,9 +117,7 @@ def upsert(
     match = key_match(by, by if null_safe else within)
     values = [c for c in target.columns if c not in by]
     incoming = keyed(source, by, values)
-    known = target.select(*[col(k) for k in by])
-    if small_source:
-        known = known.join(keyed(source, by), match, "left_semi")
+    known = target.select(*[col(k) for k in by]).join(keyed(source, by), match, "left_semi")
     known = known.groupBy(*[col(k) for k in by]).agg(F.count(F.lit(1)).alias(_TARGET_ROWS))
     if updates and on_duplicate == "error":
         parts.insert(0, _ambiguous(source, known, by, match))
@@ -128,6 +136,10 @@ def _checked_keys(
         raise ValueError("a merge needs at least one key column")
     by = list(dict.fromkeys([*within, *keys]))
     missing = [k for k in by if k not in source.columns or k not in target.columns]
+    for k in missing:
+        other = [c for c in (*source.columns, *target.columns) if c.lower() == k.lower() and c != k]
+        if other:
+            raise ValueError(f"key column {k} is {other[0]} on a side: names differ in case only")
     if missing:
         raise ValueError(f"key columns {missing} are not on both sides")
     return by
@@ -208,7 +220,7 @@ def incremental(
     floor = F.lit(EPOCH).cast(source.schema[modified].dataType)
     return (
         in_shards(source, list(shards), time_column)
-        .join(small(marks, len(shards)), key_match([SHARD]), "left")
+        .join(marks, key_match([SHARD]), "left")
         .where(col(modified) > F.coalesce(value(mark, "high_water"), floor))
         .select(*[col(c) for c in source.columns])
     )

@@ -83,8 +83,18 @@ def drift(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+# Digits that the whole numbers of a type may have.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
 def widens(source: T.DataType, target: T.DataType) -> bool:
     """Whether every ``source`` value has an exact ``target`` value."""
+    if isinstance(target, T.DecimalType):
+        if isinstance(source, T.DecimalType):
+            scale, digits = source.scale, source.precision - source.scale
+        else:
+            scale, digits = 0, _DIGITS.get(type(source), 99)
+        return target.scale >= scale and target.precision - target.scale >= digits
     return source == target or type(target) in _WIDER.get(type(source), ())
 
 

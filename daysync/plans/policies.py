@@ -18,7 +18,6 @@ from daysync.sources.shards import (
     in_shards,
     lookback_shards,
     profile,
-    small,
 )
 
 # The action labels.
@@ -42,12 +41,14 @@ def _first(*rules: tuple[Column, str], otherwise: str) -> Column:
     return chain.otherwise(otherwise)
 
 
-def _action(policy: str) -> Column:
+def _action(policy: str, late_rows: bool) -> Column:
     yesterday = F.col("offset") == 1
     no_target = F.col("target_rows").isNull()
-    not_newer = F.col("source_modified") <= F.col("target_modified")
-    newer = F.col("target_modified").isNull() | (F.col("source_modified") > F.col("target_modified"))
-    modified_gate = (~no_target & (F.col("source_modified").isNull() | not_newer), SKIPPED)
+    # Rows that arrive late, below the newest, show in the number of rows only.
+    no_late = F.lit(True) if not late_rows else F.col("source_rows") <= F.col("target_rows")
+    not_newer = (F.col("source_modified") <= F.col("target_modified")) & no_late
+    newer = F.col("target_modified").isNull() | (F.col("source_modified") > F.col("target_modified")) | ~no_late
+    modified_gate = (~no_target & ((F.col("source_modified").isNull() & no_late) | not_newer), SKIPPED)
     count_gate = [
         (F.col("source_rows") == F.col("target_rows"), SKIPPED),
         (yesterday, DIRECT_TRANSFER),
@@ -99,6 +100,8 @@ def plan_profiles(
     policy: str,
     logical_date: date | str,
     lookback: int = DEFAULT_LOOKBACK,
+    *,
+    late_rows: bool = False,
 ) -> DataFrame:
     """The plan for two profiles ``(shard, rows, max_modified[, fingerprint])``.
 
@@ -113,6 +116,10 @@ def plan_profiles(
     ``hybrid``           replace D-1, copy days the target lacks, merge newer ones
     ``replicate``        replace D-1 and every day with other columns or newer rows
     ``replicate_brief``  the same with one label for all that is replaced
+
+    With ``late_rows`` a day of which the source has more rows counts as newer too: rows that
+    arrived late lie below the newest one. They still go unseen where the target has as many
+    rows of its own; profiles by file times see those.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy is one of {', '.join(POLICIES)}, not {policy}")
@@ -124,14 +131,12 @@ def plan_profiles(
 
     # Both profiles are partitioned by shard already, so this moves nothing.
     known = side(source, "source").join(side(target, "target"), SHARD, "full_outer")
-    days = expected_shards(source.sparkSession, logical_date, lookback).join(
-        small(known, lookback), SHARD, "left"
-    )
+    days = expected_shards(source.sparkSession, logical_date, lookback).join(known, SHARD, "left")
     shown = [SHARD, "offset", "source_rows", "target_rows", "source_modified", "target_modified"]
     if policy in SCHEMA_POLICIES:
         days = days.withColumn("schema_changed", F.col("source_fingerprint") != F.col("target_fingerprint"))
         shown.append("schema_changed")
-    return days.select(*shown, _action(policy).alias("action"))
+    return days.select(*shown, _action(policy, late_rows).alias("action"))
 
 
 def sync_plan(
@@ -143,6 +148,7 @@ def sync_plan(
     *,
     modified: str = "modified",
     time_column: str | None = None,
+    late_rows: bool = False,
 ) -> DataFrame:
     """The plan for two tables, from one aggregation over the window of each."""
     shards = lookback_shards(logical_date, lookback)
@@ -151,4 +157,4 @@ def sync_plan(
         profile(in_shards(df, shards, time_column), modified, with_schema=schema)
         for df in (source, target)
     ]
-    return plan_profiles(*sides, policy, logical_date, lookback)
+    return plan_profiles(*sides, policy, logical_date, lookback, late_rows=late_rows)

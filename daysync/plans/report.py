@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from daysync.plans.policies import (
     BACKFILL_COPY,
+    DATA_CHANGE,
     DIRECT_TRANSFER,
     MERGE,
     MISSING_SOURCE,
+    SCHEMA_CHANGE,
     SKIPPED,
+    SYNC_DONE,
 )
 from daysync.sources.shards import SHARD
 
@@ -25,6 +28,7 @@ NOTHING_D1 = "SKIPPED (no changes or source missing)"
 NOTHING_OTHER = "SKIPPED (no changes)"
 EMPTY = "None"
 HYBRID_BUCKETS = (DIRECT_TRANSFER, BACKFILL_COPY, MERGE, SKIPPED)
+REPLICATE_BUCKETS = (SYNC_DONE, SCHEMA_CHANGE, DATA_CHANGE, SKIPPED)
 
 
 def _shards(holds: Column | None = None) -> Column:

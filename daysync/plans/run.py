@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from daysync.functions.columns import col
 from daysync.operators.dedupe import latest
-from daysync.operators.merge import ID_COLUMN, choose_keys, merge_staged, newer_than
+from daysync.operators.merge import ID_COLUMN, UNIQUE, choose_keys, merge_staged, newer_than
+from daysync.operators.schema import empty_clone
 from daysync.plans.apply import Decisions, merge_days
 from daysync.plans.policies import plan_profiles
 from daysync.session import shuffles_for, work_folder
@@ -21,10 +22,6 @@ from daysync.sources.shards import DEFAULT_LOOKBACK, SHARD, in_shards, lookback_
 from daysync.sources.tables import merged_schema, read_day_table, schema_text, shard_schemas
 
 
-# A merged source up to this size is within what Spark broadcasts by default.
-SMALL_BYTES = 8 * 1024 * 1024
-
-
 class _Side:
     """The window of one table: its days' columns, its rows, its profile.
 
@@ -34,8 +31,7 @@ class _Side:
     def __init__(self, spark: SparkSession, path: str, shards: list[str], modified: str | None):
         self.spark, self.path, self.shards, self.modified = spark, path, shards, modified
         self.folder = Folder(spark, path)
-        self.folder.make()
-        present = [s for s in self.folder.shards() if s in set(shards)]
+        present = self.folder.shards(set(shards))
         self.schemas = shard_schemas(spark, path, present)
         self.rows = read_day_table(spark, path, merged_schema(self.schemas.values()), present)
 
@@ -79,6 +75,7 @@ def sync_table(
     lookback: int = DEFAULT_LOOKBACK,
     keys: Sequence[str] | None = None,
     modified: str | None = None,
+    present_only: bool = False,
     **options,
 ) -> DataFrame:
     """Bring the target's days of the window up to date; returns the plan with ``written_rows``.
@@ -86,24 +83,36 @@ def sync_table(
     Whether the source is newer is told by the ``modified`` column, or without one by the
     times of the files. Beyond that only days that change are read, and only they are
     written; a copied day gets the source's columns, a merged one those of both sides.
-    ``keys`` and ``options`` are those of ``merge.upsert``; without keys the columns of the
-    source decide, see ``_keys``. One sync of a table may run at a time.
+    With the column, a day of which the source has more rows counts as newer too, see ``late_rows`` of
+    ``plan_profiles``. ``keys`` and ``options`` are those of ``merge.upsert``; without keys the
+    columns of the source decide, see ``_keys``. The latest row of a key is by ``modified``
+    unless ``order_by`` says else.
+
+    The source has to be there and is never written to; a folder of a day without files is no
+    day. The target is made if it is not there. One sync of a table may run at a time.
     """
     if policy == "incremental" and modified is None:
         raise ValueError("the incremental policy needs a modified column")
+    if not Folder(spark, source_path).exists():
+        raise ValueError(f"there is no source table at {source_path}")
+    Folder(spark, target_path).make()
     finish_replace(spark, target_path)
     shards = lookback_shards(logical_date, lookback)
     source = _Side(spark, source_path, shards, modified)
     target = _Side(spark, target_path, shards, modified)
     if modified and source.schemas and modified not in source.rows.columns:
         raise ValueError(f"the source has no column {modified}")
-    plan = plan_profiles(source.profile(), target.profile(), policy, logical_date, lookback)
+    plan = plan_profiles(
+        source.profile(), target.profile(), policy, logical_date, lookback, late_rows=modified is not None
+    )
     decisions = Decisions.of(plan)
 
     if keys is None and (policy == "incremental" or decisions.merged):
-        keys = _keys(policy, source.rows.columns)
+        keys = _keys(policy, source.rows.columns, present_only)
     if keys is not None:
         options.setdefault("within", [SHARD])
+        if modified:
+            options.setdefault("order_by", [modified])
     staged: list[Folder] = []
     try:
         with shuffles_for(spark, source.size(decisions.merged) + target.size(decisions.merged)):
@@ -121,11 +130,14 @@ def sync_table(
     return _report(spark, plan.schema, decisions, days, target_path)
 
 
-def _keys(policy: str, columns: list[str]) -> list[str] | None:
-    """The id, else what there is of the event key; incremental merges compare whole rows."""
+def _keys(policy: str, columns: list[str], present_only: bool) -> list[str] | None:
+    """The id, else a complete event key; incremental merges without an id compare whole rows.
+
+    With ``present_only`` what there is of the event key will do.
+    """
     if policy == "incremental":
         return [ID_COLUMN] if ID_COLUMN in columns else None
-    return choose_keys(columns, present_only=True)
+    return choose_keys(columns, present_only=present_only)
 
 
 def _staged(df: DataFrame, staged: list[Folder]) -> tuple[DataFrame, Folder]:
@@ -143,9 +155,9 @@ def _incremental(
         return [], []
     newer, folder = _staged(newer_than(source.rows, source.modified, decisions.marks), staged)
     days = folder.shards()
-    if keys is not None:
-        options.setdefault("small_source", folder.size() <= SMALL_BYTES)
-    merged = merge_staged(in_shards(target.rows, days), newer, source.modified, keys, **options)
+    # Days that the target lacks start without rows, from the columns of the source.
+    mine = in_shards(target.rows, days) if target.schemas else empty_clone(source.rows)
+    merged = merge_staged(mine, newer, source.modified, keys, **options)
     return days, [by_shard(merged)]
 
 
@@ -153,14 +165,14 @@ def _merged(
     source: _Side, target: _Side, days: list[str], keys: Sequence[str], options: dict,
     staged: list[Folder],
 ) -> DataFrame:
-    theirs, size = source.rows, source.size(days)
+    theirs = source.rows
     if options.get("on_duplicate") == "latest":
         by = list(dict.fromkeys([*options["within"], *keys]))
-        survivors = latest(in_shards(theirs, days), by, options.get("order_by", ()))
-        theirs, folder = _staged(survivors, staged)
-        size = folder.size()
-        options["on_duplicate"] = "unique"
-    options.setdefault("small_source", size <= SMALL_BYTES)
+        if not options.get("order_by"):
+            raise ValueError("the latest row of a key needs a modified column or order_by")
+        survivors = latest(in_shards(theirs, days), by, options["order_by"])
+        theirs, _ = _staged(survivors, staged)
+        options["on_duplicate"] = UNIQUE
     return by_shard(merge_days(theirs, target.rows, days, keys, **options))
 
 

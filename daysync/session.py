@@ -26,9 +26,10 @@ SETTINGS = {
 
 # Shuffles of a sync are laid out for parts of about this many bytes on disk as Parquet,
 # which are some three times that when shuffled. Adaptive execution joins parts that turn
-# out small. The number is bounded, as every map task keeps a size for each part.
+# out small. Every map task keeps a size for each part, so a cluster may set a bound on
+# their number in ``MOST_PARTS``; there is none otherwise.
 PART_BYTES = 32 * 1024 * 1024
-MOST_PARTS = 32_768
+MOST_PARTS = "spark.daysync.mostShuffleParts"
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
 _FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -68,7 +69,8 @@ def shuffles_for(spark: SparkSession, size: int) -> Iterator[int]:
     """
     setting = _PARTITIONS if spark.conf.get(_FIRST_PARTITIONS, None) is None else _FIRST_PARTITIONS
     kept = spark.conf.get(setting)
-    parts = max(int(kept), min(MOST_PARTS, -(-size // PART_BYTES)))
+    wanted, most = -(-size // PART_BYTES), spark.conf.get(MOST_PARTS, None)
+    parts = max(int(kept), wanted if most is None else min(int(most), wanted))
     spark.conf.set(setting, parts)
     try:
         yield parts

@@ -16,6 +16,7 @@ from daysync.sources.tables import read_day_table
 
 _STAGED = "_staged-"
 _READY = "_READY"
+_EMPTY = "_EMPTY-"
 
 
 def by_shard(df: DataFrame) -> DataFrame:
@@ -57,9 +58,10 @@ def replace_shards(
     Rows of other shards are an error. (A filter here would reach into the plans of the
     frames, and keep them from sharing work.) Frames may differ in columns, as long as each
     shard comes from one of them, and may read the table itself: all rows are first written
-    next to it. Then every staged shard takes the place of the old one, and a shard without
-    rows is dropped. If the driver dies in between, ``finish_replace`` goes on from the
-    staged copy.
+    next to it, with a note of each shard that will have none. Only when all of this is
+    marked as complete does a staged shard take the place of the old one, and a shard without
+    rows go. If the driver dies before the mark, the table is as it was; after it,
+    ``finish_replace`` goes on from the staged copy.
 
     Rows are written as they lie: good for days read from a table of days, which need no
     shuffle. Apply ``by_shard`` first where the rows of a day are scattered.
@@ -74,8 +76,8 @@ def replace_shards(
     if other:
         folder.drop(staged)
         raise ValueError(f"the frames have rows of other shards: {other}")
-    for shard in set(shards) - set(written):
-        folder.drop(f"{SHARD}={shard}")
+    for shard in sorted(set(shards) - set(written)):
+        folder.touch(f"{staged}/{_EMPTY}{shard}")
     folder.touch(f"{staged}/{_READY}")
     finish_replace(spark, path)
 
@@ -89,4 +91,6 @@ def finish_replace(spark: SparkSession, path: str) -> None:
             for name in names:
                 if name.startswith(f"{SHARD}="):
                     folder.move(f"{staged}/{name}", name)
+                elif name.startswith(_EMPTY):
+                    folder.drop(f"{SHARD}={name.removeprefix(_EMPTY)}")
         folder.drop(staged)

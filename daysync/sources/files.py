@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import SparkSession
 
 from daysync.sources.shards import SHARD
@@ -23,10 +25,17 @@ class Folder:
         at = self._at(inner)
         return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
 
-    def shards(self) -> list[str]:
-        """The days the table has a partition for."""
+    def exists(self) -> bool:
+        return self._fs.exists(self._at(""))
+
+    def shards(self, among: Collection[str] | None = None) -> list[str]:
+        """The days, of those given, that the table has files of; an empty folder is no day."""
         mark = f"{SHARD}="
-        return sorted(n.removeprefix(mark) for n in self.names() if n.startswith(mark))
+        days = [n.removeprefix(mark) for n in self.names() if n.startswith(mark)]
+        return sorted(d for d in days if (among is None or d in among) and self._has_files(f"{mark}{d}"))
+
+    def _has_files(self, inner: str) -> bool:
+        return any(not n.startswith(("_", ".")) for n in self.names(inner))
 
     def size(self, name: str = "") -> int:
         """Bytes of all files in the folder, or in one inside it."""

@@ -12,10 +12,6 @@ from daysync.functions.columns import col, shard_of
 SHARD = "shard"
 DEFAULT_LOOKBACK = 4
 
-# A frame with one row per due day is broadcast up to this many days (about eight years).
-# A longer window is joined without the hint.
-BROADCAST_DAYS = 3000
-
 
 def _as_date(logical_date: date | str) -> date:
     return date.fromisoformat(logical_date) if isinstance(logical_date, str) else logical_date
@@ -42,11 +38,6 @@ def expected_shards(
     )
 
 
-def small(days: DataFrame, count: int) -> DataFrame:
-    """Mark a frame of at most ``count`` day rows for broadcast if that is few enough."""
-    return F.broadcast(days) if count <= BROADCAST_DAYS else days
-
-
 def with_shard(df: DataFrame, time_column: str) -> DataFrame:
     """Add the shard each row belongs to."""
     return df.withColumn(SHARD, shard_of(col(time_column)))
@@ -82,7 +73,7 @@ def missing_shards(df: DataFrame, logical_date: date | str, days: int = DEFAULT_
     """The due days ``(shard, offset)`` without any row in ``df``."""
     present = lookback(df, logical_date, days, time_column).select(SHARD).distinct()
     due = expected_shards(df.sparkSession, logical_date, days)
-    return due.join(small(present, days), SHARD, "left_anti")
+    return due.join(present, SHARD, "left_anti")
 
 
 def profile(df: DataFrame, modified: str, *, with_schema: bool = False) -> DataFrame:

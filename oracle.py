@@ -146,15 +146,49 @@ def _replicate_result() -> str:
     return _result("replicate", ["sync_done", "schema_change", "data_change"], [])
 
 
-def _buckets() -> str:
+def _event_key_result() -> str:
+    """Keys are the hour and the type; of source rows with one key the latest wins in merged days."""
+    columns = ["event_time", "event_name", "value", "modified", "shard"]
+    shown = "date_trunc('hour', ts) AS event_time, event_type AS event_name, value, modified, shard"
+    merges, copies = _days_of("hybrid", "merge"), _days_of("hybrid", "direct_transfer", "backfill_copy")
+    listed = ", ".join(columns)
+    return (
+        f"WITH {_plan_cte('hybrid')},\nes AS (SELECT {shown} FROM src),\net AS (SELECT {shown} FROM tgt),"
+        "\nms AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY shard, event_time, event_name "
+        f"ORDER BY modified DESC, value DESC) AS rn FROM es WHERE shard IN ({merges})) r WHERE rn = 1),"
+        f"\nmt AS (SELECT * FROM et WHERE shard IN ({merges}))"
+        f"\nSELECT {listed} FROM et WHERE shard NOT IN ({copies}) AND shard NOT IN ({merges})"
+        f"\nUNION ALL SELECT {listed} FROM es WHERE shard IN ({copies})"
+        f"\nUNION ALL SELECT {listed} FROM ("
+        + _merge(["shard", "event_time", "event_name"], t="mt", s="ms", t_columns=columns, s_columns=columns) + ") m"
+    )
+
+
+def _composite_result() -> str:
+    columns = ["event_id", "user_pseudo_id", "event_timestamp", "event_name", "value", "modified", "shard"]
+    shown = "event_id, user_id AS user_pseudo_id, ts AS event_timestamp, event_type AS event_name, value, modified, shard"
+    merges, copies = _days_of("hybrid", "merge"), _days_of("hybrid", "direct_transfer", "backfill_copy")
+    listed = ", ".join(columns)
+    return (
+        f"WITH {_plan_cte('hybrid')},\nes AS (SELECT {shown} FROM src),\net AS (SELECT {shown} FROM tgt),"
+        f"\nms AS (SELECT * FROM es WHERE shard IN ({merges})),\nmt AS (SELECT * FROM et WHERE shard IN ({merges}))"
+        f"\nSELECT {listed} FROM et WHERE shard NOT IN ({copies}) AND shard NOT IN ({merges})"
+        f"\nUNION ALL SELECT {listed} FROM es WHERE shard IN ({copies})"
+        f"\nUNION ALL SELECT {listed} FROM ("
+        + _merge(["shard", "user_pseudo_id", "event_timestamp", "event_name"], t="mt", s="ms", t_columns=columns, s_columns=columns)
+        + ") m"
+    )
+
+
+def _buckets(policy: str = "hybrid", buckets: Sequence[str] = REPORT_BUCKETS) -> str:
     lines = [
         f"SELECT '{b}' AS bucket, count(*) FILTER (WHERE b = '{b}') AS days, "
         f"coalesce(string_agg(shard, ', ' ORDER BY shard) FILTER (WHERE b = '{b}'), 'None') AS shards FROM binned"
-        for b in REPORT_BUCKETS
+        for b in buckets
     ]
-    names = ", ".join(f"'{b}'" for b in REPORT_BUCKETS)
+    names = ", ".join(f"'{b}'" for b in buckets)
     binned = f"binned AS (SELECT shard, CASE WHEN action IN ({names}) THEN action ELSE 'skipped' END AS b FROM plan)"
-    return f"WITH {_plan_cte('hybrid')},\n{binned}\n" + "\nUNION ALL ".join(lines)
+    return f"WITH {_plan_cte(policy)},\n{binned}\n" + "\nUNION ALL ".join(lines)
 
 
 def statements() -> dict[str, str]:
@@ -247,15 +281,15 @@ def statements() -> dict[str, str]:
         ),
         "union_all": _with(f"SELECT {LISTED} FROM src UNION ALL SELECT {LISTED} FROM tgt"),
         "update_all": _with(
-            "SELECT * REPLACE ('Extra_' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS props) FROM tgt"
+            "SELECT * REPLACE ('whole ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS props) FROM tgt"
         ),
         "update_by_subquery": _with(
             "SELECT * REPLACE (CASE WHEN event_id IN (SELECT event_id FROM tgt ORDER BY event_id LIMIT 1) "
-            "THEN 'Updated description for testing' ELSE props END AS props) FROM tgt"
+            "THEN 'first by id' ELSE props END AS props) FROM tgt"
         ),
         "update_top_k": _with(
             "SELECT * REPLACE (CASE WHEN event_id IN (SELECT event_id FROM tgt ORDER BY event_id LIMIT 3) "
-            "THEN 'Extra_' || CAST(user_id AS VARCHAR) ELSE props END AS props) FROM tgt"
+            "THEN 'user ' || CAST(user_id AS VARCHAR) ELSE props END AS props) FROM tgt"
         ),
         "row_fingerprint": _with(
             "SELECT event_id, concat(coalesce(CAST(event_id AS VARCHAR), 'NULL'), coalesce(CAST(user_id AS VARCHAR), "
@@ -280,6 +314,20 @@ SELECT h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' ||
        ts + to_minutes(n % 10) AS last_modified
 FROM g""",
     }
+    for policy in ("modified", "d1_replace", "rowcount", "both"):
+        sql[f"{policy}_sync_table"] = _result(policy, ["direct_transfer"], ["merge"])
+    sql["incremental_sync_table"] = sql["incremental_result"]
+    sql["incremental_first_sync"] = _with(f"SELECT {LISTED} FROM src WHERE shard BETWEEN '20240124' AND '20240130'")
+    sql["event_key_sync_table"] = _event_key_result()
+    sql["composite_sync_table"] = _composite_result()
+    sql["report_replicate"] = _buckets("replicate", ("sync_done", "schema_change", "data_change", "skipped"))
+    # The newest rows of both sides are alike, so only the numbers of rows tell.
+    sql["late_rows"] = (
+        f"WITH {SIDES.replace('+ INTERVAL 1 DAY', '')},{DAYS}\nSELECT shard, \"offset\", source_rows, target_rows, "
+        "source_modified, target_modified, CASE WHEN source_rows IS NULL THEN 'missing_source' "
+        "WHEN \"offset\" = 1 THEN 'merge' WHEN target_rows IS NOT NULL AND source_rows <= target_rows "
+        "AND source_modified <= target_modified THEN 'skipped' ELSE 'merge' END AS action FROM days"
+    )
     sql["merge_partial_key"] = sql["merge_composite"]
     for policy in CHAINS:
         sql[f"sync_plan_{policy}"] = f"WITH {_plan_cte(policy)}\nSELECT * FROM plan"

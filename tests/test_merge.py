@@ -144,6 +144,8 @@ def test_bad_arguments(spark):
         (lambda: upsert(t, t, ["id"], update_columns=["nope"]), "not in the source"),
         (lambda: upsert(t, t, ["id"], on_duplicate="any"), "on_duplicate"),
         (lambda: upsert(t, t.withColumnRenamed("a", "A"), ["id"]), "case only"),
+        (lambda: upsert(t, t.withColumnRenamed("id", "ID"), ["id"]), "names differ in case only"),
+        (lambda: upsert(t, t, ["id"], on_duplicate="latest"), "needs order_by"),
         (lambda: insert_new_rows(t, t, ignore=["id", "a"]), "no column left"),
         (lambda: latest(t, ["id"], ["nope"]), "no column"),
     ]:
@@ -156,6 +158,7 @@ def test_key_choice():
     assert choose_keys(["id", *key]) == ["id"]
     assert choose_keys([*key, "x"]) == list(key)
     assert choose_keys(["event_name", "x"], present_only=True) == ["event_name"]
+    assert choose_keys(["event_name", "event_time", "value"]) == ["event_time", "event_name"]
     for columns, loose in ((["event_name"], False), (["x"], True)):
         with pytest.raises(ValueError, match="no key columns"):
             choose_keys(columns, present_only=loose)
@@ -167,8 +170,8 @@ TABLE = st.lists(st.tuples(KEY, KEY, VALUE), max_size=12)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(target=TABLE, source=TABLE, null_safe=st.booleans(), small=st.booleans())
-def test_upsert_equals_a_row_by_row_merge(spark, target, source, null_safe, small):
+@given(target=TABLE, source=TABLE, null_safe=st.booleans())
+def test_upsert_equals_a_row_by_row_merge(spark, target, source, null_safe):
     schema = "a int, b int, v int"
 
     def same(x, y):
@@ -184,7 +187,7 @@ def test_upsert_equals_a_row_by_row_merge(spark, target, source, null_safe, smal
 
     merged = upsert(
         frame(spark, target, schema), frame(spark, source, schema), ["a", "b"],
-        null_safe=null_safe, small_source=small,
+        null_safe=null_safe,
     )
     if ambiguous:
         with pytest.raises(Exception, match="merge key"):

@@ -9,8 +9,8 @@ import pytest
 import __spark_entry__ as driver
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = driver.table_queries()
+SQL = driver.oracle.statements()
 
 
 @pytest.fixture(scope="module")

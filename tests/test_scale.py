@@ -13,7 +13,6 @@ from daysync.operators.update import update_matching
 from daysync.plans.apply import merge_days
 from daysync.plans.policies import sync_plan
 from daysync.sinks.write import write_day_table
-from daysync.sources import shards
 from daysync.sources.shards import lookback_shards, missing_shards
 from daysync.sources.tables import read_day_table
 
@@ -136,7 +135,7 @@ def test_merged_days_share_the_source_shuffle(spark, tmp_path, conf):
 def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     target = table(spark, f"{tmp_path}/t", -1)
     source = table(spark, f"{tmp_path}/s", -2, 30)
-    plan = planned(upsert(target, source, ["id"], small_source=True))
+    plan = planned(upsert(target, source, ["id"]))
     assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
     shuffled = re.findall(r"\+- Exchange hashpartitioning\(([^)]*)\)[^\n]*\n[^\n]*HashAggregate", plan)
     assert len(shuffled) == plan.count("Exchange hashpartitioning")
@@ -183,11 +182,15 @@ def test_shuffles_start_with_enough_parts(spark):
     with session.shuffles_for(spark, 1) as parts:
         assert parts == 4
     with session.shuffles_for(spark, 10**15) as parts:
-        assert parts == session.MOST_PARTS
+        assert parts == -(-(10**15) // session.PART_BYTES)
+    spark.conf.set(session.MOST_PARTS, "5000")
+    with session.shuffles_for(spark, 10**15) as parts:
+        assert parts == 5000
+    spark.conf.unset(session.MOST_PARTS)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_window_too_long_to_broadcast(spark, monkeypatch, conf):
+def test_windows_are_joined_as_spark_chooses(spark, conf):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     source, target = snapshots.source_events(events), snapshots.target_events(events)
     days = lookback_shards(snapshots.LOGICAL_DATE, snapshots.ALL_DAYS)
@@ -198,11 +201,10 @@ def test_window_too_long_to_broadcast(spark, monkeypatch, conf):
         gaps = missing_shards(source, snapshots.LOGICAL_DATE, snapshots.ALL_DAYS)
         return [sorted(map(str, df.collect())) for df in (plan, staged, gaps)], planned(staged)
 
-    hinted, _ = run()
-    monkeypatch.setattr(shards, "BROADCAST_DAYS", 1)
+    chosen, _ = run()
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     plain, plan = run()
-    assert plain == hinted
+    assert plain == chosen
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
 
 
@@ -215,7 +217,7 @@ def test_flat_tables_are_filtered_by_time_range(spark):
 ONE_TASK = {"report_buckets", "report_transfers"}
 
 
-@pytest.mark.parametrize("name", sorted(n for n in driver.queries() if "sync_" not in n or "plan" in n))
+@pytest.mark.parametrize("name", sorted(n for n in driver.table_queries() if "sync_" not in n or "plan" in n))
 def test_no_query_needs_a_cross_join_python_rows_or_one_task(spark, name):
     plan = planned(driver.queries()[name](spark, SF_DIR))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):

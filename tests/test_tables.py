@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.operators.joins import merge_on
+from daysync.operators.schema import widens
 from daysync.plans.run import sync_table
 from daysync.session import work_folder
 from daysync.sinks import write
@@ -168,8 +169,8 @@ def test_tables_of_one_day_each(spark):
 
 def test_joined_null_keys(spark):
     a = spark.createDataFrame([(None, "a"), (1, "b")], "id long, x string")
-    assert merge_on(a, a, "id").count() == 2
-    assert merge_on(a, a, "id", null_safe=False).count() == 1
+    assert merge_on(a, a, "id").count() == 1
+    assert merge_on(a, a, "id", null_safe=True).count() == 2
 
 
 # Syncs. Logical date 2026-04-13: D-1 is 20260412.
@@ -245,9 +246,7 @@ def test_sync_keeping_the_latest_of_a_key(spark, pair):
     write.append_rows(spark, days(spark, [("20260411", 1, "later", "2026-04-12 12:00:00")]), source, days(spark, SOURCE).schema)
     with pytest.raises(Exception, match="merge key"):
         sync(spark, pair, keys=["id"], modified="modified")
-    done = sync(
-        spark, pair, keys=["id"], modified="modified", on_duplicate="latest", order_by=["modified"]
-    )
+    done = sync(spark, pair, keys=["id"], modified="modified", on_duplicate="latest")
     assert done["20260411"] == ("merge", 3)
     assert ("20260411", 1, "later") in content(spark, target, "shard", "id", "v")
 
@@ -322,3 +321,108 @@ def test_only_the_days_asked_for_are_listed(spark, pair):
     assert {r["shard"] for r in some.collect()} == {"20260411", "20260410"}
     assert [r["shard"] for r in file_profile(spark, pair[0], ["20260411"]).collect()] == ["20260411"]
     assert read_day_table(spark, pair[0], days(spark, SOURCE).schema, []).count() == 0
+
+
+def test_event_key_is_complete_or_an_error(spark, tmp_path):
+    """Rows that differ in their time only are different rows."""
+    schema = "shard string, event_time string, event_name string, value string, modified timestamp_ntz"
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    own = [("20260412", "08:00", "click", "X1", TIMES[0]), ("20260412", "08:05", "click", "X2", TIMES[0])]
+    write.write_day_table(days(spark, own, schema), target)
+    new = [("20260412", "08:00", "click", "A", TIMES[1]), ("20260412", "09:00", "click", "B", TIMES[1]),
+           ("20260412", "09:00", "click", "C", TIMES[0])]
+    write.write_day_table(days(spark, new, schema), source)
+    sync(spark, (source, target), "modified", modified="modified", on_duplicate="latest")
+    assert content(spark, target, "event_time", "value") == [("08:00", "A"), ("08:05", "X2"), ("09:00", "B")]
+    partial = str(tmp_path / "partial")
+    write.write_day_table(days(spark, [r[:1] + r[2:] for r in new], schema.replace(" event_time string,", "")), partial)
+    with pytest.raises(ValueError, match="no key columns.*event_timestamp"):
+        sync(spark, (partial, target), "modified", modified="modified")
+
+
+def test_latest_is_by_the_modified_column(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    write.write_day_table(days(spark, [("20260411", 1, "t", "2026-04-01 00:00:00")]), target)
+    write.write_day_table(days(spark, [("20260411", 1, "z", TIMES[0]), ("20260411", 1, "a", TIMES[1])]), source)
+    sync(spark, (source, target), modified="modified", on_duplicate="latest")
+    assert content(spark, target, "id", "v") == [(1, "a")]
+    with pytest.raises(ValueError, match="order_by"):
+        sync(spark, (source, target), "rowcount", on_duplicate="latest", keys=["id"])
+
+
+@pytest.mark.parametrize("other_days", [False, True])
+def test_first_incremental_sync_with_an_id(spark, pair, tmp_path, other_days):
+    target = str(tmp_path / "fresh")
+    aged = [("20260301", 7, "aged", TIMES[0])]
+    if other_days:
+        write.write_day_table(days(spark, aged), target)
+    sync(spark, (pair[0], target), "incremental", modified="modified")
+    expected = [(d, i, v) for d, i, v, _ in SOURCE + (aged if other_days else [])]
+    assert content(spark, target, "shard", "id", "v") == sorted(expected)
+
+
+@pytest.mark.parametrize("side", [0, 1])
+def test_empty_day_folder_is_an_absent_day(spark, pair, side):
+    os.makedirs(f"{pair[side]}/shard=20260409", exist_ok=True)
+    for name in os.listdir(f"{pair[side]}/shard=20260409"):
+        os.unlink(f"{pair[side]}/shard=20260409/{name}")
+    open(f"{pair[side]}/shard=20260409/_SUCCESS", "w").close()
+    done = sync(spark, pair, modified="modified")
+    assert done["20260409"] == (("missing_source", None) if side == 0 else ("backfill_copy", 1))
+
+
+def test_source_is_never_made(spark, pair, tmp_path):
+    wrong = str(tmp_path / "mistyped")
+    with pytest.raises(ValueError, match="no source table"):
+        sync(spark, (wrong, pair[1]), modified="modified")
+    assert not os.path.exists(wrong)
+
+
+def test_late_row_below_the_newest_is_taken(spark, pair):
+    source, target = pair
+    write.append_rows(spark, days(spark, [("20260410", 5, "late", "2026-04-01 00:00:00")]), source, days(spark, SOURCE).schema)
+    assert sync(spark, pair, modified="modified")["20260410"] == ("merge", 2)
+    assert ("20260410", 5, "late") in content(spark, target, "shard", "id", "v")
+    assert sync(spark, pair, modified="modified")["20260410"] == ("skipped", None)
+
+
+def test_swap_dies_at_every_step(spark, path, monkeypatch):
+    """Each day holds its old or its new rows after the next start, whatever call failed."""
+    table = days(spark, [(d, 1, "a", TIMES[0]) for d in ("20260410", "20260411", "20260412")])
+    write.write_day_table(table, path)
+    old = content(spark, path, "shard", "v")
+    for step in range(1, 9):
+        calls = 0
+        kept = {name: getattr(Folder, name) for name in ("touch", "drop", "move")}
+
+        def failing(name, step=step, kept=kept):
+            def call(*args):
+                nonlocal calls
+                calls += 1
+                if calls == step:
+                    raise OSError("killed")
+                return kept[name](*args)
+
+            return call
+
+        for name in kept:
+            monkeypatch.setattr(Folder, name, failing(name))
+        fresh = days(spark, [(d, 1, f"n{step}", TIMES[1]) for d in ("20260411", "20260412")])
+        try:
+            write.replace_shards(spark, [fresh], path, ["20260410", "20260411", "20260412"])
+        except OSError:
+            pass
+        monkeypatch.undo()
+        write.finish_replace(spark, path)
+        now = content(spark, path, "shard", "v")
+        assert now in (old, [("20260411", f"n{step}"), ("20260412", f"n{step}")])
+        assert not [n for n in os.listdir(path) if n.startswith("_staged")]
+        write.replace_shards(spark, [table], path, ["20260410", "20260411", "20260412"])
+
+
+def test_decimals_widen():
+    def fits(a, b):
+        return widens(T.DecimalType(*a) if isinstance(a, tuple) else a, T.DecimalType(*b))
+
+    assert fits((10, 2), (12, 2)) and fits((10, 2), (12, 4)) and fits(T.IntegerType(), (20, 0)) and fits(T.LongType(), (19, 0))
+    assert not fits((10, 2), (10, 3)) and not fits((12, 2), (10, 2)) and not fits(T.LongType(), (18, 0)) and not fits(T.DoubleType(), (38, 5))
