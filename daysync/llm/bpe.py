@@ -6,9 +6,9 @@ encodings of all prefixes. The last token of a node is the one token ending ther
 follow the last token of the node where it begins: two tokens can stand side by side when
 no merge across their border comes before the merges that made them.
 
-The distinct words of a block of texts, sorted by bytes, are the trie's leaves in depth-first
+The distinct words of a batch of texts, sorted by bytes, are the trie's leaves in depth-first
 order; the path to the present leaf is a stack, and what a word shares with the one before
-is on it already. Results are kept for later blocks of the same worker, up to a bound on
+is on it already. Results are kept for later batches of the same worker, up to a bound on
 their number that changes nothing but time.
 """
 
@@ -27,9 +27,9 @@ from pyspark.sql.types import StructType
 from daysync.llm.common import blocks, extended, lists, ship
 from daysync.llm.words import split_words
 
-#: Words kept by a worker between blocks, and characters of them.
-KEPT_WORDS = 300_000
-KEPT_CHARS = 6_000_000
+#: Words kept by a worker between batches, and characters of them.
+KEPT_WORDS = 600_000
+KEPT_CHARS = 12_000_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -72,18 +72,17 @@ class Vocabulary:
         never = len(self.merges) + 1
         self.right = {k: _spine(k, parts, 2, never) for k in self.ids.values()}
         self.left = {k: _spine(k, parts, 1, never) for k in self.ids.values()}
-        self._beside: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}  # answers of ``stays``, by both tokens
 
     def beside(self, x: int, y: int) -> bool:
-        """Whether ``x`` followed by ``y`` stays so."""
-        found = self._beside.get((x, y))
-        if found is None:
-            if len(self._beside) > 1_000_000:
-                self._beside.clear()
-            found = self._beside[x, y] = self._stays(x, y)
+        """``stays``, remembered."""
+        if len(self.known) > 1_000_000:
+            self.known.clear()
+        found = self.known[x << 32 | y] = self.stays(x, y)
         return found
 
-    def _stays(self, x: int, y: int) -> bool:
+    def stays(self, x: int, y: int) -> bool:
+        """Whether ``x`` followed by ``y`` is how the two are encoded."""
         rights, lefts, i, j = self.right[x], self.left[y], 0, 0
         while True:
             (a, a_ends), (b, b_ends) = rights[i], lefts[j]
@@ -106,6 +105,19 @@ def _spine(token: int, parts: dict, side: int, never: int) -> list[tuple[int, in
     return out[::-1]
 
 
+def _words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words of all texts, where each starts, and where each text ends."""
+    joined = "".join(texts)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    if not joined:
+        return [], np.zeros(0, np.int64), ends
+    points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    starts = split_words(points, (ends - sizes)[sizes > 0])
+    edges = [*starts.tolist(), len(points)]
+    return [joined[a:b] for a, b in zip(edges, edges[1:], strict=False)], starts, ends
+
+
 class TrieEncoder:
     """Encodes and decodes texts with a vocabulary."""
 
@@ -122,7 +134,8 @@ class TrieEncoder:
 
     def encode_words(self, words: list[bytes]) -> Iterator[list[int]]:
         """The ids of sorted distinct words."""
-        ids, longest, beside = self.vocabulary.ids, self.vocabulary.longest, self.vocabulary.beside
+        get, longest, beside = self.vocabulary.ids.get, self.vocabulary.longest, self.vocabulary.beside
+        known = self.vocabulary.known.get
         before, tokens, sizes = b"", [-1], [0]  # the path: last token and its length, by depth
         for word in words:
             depth = 0
@@ -131,12 +144,19 @@ class TrieEncoder:
                 depth += 1
             del tokens[depth + 1 :], sizes[depth + 1 :]
             for end in range(depth + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
-                    token = ids.get(word[begin:end])
-                    if token is not None and (begin == 0 or beside(tokens[begin], token)):
-                        tokens.append(token)
-                        sizes.append(end - begin)
-                        break
+                for begin in range(end - longest if end > longest else 0, end):
+                    token = get(word[begin:end])
+                    if token is None:
+                        continue
+                    if begin:
+                        stays = known(tokens[begin] << 32 | token)
+                        if stays is None:
+                            stays = beside(tokens[begin], token)
+                        if not stays:
+                            continue
+                    tokens.append(token)
+                    sizes.append(end - begin)
+                    break
                 else:
                     raise ValueError("the vocabulary cannot encode a byte")
             out, at = [], len(word)
@@ -147,8 +167,6 @@ class TrieEncoder:
             before = word
 
     def _learn(self, words: set[str]) -> None:
-        if len(self._codes) > KEPT_WORDS or self._chars > KEPT_CHARS:
-            raise RuntimeError("forget before learning")
         ordered = sorted(w.encode() for w in words)
         known = len(self._codes)
         lengths, flat = [], []
@@ -165,22 +183,33 @@ class TrieEncoder:
         self._flat[used : used + len(flat)] = flat
         self._ends[known + 1 : known + 1 + len(lengths)] = used + np.cumsum(lengths)
 
-    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joined = "".join(texts)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        ends = np.cumsum(sizes)
-        if not joined:
-            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        starts = split_words(points, (ends - sizes)[sizes > 0])
-        stops = np.append(starts[1:], len(points)).tolist()
-        words = [joined[a:b] for a, b in zip(starts.tolist(), stops, strict=True)]
-        new = set(words).difference(self._codes)
+    def prepare(self, groups: Iterator[list[str | None]]) -> None:
+        """Learns the words of several blocks of texts in one walk; optional before ``encode``."""
+        every: set[str] = set()
+        for texts in groups:
+            plain = [s for t in texts if t for s in self._special.split(t)]
+            every.update(_words(plain)[0])
+            if len(every) > KEPT_WORDS:
+                break  # the rest is learned block by block
+        new = every.difference(self._codes)
         if len(self._codes) + len(new) > KEPT_WORDS or self._chars > KEPT_CHARS:
             self._forget()
-            new = set(words)
+            new = every
         self._learn(new)
-        codes = np.fromiter(map(self._codes.__getitem__, words), np.int64, len(words))
+
+    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words, starts, ends = _words(texts)
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        codes = list(map(self._codes.get, words))
+        if None in codes:
+            new = {w for w, k in zip(words, codes, strict=True) if k is None}
+            if len(self._codes) + len(new) > KEPT_WORDS or self._chars > KEPT_CHARS:
+                self._forget()
+                new = set(words)
+            self._learn(new)
+            codes = list(map(self._codes.__getitem__, words))
+        codes = np.array(codes)
         first = self._ends[codes]
         lengths = self._ends[codes + 1] - first
         stop = np.cumsum(lengths)
@@ -244,6 +273,7 @@ def with_ids(docs: DataFrame, text_column: str, path: str, make: Coded, schema:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
         for batch in batches:
+            encoder.prepare(b.column(text_column).to_pylist() for b in blocks(batch, text_column))
             for block in blocks(batch, text_column):
                 ids, offsets = encoder.encode(block.column(text_column).to_pylist())
                 yield make(block, ids, offsets, encoder)
