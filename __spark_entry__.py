@@ -120,22 +120,26 @@ def shard_high_water(spark, d):
 
 
 def schema_fingerprint(spark, d):
-    sides = zip(("source", "target"), _sides(spark, d), strict=True)
+    source, target = _sides(spark, d)
+    sides = (("source", source, {}), ("target", target, snap.declared(target)))
     return union_all(
         *[
-            profile(df, "modified", with_schema=True).select(F.lit(side).alias("side"), SHARD, "fingerprint")
-            for side, df in sides
+            profile(df, "modified", with_schema=True, schemas=schemas).select(
+                F.lit(side).alias("side"), SHARD, "fingerprint"
+            )
+            for side, df, schemas in sides
         ]
     )
 
 
 def schema_drift(spark, d):
-    return drift(*_sides(spark, d))
+    source, target = _sides(spark, d)
+    return drift(source, target, target_schemas=snap.declared(target))
 
 
 def schema_listing(spark, d):
     source, target = _sides(spark, d)
-    return schema_rows(source, "source").unionByName(schema_rows(target, "target"))
+    return schema_rows(source, "source").unionByName(schema_rows(target, "target", snap.declared(target)))
 
 
 # Plans and reports
@@ -143,7 +147,9 @@ def schema_listing(spark, d):
 
 def _plan(policy: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark, d):
-        return sync_plan(*_sides(spark, d), policy, time_column="ts", **WINDOW)
+        source, target = _sides(spark, d)
+        schemas = ({}, snap.declared(target))
+        return sync_plan(source, target, policy, time_column="ts", schemas=schemas, **WINDOW)
 
     return query
 
@@ -231,7 +237,8 @@ def hybrid_result(spark, d):
 
 def replicate_result(spark, d):
     source, target = _sides(spark, d)
-    plan = sync_plan(source, target, "replicate", time_column="ts", **WINDOW)
+    schemas = ({}, snap.declared(target))
+    plan = sync_plan(source, target, "replicate", time_column="ts", schemas=schemas, **WINDOW)
     return apply_plan(source, target, plan, time_column="ts")
 
 

@@ -260,8 +260,17 @@ def merge_incremental(
     time_column: str | None = None,
     **options,
 ) -> DataFrame:
-    """Merge only the ``incremental`` rows."""
-    staged = incremental(source, target, modified, shards, time_column)
+    """Merge only the ``incremental`` rows.
+
+    The marks are fetched, a row per day, and reach the scan of the source as literals. The
+    two joins of the merge shuffle what passes each for itself, as the modified column is
+    inserted but not updated.
+    """
+    kind = source.schema[modified].dataType
+    found = high_water(target, modified, shards)
+    found = found.select(SHARD, mark_text(col("high_water").cast(kind), kind).alias("mark"))
+    marks = dict.fromkeys(shards) | {r[SHARD]: r["mark"] for r in found.collect()}
+    staged = newer_than(in_shards(source, list(shards), time_column), modified, marks)
     return merge_staged(target, staged, modified, keys, **options)
 
 

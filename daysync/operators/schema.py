@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.columns import col
-from daysync.sources.shards import SHARD
+from daysync.sources.shards import SHARD, per_day
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _WIDER = {
@@ -18,69 +20,55 @@ _WIDER = {
 }
 
 
-def _value_counts(df: DataFrame, prefix: str) -> tuple[DataFrame, dict[str, T.DataType]]:
-    """One row per shard counting the values of each column, and the columns in order."""
-    types = {f.name: f.dataType for f in df.schema.fields if f.name != SHARD}
-    counts = [F.count(col(name)).alias(f"{prefix}{i}") for i, name in enumerate(types)]
-    return df.groupBy(SHARD).agg(*counts), types
+Schemas = Mapping[str, T.StructType]
+
+
+def _listed(schema: T.StructType) -> Column:
+    fields = [f for f in schema.fields if f.name != SHARD]
+    return F.array(*[
+        F.struct(
+            F.lit(i).alias("pos"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")
+        )
+        for i, f in enumerate(fields, start=1)
+    ])
 
 
-def schema_rows(df: DataFrame, side: str) -> DataFrame:
-    """One row ``(side, shard, pos, name, type)`` per column that holds a value in the shard.
+def schema_rows(df: DataFrame, side: str, schemas: Schemas | None = None) -> DataFrame:
+    """One row ``(side, shard, pos, name, type)`` per column that a day of ``df`` declares.
 
-    See ``shards.profile`` for why an all-NULL column counts as absent.
+    Declared are the columns ``schemas`` has for the day (see ``tables.shard_schemas``), else
+    those of ``df``. Of the rows only the shard is read, to know the days.
     """
-    counts, types = _value_counts(df, "n")
-    rows = [
-        F.when(
-            F.col(f"n{i}") > 0,
-            F.struct(
-                F.lit(i + 1).alias("pos"),
-                F.lit(name).alias("name"),
-                F.lit(kind.simpleString()).alias("type"),
-            ),
-        )
-        for i, (name, kind) in enumerate(types.items())
-    ]
-    listed = counts.select(SHARD, F.explode(F.array_compact(F.array(*rows))).alias("f"))
-    return listed.select(F.lit(side).alias("side"), SHARD, "f.pos", "f.name", "f.type")
+    listed = per_day({day: _listed(schema) for day, schema in (schemas or {}).items()}, _listed(df.schema))
+    days = df.select(SHARD).distinct().select(SHARD, F.explode(listed).alias("f"))
+    return days.select(F.lit(side).alias("side"), SHARD, "f.pos", "f.name", "f.type")
 
 
-def drift(source: DataFrame, target: DataFrame) -> DataFrame:
+def drift(
+    source: DataFrame, target: DataFrame, source_schemas: Schemas | None = None, target_schemas: Schemas | None = None
+) -> DataFrame:
     """How the target's columns differ from the source's, per shard both sides have.
 
     ``added`` is in the source only, ``removed`` in the target only, ``type_changed`` in
-    both with different types. Same columns give no row. Each side is read once; what is
-    joined is one row of counts per day.
+    both with different types. Same columns give no row. Columns are those each day
+    declares, as for ``schema_rows``; what is joined is one row per day and column.
     """
-    s_counts, s_types = _value_counts(source, "s")
-    t_counts, t_types = _value_counts(target, "t")
-
-    def present(prefix: str, types: dict[str, T.DataType], name: str) -> Column:
-        if name not in types:
-            return F.lit(None).cast("string")
-        count = F.col(f"{prefix}{list(types).index(name)}")
-        return F.when(count > 0, types[name].simpleString())
-
-    rows = [
-        F.struct(
-            F.lit(name).alias("name"),
-            present("s", s_types, name).alias("source_type"),
-            present("t", t_types, name).alias("target_type"),
-        )
-        for name in dict.fromkeys([*s_types, *t_types])
+    sides = [
+        schema_rows(df, name, schemas).select(SHARD, "name", F.col("type").alias(f"{name}_type"))
+        for df, name, schemas in ((source, "source", source_schemas), (target, "target", target_schemas))
     ]
+    both = source.select(SHARD).distinct().join(target.select(SHARD).distinct(), SHARD)
     change = (
         F.when(F.col("target_type").isNull(), "added")
         .when(F.col("source_type").isNull(), "removed")
         .otherwise("type_changed")
     )
-    both = s_counts.join(t_counts, SHARD).select(SHARD, F.explode(F.array(*rows)).alias("f"))
     return (
-        both.select(SHARD, "f.*")
+        sides[0].join(sides[1], [SHARD, "name"], "full_outer")
         .where(~F.col("source_type").eqNullSafe(F.col("target_type")))
+        .join(both, SHARD, "left_semi")
         .withColumn("change", change)
-    )
+    )
 
 
 # Digits that the whole numbers of a type may have.

@@ -6,10 +6,12 @@ both sides. All days are decided in one job.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daysync.sources.shards import (
     DEFAULT_LOOKBACK,
@@ -149,12 +151,17 @@ def sync_plan(
     modified: str = "modified",
     time_column: str | None = None,
     late_rows: bool = False,
+    schemas: Sequence[Mapping[str, T.StructType]] = ({}, {}),
 ) -> DataFrame:
-    """The plan for two tables, from one aggregation over the window of each."""
+    """The plan for two tables, from one aggregation over the window of each.
+
+    ``schemas`` are the columns that days of the source and of the target declare, where
+    they are not those of the frame.
+    """
     shards = lookback_shards(logical_date, lookback)
     schema = policy in SCHEMA_POLICIES
     sides = [
-        profile(in_shards(df, shards, time_column), modified, with_schema=schema)
-        for df in (source, target)
+        profile(in_shards(df, shards, time_column), modified, with_schema=schema, schemas=declared)
+        for df, declared in zip((source, target), schemas, strict=True)
     ]
     return plan_profiles(*sides, policy, logical_date, lookback, late_rows=late_rows)

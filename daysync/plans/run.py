@@ -18,8 +18,15 @@ from daysync.plans.policies import plan_profiles
 from daysync.session import shuffles_for, work_folder
 from daysync.sinks.write import by_shard, finish_replace, replace_shards, stage
 from daysync.sources.files import Folder
-from daysync.sources.shards import DEFAULT_LOOKBACK, SHARD, in_shards, lookback_shards
-from daysync.sources.tables import merged_schema, read_day_table, schema_text, shard_schemas
+from daysync.sources.shards import (
+    DEFAULT_LOOKBACK,
+    SHARD,
+    in_shards,
+    lookback_shards,
+    per_day,
+    schema_text,
+)
+from daysync.sources.tables import merged_schema, read_day_table, shard_schemas
 
 
 class _Side:
@@ -43,13 +50,11 @@ class _Side:
             newest = F.max(F.lit(None).cast("timestamp"))
         else:
             newest = F.max("_metadata.file_modification_time")
-        columns = F.lit(None).cast("string")
-        for shard, schema in self.schemas.items():
-            columns = F.when(F.col(SHARD) == shard, schema_text(schema)).otherwise(columns)
         days = in_shards(self.rows, self.shards).groupBy(SHARD).agg(
             F.count(F.lit(1)).alias("rows"), newest.alias("max_modified")
         )
-        return days.withColumn("fingerprint", columns)
+        texts = {day: F.lit(schema_text(schema)) for day, schema in self.schemas.items()}
+        return days.withColumn("fingerprint", per_day(texts, F.lit(None).cast("string")))
 
     def size(self, days: list[str]) -> int:
         return sum(self.folder.size(f"{SHARD}={day}") for day in days)

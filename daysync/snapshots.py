@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daysync.sinks.write import append_rows, write_day_table
 from daysync.sources.shards import SHARD, with_shard
@@ -55,6 +56,11 @@ def target_events(events: DataFrame) -> DataFrame:
     )
 
 
+def declared(target: DataFrame) -> dict[str, T.StructType]:
+    """The columns of the target's days that are not those of the frame."""
+    return {DRIFTED: target.drop("props").schema}
+
+
 def write_tables(events: DataFrame, source_path: str, target_path: str) -> None:
     """Both sides on disk, where the drifted day has no ``props`` column at all."""
     target = target_events(events)

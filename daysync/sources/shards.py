@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daysync.functions.columns import col, shard_of
 
@@ -76,25 +78,31 @@ def missing_shards(df: DataFrame, logical_date: date | str, days: int = DEFAULT_
     return due.join(present, SHARD, "left_anti")
 
 
-def profile(df: DataFrame, modified: str, *, with_schema: bool = False) -> DataFrame:
+def schema_text(schema: T.StructType) -> str:
+    """Ordered ``name:type`` list of the columns."""
+    return "|".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields if f.name != SHARD)
+
+
+def per_day(values: Mapping[str, Column], otherwise: Column | None = None) -> Column:
+    """The value of the row's day; ``otherwise`` (NULL unless given) for days not listed."""
+    default = F.lit(None) if otherwise is None else otherwise
+    if not values:
+        return default
+    listed = F.create_map(*[c for day, value in values.items() for c in (F.lit(day), value)])
+    return F.coalesce(F.try_element_at(listed, F.col(SHARD)), default)
+
+
+def profile(
+    df: DataFrame, modified: str, *, with_schema: bool = False, schemas: Mapping[str, T.StructType] | None = None
+) -> DataFrame:
     """One row per shard: ``rows``, ``max_modified`` and, on request, ``fingerprint``.
 
     A single aggregation with map-side combine, so a day holding most of the rows costs no
-    more than any other. The fingerprint lists ``name:type`` of the columns that hold a
-    value in the shard, in table order: in one table for all days, a column a day does not
-    have is NULL throughout it. It reads every column; without it only two are read.
+    more than any other. The fingerprint lists ``name:type`` of the columns that the day
+    declares: those of ``schemas``, else those of ``df``. No value is read for it.
     """
-    totals = [F.count(F.lit(1)).alias("rows"), F.max(col(modified)).alias("max_modified")]
-    if with_schema:
-        totals.append(fingerprint(df).alias("fingerprint"))
-    return df.groupBy(SHARD).agg(*totals)
-
-
-def fingerprint(df: DataFrame):
-    """Aggregate expression behind ``profile(with_schema=True)``."""
-    parts = [
-        F.when(F.count(col(f.name)) > 0, F.lit(f"{f.name}:{f.dataType.simpleString()}"))
-        for f in df.schema.fields
-        if f.name != SHARD
-    ]
-    return F.concat_ws("|", *parts)
+    days = df.groupBy(SHARD).agg(F.count(F.lit(1)).alias("rows"), F.max(col(modified)).alias("max_modified"))
+    if not with_schema:
+        return days
+    texts = {day: F.lit(schema_text(schema)) for day, schema in (schemas or {}).items()}
+    return days.withColumn("fingerprint", per_day(texts, F.lit(schema_text(df.schema))))

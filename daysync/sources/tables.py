@@ -94,11 +94,6 @@ def read_day_tables(spark: SparkSession, prefix: str, shards: Iterable[str]) ->
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def schema_text(schema: T.StructType) -> str:
-    """Ordered ``name:type`` list, the same form as ``shards.fingerprint``."""
-    return "|".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields if f.name != SHARD)
-
-
 def merged_schema(schemas: Iterable[T.StructType]) -> T.StructType:
     """All columns in first-seen order, each with the wider of the types it has."""
     types: dict[str, T.DataType] = {}

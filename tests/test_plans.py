@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from daysync.operators.schema import drift
 from daysync.plans import report
@@ -106,8 +107,11 @@ def test_merge_of_a_day_the_target_lacks_is_a_copy(spark):
 
 def test_profile_of_columns(spark):
     df = spark.createDataFrame([(D1, 1, None), (D1, 2, None), (D2, 3, "x")], "shard string, a int, b string")
+    both = "a:int|b:string"
     got = {r["shard"]: r["fingerprint"] for r in profile(df, "a", with_schema=True).collect()}
-    assert got == {D1: "a:int", D2: "a:int|b:string"}
+    assert got == {D1: both, D2: both}  # a column without values is declared all the same
+    found = profile(df, "a", with_schema=True, schemas={D1: df.select("a").schema})
+    assert {r["shard"]: r["fingerprint"] for r in found.collect()} == {D1: "a:int", D2: both}
 
 
 PLAN = "shard string, offset int, source_rows long, action string"
@@ -139,3 +143,10 @@ def test_drift_names_every_kind_of_change(spark):
     assert {(r["shard"], r["name"], r["change"]) for r in changes} == {
         (D1, "new", "added"), (D1, "old", "removed"), (D1, "v", "type_changed")
     }
+    # A column that is NULL for the whole day has not gone.
+    empty = source.withColumn("new", F.lit(None).cast("string"))
+    assert drift(empty, source).collect() == []
+    older = {D1: source.drop("new").schema}
+    assert [(r["name"], r["change"]) for r in drift(empty, source, target_schemas=older).collect()] == [("new", "added")]
+    plan = drift(source, target)._jdf.queryExecution().optimizedPlan().toString()
+    assert "count" not in plan

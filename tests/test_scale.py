@@ -132,6 +132,23 @@ def test_merged_days_share_the_source_shuffle(spark, tmp_path, conf):
     assert len(re.findall(r"ReusedExchange \[__key_0", plan)) == 1
 
 
+def test_marks_of_an_incremental_merge_reach_the_reader(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    sides = []
+    for name, hot in (("t", -1), ("s", -2)):
+        day = F.when(F.col("id") % 2 == 0, "20260411").otherwise("20260412")
+        at = F.timestamp_seconds(F.abs("id") % 1000 + (0 if name == "t" else 500)).cast("timestamp_ntz")
+        df = table(spark, f"{tmp_path}/{name}0", hot).withColumn("shard", day).withColumn("modified", at)
+        write_day_table(df, f"{tmp_path}/{name}")
+        sides.append(read_day_table(spark, f"{tmp_path}/{name}"))
+    target, source = sides
+    days = ["20260411", "20260412"]
+    merged = merge_days(source, target, days, ["id"], incremental_by="modified")
+    rows, plan = ran(merged)
+    assert rows >= 6000
+    assert "GreaterThan(modified" in plan
+
+
 def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     target = table(spark, f"{tmp_path}/t", -1)
     source = table(spark, f"{tmp_path}/s", -2, 30)
