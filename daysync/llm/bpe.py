@@ -18,6 +18,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from daysync.llm.common import blocks, extended, lists, ship
-from daysync.llm.words import split_words
+from daysync.llm.words import PATTERN, split_words
 
 #: Words kept by a worker between batches, and characters of them.
 KEPT_WORDS = 600_000
@@ -64,6 +65,8 @@ class Vocabulary:
             pair = ids[x], ids[y]
             self.merges[pair] = rank
             parts.setdefault(ids[x + y], (rank, *pair))
+        #: Whether merges go in the order of the ids they make.
+        self.by_id = all(a < b for a, b in pairwise(parts)) and len(parts) == len(self.merges)
         self.ids = {bytes([letters[w]]): k for w, k in ids.items() if w in letters}
         self.ids |= {self.token_bytes[k]: k for k in parts}
         self.longest = max(map(len, self.ids))
@@ -250,9 +253,28 @@ class TrieEncoder:
         return b"".join([table[k] for k in ids]).decode("utf-8", "replace")
 
 
+class LibraryEncoder(TrieEncoder):
+    """The same ids by tiktoken, for operators that only need them."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        import tiktoken
+
+        super().__init__(vocabulary)
+        self._library = tiktoken.Encoding("texts", pat_str=PATTERN, mergeable_ranks=vocabulary.ids, special_tokens={})
+
+    def prepare(self, groups: Iterator[list[str | None]]) -> None:
+        """Nothing is gained by many texts at a time."""
+
+    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self._library.encode_to_numpy(t, disallowed_special=()) for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+        return np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int32), offsets
+
+
 @lru_cache(maxsize=2)
-def _encoder(content: str) -> TrieEncoder:
-    return TrieEncoder(Vocabulary(content))
+def _encoder(content: str, trie: bool) -> TrieEncoder:
+    vocabulary = Vocabulary(content)
+    return TrieEncoder(vocabulary) if trie or not vocabulary.by_id else LibraryEncoder(vocabulary)
 
 
 def read_vocabulary(path: str) -> str:
@@ -264,17 +286,22 @@ def read_vocabulary(path: str) -> str:
 Coded = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, TrieEncoder], pa.RecordBatch]
 
 
-def with_ids(docs: DataFrame, text_column: str, path: str, make: Coded, schema: StructType | str) -> DataFrame:
-    """Calls ``make(rows, ids, offsets, encoder)`` for each block of ``docs``: one pass over the texts."""
+def with_ids(docs: DataFrame, text_column: str, path: str, make: Coded, schema: StructType | str, trie: bool = True) -> DataFrame:
+    """Calls ``make(rows, ids, offsets, encoder)`` for each block of ``docs``: one pass over the texts.
+
+    Without ``trie`` a library encodes the texts, to the same ids.
+    """
     spark = docs.sparkSession
     ship(spark)
     content = spark.sparkContext.broadcast(read_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(content.value)
+        encoder = _encoder(content.value, trie)
         for batch in batches:
-            encoder.prepare(b.column(text_column).to_pylist() for b in blocks(batch, text_column))
-            for block in blocks(batch, text_column):
+            parts = list(blocks(batch, text_column))
+            if len(parts) > 1:
+                encoder.prepare(b.column(text_column).to_pylist() for b in parts)
+            for block in parts:
                 ids, offsets = encoder.encode(block.column(text_column).to_pylist())
                 yield make(block, ids, offsets, encoder)
 
@@ -305,7 +332,7 @@ def decode(docs: DataFrame, path: str, ids_column: str = "ids", text_column: str
     schema = extended(docs, {text_column: "string"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(content.value)
+        encoder = _encoder(content.value, True)
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 block = batch.slice(first, 256)

@@ -156,7 +156,7 @@ def cut(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "piece", "start", "length", "ids_crc32"])
 
     given = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    return bpe.with_ids(given, "text", path, pieces, "id long, piece int, start long, length long, ids_crc32 long")
+    return bpe.with_ids(given, "text", path, pieces, "id long, piece int, start long, length long, ids_crc32 long", trie=False)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

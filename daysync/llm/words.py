@@ -15,6 +15,8 @@ import numpy as np
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 # The endings split off after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+# Fixed value: the same rule as a pattern, for libraries.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _APOSTROPHE, _BLANK = ord("'"), ord(" ")
 
 

@@ -20,9 +20,11 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = st.text(alphabet=st.sampled_from("aAbB .,'st1²é中\n\t\x0b\x1c\x85 "), max_size=40)
 
 
-@pytest.fixture(scope="module")
-def encoder():
-    return bpe.TrieEncoder(bpe.Vocabulary(bpe.read_vocabulary(PATH)))
+@pytest.fixture(scope="module", params=[bpe.TrieEncoder, bpe.LibraryEncoder])
+def encoder(request):
+    vocabulary = bpe.Vocabulary(bpe.read_vocabulary(PATH))
+    assert vocabulary.by_id
+    return request.param(vocabulary)
 
 
 @pytest.fixture(scope="module")
