@@ -37,9 +37,10 @@ from daysync.operators.update import update_all, update_first  # noqa: E402
 from daysync.plans import report  # noqa: E402
 from daysync.plans.apply import apply_plan, backfill, replace_days  # noqa: E402
 from daysync.plans.policies import sync_plan  # noqa: E402
-from daysync.plans.run import sync_table  # noqa: E402
+from daysync.plans.run import sync_day_tables, sync_table  # noqa: E402
 from daysync.session import work_folder  # noqa: E402
 from daysync.sinks.write import export_parquet, write_day_table  # noqa: E402
+from daysync.sources.files import Folder  # noqa: E402
 from daysync.sources.shards import (  # noqa: E402
     SHARD,
     in_shards,
@@ -287,6 +288,31 @@ def _renamed_sync(names: dict[str, str], columns: list[str], policy: str, **opti
     return query
 
 
+def day_tables_sync(spark, d):
+    """Tables of one day each; they are gone from the catalog afterwards, their files are read."""
+    folder = work_folder(spark)
+    names = {side: f"{side}_{folder.rpartition('-')[2]}" for side in ("source", "target")}
+    window = lookback_shards(snap.LOGICAL_DATE, snap.LOOKBACK)
+    for side, df in zip(names, _sides(spark, d), strict=True):
+        write_day_table(in_shards(df, window, "ts"), f"{folder}/{side}")
+        written = read_day_table(spark, f"{folder}/{side}", df.schema)
+        for day in window:
+            if Folder(spark, f"{folder}/{side}/{SHARD}={day}").exists():
+                rows = written.where(F.col(SHARD) == day).drop(SHARD)
+                rows = rows.drop("props") if (side, day) == ("target", snap.DRIFTED) else rows
+                rows.write.option("path", f"{folder}/{names[side]}_{day}").saveAsTable(f"{names[side]}_{day}")
+    sync_day_tables(
+        spark, names["source"], names["target"], modified="modified", keys=["event_id"], folder=folder, **WINDOW
+    )
+    parts = []
+    for day in window:
+        if spark.catalog.tableExists(f"{names['target']}_{day}"):
+            parts.append(spark.read.parquet(f"{folder}/{names['target']}_{day}").withColumn(SHARD, F.lit(day)))
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}_{day}")
+    return union_all(*parts)
+
+
 def late_rows(spark, d):
     """Days whose newest rows are alike and of which the source has more are merged too."""
     source, target = _sides(spark, d)
@@ -431,6 +457,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             {"user_id": "user_pseudo_id", "ts": "event_timestamp", "event_type": "event_name"},
             ["event_id", "user_pseudo_id", "event_timestamp", "event_name", "value", "modified"], "hybrid",
         ),
+        "day_tables_sync": day_tables_sync,
         "late_rows": late_rows,
         "report_replicate": lambda spark, d: report.by_bucket(_plan("replicate")(spark, d), report.REPLICATE_BUCKETS),
         "export_projection": export_projection,

@@ -14,7 +14,7 @@ from daysync.operators.dedupe import latest
 from daysync.operators.merge import ID_COLUMN, UNIQUE, choose_keys, merge_staged, newer_than
 from daysync.operators.schema import empty_clone
 from daysync.plans.apply import Decisions, merge_days
-from daysync.plans.policies import plan_profiles
+from daysync.plans.policies import plan_profiles, sync_plan
 from daysync.session import shuffles_for, work_folder
 from daysync.sinks.write import by_shard, finish_replace, replace_shards, stage
 from daysync.sources.files import Folder
@@ -26,7 +26,7 @@ from daysync.sources.shards import (
     per_day,
     schema_text,
 )
-from daysync.sources.tables import merged_schema, read_day_table, shard_schemas
+from daysync.sources.tables import merged_schema, read_day_table, read_day_tables, shard_schemas
 
 
 class _Side:
@@ -196,3 +196,67 @@ def _report(
     ]
     out = T.StructType([*schema.fields, T.StructField("written_rows", T.LongType())])
     return spark.createDataFrame(rows, out)
+
+
+def sync_day_tables(
+    spark: SparkSession,
+    source_prefix: str,
+    target_prefix: str,
+    policy: str = "hybrid",
+    *,
+    logical_date: date | str,
+    lookback: int = DEFAULT_LOOKBACK,
+    keys: Sequence[str] | None = None,
+    modified: str,
+    present_only: bool = False,
+    folder: str | None = None,
+    **options,
+) -> DataFrame:
+    """``sync_table`` for catalog tables of one day each, such as ``db.events_20240130``.
+
+    Returns the plan. A copied day becomes a table with the source's columns, a merged one
+    has those of both sides; both replace the target's table of the day. All new contents are
+    staged before the first table is replaced. New tables are the catalog's, or lie below
+    ``folder``. A few days are due, so the tables are written one after the other, each by
+    all executors.
+    """
+    shards = lookback_shards(logical_date, lookback)
+    sides = [
+        {s: spark.table(f"{prefix}_{s}") for s in shards if spark.catalog.tableExists(f"{prefix}_{s}")}
+        for prefix in (source_prefix, target_prefix)
+    ]
+    if not sides[0]:
+        raise ValueError(f"no table {source_prefix}_<day> for any of the days")
+    source = read_day_tables(spark, source_prefix, sides[0])
+    target = read_day_tables(spark, target_prefix, sides[1]) if sides[1] else empty_clone(source)
+    schemas = [{s: df.schema for s, df in side.items()} for side in sides]
+    plan = sync_plan(
+        source, target, policy, logical_date, lookback, modified=modified, late_rows=True, schemas=schemas
+    )
+    decisions = Decisions.of(plan)
+    if decisions.merged and keys is None:
+        keys = _keys(policy, source.columns, present_only)
+    if policy == "incremental":
+        options["incremental_by"] = modified
+    options.setdefault("order_by", [modified])
+    staged = Folder(spark, work_folder(spark))
+    try:
+        ready = {}
+        for day in decisions.copied:
+            ready[day] = f"{staged.path}/{day}"
+            sides[0][day].write.parquet(ready[day])
+        if decisions.merged:
+            merged = merge_days(source, target, decisions.merged, keys, **options)
+            rows = stage(merged, f"{staged.path}/merged")
+            for day in decisions.merged:
+                ready[day] = f"{staged.path}/merged/{SHARD}={day}"
+                if not Folder(spark, ready[day]).exists():  # a day merged to no rows
+                    rows.limit(0).drop(SHARD).write.parquet(ready[day])
+        for day, path in ready.items():
+            writer = spark.read.parquet(path).write.mode("overwrite")
+            if folder:
+                writer = writer.option("path", f"{folder.rstrip('/')}/{target_prefix.rpartition('.')[2]}_{day}")
+            writer.saveAsTable(f"{target_prefix}_{day}")
+    finally:
+        staged.drop("")
+    return spark.createDataFrame([tuple(r[c] for c in plan.columns) for r in decisions.rows], plan.schema)

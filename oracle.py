@@ -323,6 +323,7 @@ FROM g""",
     sql["event_key_sync_table"] = _event_key_result()
     sql["composite_sync_table"] = _composite_result()
     sql["report_replicate"] = _buckets("replicate", ("sync_done", "schema_change", "data_change", "skipped"))
+    sql["day_tables_sync"] = f"SELECT * FROM ({_hybrid_result()}) r WHERE shard BETWEEN '20240124' AND '20240130'"
     # The newest rows of both sides are alike, so only the numbers of rows tell.
     sql["late_rows"] = (
         f"WITH {SIDES.replace('+ INTERVAL 1 DAY', '')},{DAYS}\nSELECT shard, \"offset\", source_rows, target_rows, "
