@@ -217,7 +217,12 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns.
+
+    One row of each text stays: the one with the largest id, one without id only if no row
+    of the text has one, and of rows that repeat both id and text any one. Columns may have
+    any names. An empty table gives an empty result.
+    """
     name, top, tops = fresh(docs.columns, "sha256", "top", "tops")
     found = classes(docs, id_column, text_column, table_bytes)
     stay = found.select(F.lower(F.hex("digest")).alias(name), F.col("top").alias(top), F.col("tops").alias(tops))

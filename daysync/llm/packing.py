@@ -137,7 +137,9 @@ def cut(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str
     """``id, piece, start, length, ids_crc32`` of the pieces of each document.
 
     A document is its ids and ``end_id``. One of over ``capacity`` is cut from its end, so
-    that only its first piece is shorter.
+    that only its first piece is shorter. A null or empty text is ``end_id`` alone, a null id
+    stays null, repeated rows are documents each, and other columns are not read. An empty
+    table gives an empty result.
     """
 
     def pieces(block, ids, offsets, _):

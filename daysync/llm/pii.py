@@ -434,6 +434,6 @@ def _replaced(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
 
 
 def redacted(docs: DataFrame, model: Crf, text_column: str = "text") -> DataFrame:
-    """``docs`` with personal data replaced in its texts."""
+    """``docs`` with personal data replaced in its texts, all rows and columns kept; see ``find``."""
     (name,) = fresh(docs.columns, "pii")
     return find(docs, model, text_column, name, redact=True).drop(name)
