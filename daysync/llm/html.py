@@ -45,6 +45,8 @@ CLOSES = {
     "body": ({"head"}, set()),
 }
 HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
+# Start tags that do not open the body; all others and text do, and end an open head.
+BEFORE_BODY = frozenset("html head body base link meta title style script noscript template".split())
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)|[^>=]++)*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
@@ -145,6 +147,8 @@ class TreeBuilder:
     def events(self, given: Iterator[Event]) -> Iterator[Event]:
         for kind, name, attributes in given:
             if kind == "text":
+                if name.strip(" \t\n\r\f"):
+                    yield from self._enter_body()
                 yield kind, name, attributes
             elif kind == "open":
                 yield from self._start(name, attributes)
@@ -156,6 +160,10 @@ class TreeBuilder:
     def _start(self, name: str, attributes: dict[str, str]) -> Iterator[Event]:
         if name in ("html", "body") and self.counts.get(name):
             return
+        if name in ("html", "head") and self.counts.get("body") or name == "head" and name in self.counts:
+            return
+        if name not in BEFORE_BODY:
+            yield from self._enter_body()
         if name in CLOSE_P and self.counts.get("p"):
             yield from self._pop_through({"p"}, {"table", "td", "th", "caption", "button", "object"})
         if name in HEADINGS and self.open and self.open[-1] in HEADINGS:
@@ -175,6 +183,14 @@ class TreeBuilder:
         if name in VOID:
             yield self._pop()
 
+    def _enter_body(self) -> Iterator[Event]:
+        """Opens the body unless it is open, and closes the head; what is inside a title or template does neither."""
+        if self.counts.get("body") or (self.open and self.open[-1] not in ("html", "head")):
+            return
+        if self.open and self.open[-1] == "head":
+            yield self._pop()
+        yield self._push("body", {})
+
     def _inside_table(self) -> set[str]:
         out: set[str] = set()
         for name in reversed(self.open):
@@ -197,6 +213,7 @@ class TreeBuilder:
 
     def _end(self, name: str) -> Iterator[Event]:
         if name == "br":
+            yield from self._enter_body()
             yield "open", "br", {}
             yield "close", "br", {}
         elif name in HEADINGS:

@@ -252,6 +252,21 @@ def test_pages(spark):
         assert html.render(deep + "x").strip(" -") in ("x", "")
 
 
+def test_pages_without_end_of_head():
+    cases = {
+        "<html><head><title>t</title><h1>A</h1><p>text": "A\n\ntext",
+        "<head><meta charset=utf-8><link rel=x>\n text <b>b</b>": "text b",
+        "<head><title>t</title>&nbsp;x": "\xa0x",
+        "<head><title>a <b>b</title><style>p{}</style><script>1</script><img><p>c": "c",
+        "<head><template><p>no</p>no</template><noscript>no</noscript><div>yes</div></head>, yes<body>too": "yes\n, yestoo",
+        "<p>a</p><head><p>b</head>c": "a\n\nbc",
+        "<head></head>a<head>b": "ab",
+        "<head><title>t": "",
+    }
+    for page, text in cases.items():
+        assert html.render(page) == text, page
+
+
 def test_pages_keep_every_visible_word(spark):
     from html.parser import HTMLParser
 
