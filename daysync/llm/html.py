@@ -50,7 +50,8 @@ BEFORE_BODY = frozenset("html head body base link meta title style script noscri
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)|[^>=]++)*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_CSS_OPAQUE = re.compile(r"""/\*.*?(?:\*/|\Z)|"[^"]*+"?|'[^']*+'?|\((?:[^()"']|"[^"]*+"?|'[^']*+'?)*+\)?""", re.DOTALL)
+_VISIBILITY = {"visible": True, "initial": True, "hidden": False, "collapse": False}
 _WHITE = re.compile(r"[ \t\n\r\f]+")
 
 #: A column is as wide as its widest cell of up to so many characters; longer ones stand out.
@@ -70,6 +71,20 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
+def _declared(style: str) -> dict[str, str]:
+    """Properties of a style attribute with their values; the last counts, important ones before others.
+
+    Comments, strings and what is in parentheses are left out of the values.
+    """
+    plain: dict[str, str] = {}
+    important: dict[str, str] = {}
+    for declaration in _CSS_OPAQUE.sub(" ", style.lower()).split(";"):
+        name, _, value = declaration.partition(":")
+        value, sign, _ = value.partition("!")
+        (important if sign else plain)[name.strip()] = value.strip()
+    return plain | important
+
+
 def tokens(page: str) -> Iterator[Event]:
     """``(kind, name or text, attributes)`` with the kinds open, close and text.
 
@@ -300,6 +315,7 @@ class Renderer:
     def __init__(self) -> None:
         self.boxes = [Box()]
         self.unseen = 0  # open elements from the outermost one that is not shown
+        self.visible = [True]  # of each open element, whether its own text is seen
         self.keep = 0  # open elements that keep white space
         self.lists: list[list] = []  # whether numbered, the number
         self.tables: list[list[list[tuple[int, list[str]]]]] = []  # rows of cells: columns, lines
@@ -310,7 +326,7 @@ class Renderer:
 
     def feed(self, kind: str, name: str, attributes: dict[str, str]) -> None:
         if kind == "text":
-            if not self.unseen:
+            if not self.unseen and self.visible[-1]:
                 self.boxes[-1].write(name, bool(self.keep))
         elif kind == "open":
             self._open(name, attributes)
@@ -320,16 +336,20 @@ class Renderer:
             self._close(name)
 
     def _open(self, name: str, attributes: dict[str, str]) -> None:
-        if self.unseen or self._is_unseen(name, attributes):
+        style = _declared(attributes["style"]) if "style" in attributes and not self.unseen else {}
+        if self.unseen or self._is_unseen(name, attributes, style):
             self.unseen += 1
             return
+        visible = _VISIBILITY.get(style.get("visibility", ""), self.visible[-1])
+        self.visible.append(visible)
         box = self.boxes[-1]
         if name == "br":
-            box.end_line(True)
+            box.end_line(visible)
         elif name == "hr":
             box.block(1)
         elif name == "input" and attributes.get("type", "").lower() in ("submit", "button", "reset"):
-            box.write(attributes.get("value", ""), False)
+            if visible:
+                box.write(attributes.get("value", ""), False)
         elif name in ("td", "th") and self.tables:
             self.boxes.append(Box())
             if not self.tables[-1]:
@@ -354,16 +374,18 @@ class Renderer:
             else:
                 marker = "- "
             box.margins.append(" " * len(marker))
-            box.marker = marker
+            box.marker = marker if visible else ""
         elif name in ("dd", "blockquote"):
             box.margins.append("  ")
 
-    def _is_unseen(self, name: str, attributes: dict[str, str]) -> bool:
+    def _is_unseen(self, name: str, attributes: dict[str, str], style: dict[str, str]) -> bool:
+        """Whether nothing of an element is shown, whatever is inside it."""
         if name in HIDDEN or "hidden" in attributes or (name == "dialog" and "open" not in attributes):
             return True
-        return bool("style" in attributes and _UNSEEN.search(attributes["style"]))
+        return style.get("display") == "none" or style.get("content-visibility") == "hidden"
 
     def _close(self, name: str) -> None:
+        self.visible.pop()
         if name in VOID:
             if name == "hr":
                 self.boxes[-1].block(1)

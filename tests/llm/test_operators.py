@@ -267,6 +267,24 @@ def test_pages_without_end_of_head():
         assert html.render(page) == text, page
 
 
+def test_pages_with_styles():
+    hidden = '<div style="visibility:hidden">'
+    cases = {
+        '<div style="backface-visibility: hidden">a<p style="-webkit-backface-visibility:hidden">b</div>': "a\n\nb",
+        '<p style="--display:none; x-display : none">a': "a",
+        '<p style="color:red; VISIBILITY : Hidden">no<p style="display:none !important; display:block">no<p>a': "a",
+        '<p style="display:none;display:block">a<p style="visibility:collapse">no': "a",
+        '<p style="background:url(x;display:none);/*;display:none*/content:&quot;;display:none&quot;">a': "a",
+        f'{hidden}no<b style="visibility:visible">a<i style="visibility:inherit">b</i></b>no<ul><li>no</ul></div>c': "ab\n\nc",
+        f'{hidden}no<br>no<input type=submit value=no><p style="display:none">no<b style="visibility:visible">no</b></div>c': "c",
+        f'{hidden}<ol><li>no<li style="visibility:visible">a</ol></div>': "2. a",
+        '<div style="content-visibility:hidden">no<b style="visibility:visible">no</b></div>a': "a",
+        '<table><tr><td style="visibility:hidden">no<td>a<tr><td>bb<td>c</table>': "    a\nbb  c",
+    }
+    for page, text in cases.items():
+        assert html.render(page) == text, page
+
+
 def test_pages_keep_every_visible_word(spark):
     from html.parser import HTMLParser
 
