@@ -4,13 +4,16 @@ A tree builder turns a page into elements that open and close in order, with the
 HTML implies. The renderer follows them and writes what a reader sees: blocks apart from
 each other, items under their lists' markers, cells of a table in columns. Both keep stacks
 and never recurse, and every page is read once from front to back, so depth and length of a
-page only cost time in proportion.
+page only cost time in proportion. The text of a table may be longer than the table, as cells
+are filled up to the width of their column.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
@@ -44,6 +47,7 @@ CLOSES = {
     "caption": ({"caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+ROW_GROUPS = frozenset("thead tbody tfoot".split())
 HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 # Start tags that do not open the body; all others and text do, and end an open head.
 BEFORE_BODY = frozenset("html head body base link meta title style script noscript template".split())
@@ -54,9 +58,6 @@ _CSS_OPAQUE = re.compile(r"""/\*.*?(?:\*/|\Z)|"[^"]*+"?|'[^']*+'?|\((?:[^()"']|"
 _VISIBILITY = {"visible": True, "initial": True, "hidden": False, "collapse": False}
 _WHITE = re.compile(r"[ \t\n\r\f]+")
 
-#: A column is as wide as its widest cell of up to so many characters; longer ones stand out.
-WIDEST = 40
-
 Event = tuple[str, str, dict[str, str]]
 
 
@@ -309,6 +310,81 @@ class Box:
         return self.lines
 
 
+@dataclass
+class Cell:
+    """How many columns and rows a cell takes (0: all rows of its group that follow), and its lines."""
+
+    columns: int
+    rows: int
+    lines: list[str]
+
+
+@dataclass
+class Grid:
+    """Rows of a table and where its row groups begin or end; no cell reaches over that."""
+
+    rows: list[list[Cell]] = field(default_factory=list)
+    edges: list[int] = field(default_factory=list)
+
+    def placed(self) -> Iterator[list[tuple[int, Cell]]]:
+        """The cells of each row with their columns: the next that no cell of a row above still takes."""
+        edges = sorted({*self.edges, len(self.rows)})
+        above: list[tuple[int, int, int]] = []  # columns from, up to, and the row where they are free again
+        for k, row in enumerate(self.rows):
+            if not row:
+                continue
+            above = [x for x in above if x[2] > k]
+            end = edges[bisect_left(edges, k + 1)]
+            at, j, out, longer = 0, 0, [], []
+            for cell in row:
+                while j < len(above) and above[j][0] <= at:
+                    at, j = max(at, above[j][1]), j + 1
+                out.append((at, cell))
+                if cell.rows != 1:
+                    longer.append((at, at + cell.columns, min(k + cell.rows, end) if cell.rows else end))
+                at += cell.columns
+            if longer:
+                above = sorted(above + longer)
+            yield out
+
+    def text(self) -> list[str]:
+        """The lines of all rows; columns in which a cell begins start at the same place in each row.
+
+        A column is as wide as its widest cell. What a cell over several columns needs beyond
+        them widens the last of them.
+        """
+        rows = list(self.placed())
+        columns = sorted({at for row in rows for at, _ in row})
+        rank = {at: k for k, at in enumerate(columns)}
+        widths = [0] * len(columns)
+        wide: list[tuple[int, int, int]] = []
+        for row in rows:
+            for at, cell in row:
+                need = max(map(len, cell.lines), default=0)
+                first, last = rank[at], bisect_left(columns, at + cell.columns) - 1
+                if first == last:
+                    widths[first] = max(widths[first], need)
+                else:
+                    wide.append((last, first, need))
+        for last, first, need in sorted(wide):
+            widths[last] += max(0, need - sum(widths[first : last + 1]) - 2 * (last - first))
+        starts = [0]
+        for width in widths:
+            starts.append(starts[-1] + width + 2)
+        out = []
+        for row in rows:
+            for k in range(max(len(cell.lines) for _, cell in row)):
+                parts, size = [], 0
+                for at, cell in row:
+                    if k < len(cell.lines) and cell.lines[k]:
+                        # Cells that a page lays over each other stay apart.
+                        gap = max(starts[rank[at]] - size, 2 if size else 0)
+                        parts += [" " * gap, cell.lines[k]]
+                        size += gap + len(cell.lines[k])
+                out.append("".join(parts).rstrip())
+        return out
+
+
 class Renderer:
     """Writes events as text."""
 
@@ -318,7 +394,7 @@ class Renderer:
         self.visible = [True]  # of each open element, whether its own text is seen
         self.keep = 0  # open elements that keep white space
         self.lists: list[list] = []  # whether numbered, the number
-        self.tables: list[list[list[tuple[int, list[str]]]]] = []  # rows of cells: columns, lines
+        self.tables: list[Grid] = []
         self.ends: list[tuple[str, ...]] = []  # what to do when each open element closes
 
     def text(self) -> str:
@@ -352,17 +428,20 @@ class Renderer:
                 box.write(attributes.get("value", ""), False)
         elif name in ("td", "th") and self.tables:
             self.boxes.append(Box())
-            if not self.tables[-1]:
-                self.tables[-1].append([])
-            self.tables[-1][-1].append((_span(attributes.get("colspan", "")), self.boxes[-1].lines))
+            if not self.tables[-1].rows:
+                self.tables[-1].rows.append([])
+            spans = _span(attributes.get("colspan", ""), 1, 1000), _span(attributes.get("rowspan", ""), 0, 65534)
+            self.tables[-1].rows[-1].append(Cell(*spans, self.boxes[-1].lines))
         elif name == "tr" and self.tables:
-            self.tables[-1].append([])
+            self.tables[-1].rows.append([])
         elif name == "table":
             box.block(1)
-            self.tables.append([])
+            self.tables.append(Grid())
         elif name in BLOCK:
             nested = name in ("ul", "ol") and self.lists
             box.block(0 if nested else int(name in SPACED))
+        if name in ROW_GROUPS and self.tables:
+            self.tables[-1].edges.append(len(self.tables[-1].rows))
         if name in ("pre", "textarea"):
             self.keep += 1
         elif name in ("ul", "ol", "menu", "dir"):
@@ -396,13 +475,15 @@ class Renderer:
             self.boxes.pop()
         elif name == "table" and self.tables:
             box.end_line()
-            for line in _aligned(self.tables.pop()):
+            for line in self.tables.pop().text():
                 box.parts = [line]
                 box.end_line(True)
             box.block(1)
         elif name in BLOCK:
             nested = name in ("ul", "ol") and len(self.lists) > 1
             box.block(0 if nested else int(name in SPACED))
+        if name in ROW_GROUPS and self.tables:
+            self.tables[-1].edges.append(len(self.tables[-1].rows))
         if name in ("pre", "textarea"):
             self.keep -= 1
         elif name in ("ul", "ol", "menu", "dir"):
@@ -416,31 +497,8 @@ def _number(text: str) -> int:
     return int(text) if re.fullmatch(r"\s*-?[0-9]{1,9}\s*", text) else 1
 
 
-def _span(text: str) -> int:
-    return min(max(int(text), 1), 1000) if re.fullmatch(r"\s*[0-9]{1,9}\s*", text) else 1
-
-
-def _aligned(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
-    """The lines of a table; columns begin at the same place unless a cell before stands out."""
-    widths: dict[int, int] = {}
-    for row in rows:
-        at = 0
-        for span, lines in row:
-            if span == 1:
-                widths[at] = max([widths.get(at, 0), *(len(x) for x in lines if len(x) <= WIDEST)])
-            at += span
-    out = []
-    for row in rows:
-        height = max((len(lines) for _, lines in row), default=0)
-        for k in range(height):
-            at, parts = 0, []
-            for span, lines in row:
-                text = lines[k] if k < len(lines) else ""
-                width = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1) if span < 100 else 0
-                parts.append(text.ljust(width))
-                at += span
-            out.append("  ".join(parts).rstrip())
-    return out
+def _span(text: str, least: int, most: int) -> int:
+    return min(max(int(text), least), most) if re.fullmatch(r"\s*[0-9]{1,9}\s*", text) else 1
 
 
 def render(page: str | None) -> str:

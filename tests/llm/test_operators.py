@@ -285,6 +285,23 @@ def test_pages_with_styles():
         assert html.render(page) == text, page
 
 
+def test_pages_with_spanning_cells():
+    long = "x" * 50
+    cases = {
+        "<table><tr><td rowspan=2>a<td>b<td>c<tr><td>dd<td>e</table>": "a  b   c\n   dd  e",
+        "<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>": "a  b  c\nd     e\nf     g",
+        "<table><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>": "a  b\n   c\nd  e",
+        "<table><thead><tr><td rowspan=9>a<td>b</thead><tr><td>c<td>d</table>": "a  b\nc  d",
+        f"<table><tr><td>{long}<td>b<tr><td>c<td>d</table>": f"{long}  b\nc{' ' * 51}d",
+        "<table><tr><td colspan=1000>a<td>b<tr><td>c<td>d<tr><td>e</table>": "a     b\nc  d\ne",
+        "<table><tr><td colspan=2>a long one<td>b<tr><td>c<td>d<td>e</table>": "a long one  b\nc  d        e",
+        "<table><tr><td>a<td rowspan=2>b<tr><td colspan=3>c<td>d</table>": "a  b\nc     d",
+        "<table><tr><td>a<br>b<td>c<tr><td><td>d<tr></table>": "a  c\nb\n   d",
+    }
+    for page, text in cases.items():
+        assert html.render(page) == text, page
+
+
 def test_pages_keep_every_visible_word(spark):
     from html.parser import HTMLParser
 
