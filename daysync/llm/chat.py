@@ -93,6 +93,7 @@ def stale_replies(conversation: DataFrame) -> DataFrame:
     ``chosen`` is the conversation up to the assistant's last turn, ``rejected`` the same with
     that turn's text replaced by the text of the assistant's turn before, or by nothing if
     there is none. Without a turn of the assistant both are the whole conversation.
+    ``after`` has the turns that follow the assistant's last, which are in neither.
     """
     turns = F.col("turns")
     places = F.filter(F.sequence(F.lit(1), F.size(turns)), lambda k: F.element_at(turns, k)["role"] == ASSISTANT)
@@ -105,4 +106,5 @@ def stale_replies(conversation: DataFrame) -> DataFrame:
         "id",
         F.when(some, F.slice(turns, F.lit(1), last)).otherwise(turns).alias("chosen"),
         F.when(some, F.concat(F.slice(turns, F.lit(1), last - 1), F.array(reply).cast(TURNS))).otherwise(turns).alias("rejected"),
+        F.when(some, F.slice(turns, last + 1, F.size(turns))).otherwise(F.array().cast(TURNS)).alias("after"),
     )

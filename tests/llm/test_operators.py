@@ -364,6 +364,16 @@ def test_conversations(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_pairs_keep_the_turns_after_the_last_reply(spark):
+    rows = [(1, "user", "q"), (1, "assistant", "a"), (1, "user", "u"), (1, "tool", "v"), (2, "user", "q"), (3, "user", "q"), (3, "assistant", "b")]
+    df = spark.createDataFrame([(c, k, r, t) for k, (c, r, t) in enumerate(rows)], "conv_id long, turn int, role string, text string")
+    pairs = chat.stale_replies(chat.conversations(df))
+    found = {r["id"]: ([tuple(t) for t in r["chosen"]], [tuple(t) for t in r["after"]]) for r in pairs.collect()}
+    assert {k: [*c, *a] for k, (c, a) in found.items()} == {i: [(r, t) for c, r, t in rows if c == i] for i in (1, 2, 3)}
+    assert found[1][1] == [("user", "u"), ("tool", "v")] and found[2][1] == found[3][1] == []
+    assert [tuple(t) for t in chat.format_preferences(pairs).where("id = 1").first()["after"]] == found[1][1]
+
+
 def test_personal_data(spark):
     texts = {
         1: "é😀 mail a.b@mail.example.com, or +1 (988) 555-2485. ip 25.86.162.211 card 4041894974608795",
