@@ -12,6 +12,7 @@ runs is decoding the line. Viterbi goes over many runs at a time in numpy.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -58,7 +59,7 @@ LINES = (
 LABELS = ("O", *(f"{edge}-{kind}" for kind in KINDS for edge in "BI"))
 _OUT = 0
 
-#: Bounds of the labelled table: documents it is made from, and words of one run.
+#: Of the labelled table: documents it is made from, and words of a piece of a run.
 MOST_DOCUMENTS = 2_000
 MOST_WORDS = 24
 
@@ -100,7 +101,7 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 
 def shape(word: str) -> str:
     """Letters, digits and signs of a word, each run of one of the first two shortened to one."""
-    kinds = ("d" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64])
+    kinds = ("d" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c for c in word)
     out: list[str] = []
     for c in kinds:
         if not (out and out[-1] == c and c in "dAa"):
@@ -108,12 +109,17 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
+def _short(text: str) -> str:
+    """A name for ``text``, itself unless it is long; features are only compared."""
+    return text if len(text) <= 64 else hashlib.sha256(text.encode(errors="replace")).hexdigest()
+
+
 def features(word: str) -> tuple[str, ...]:
     """What the field knows of a word."""
     digits = _NOT_DIGIT.sub("", word)
     bare = word.strip(".,;:!?\"'()<>[]")
     parts = bare.split(".")
-    out = ["any", "shape " + shape(word), "bare " + shape(bare), f"digits {min(len(digits), 24)}", f"size {min(len(word), 48) // 4}"]
+    out = ["any", "shape " + _short(shape(word)), "bare " + _short(shape(bare)), f"digits {min(len(digits), 24)}", f"size {min(len(word), 48) // 4}"]
     if 12 <= len(digits) <= 19 and len(digits) + bare.count("-") == len(bare):
         out.append("check digit" if luhn(digits) else "no check digit")
     if len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts):
@@ -139,7 +145,8 @@ def runs(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
-Labelled = tuple[list[tuple[str, ...]], list[int]]
+#: Features of words, their labels, and whether a run begins and ends there (it does if not said).
+Labelled = tuple[list[tuple[str, ...]], list[int]] | tuple[list[tuple[str, ...]], list[int], tuple[bool, bool]]
 
 
 @dataclass(frozen=True)
@@ -198,11 +205,12 @@ class Crf:
 def fit(rows: list[Labelled], steps: int = 150, penalty: float = 0.02) -> Crf:
     """A field that gives the labels of ``rows`` the greatest likelihood, with an L2 penalty.
 
-    Rows are features of a run's words and their labels. Without rows nothing is ever labelled.
+    Rows are features of a run's words and their labels; pieces of a run teach its edges only
+    where they have them. Without rows nothing is ever labelled.
     """
-    alike = Counter((tuple(x), tuple(y)) for x, y in rows if x)
+    alike = Counter((tuple(x), tuple(y), *(map(tuple, edges) if edges else [(True, True)])) for x, y, *edges in rows if x)
     known: dict[str, int] = {}
-    for x, _ in alike:
+    for x, _, _ in alike:
         for word in x:
             for f in word:
                 known.setdefault(f, len(known))
@@ -212,12 +220,13 @@ def fit(rows: list[Labelled], steps: int = 150, penalty: float = 0.02) -> Crf:
     items = list(alike.items())
     weight = np.array([c for _, c in items], float)
     weight = np.sqrt(weight) / np.sqrt(weight).sum()
-    n, t_max = len(items), max(len(x) for (x, _), _ in items)
-    sizes = np.array([len(x) for (x, _), _ in items])
+    n, t_max = len(items), max(len(x) for (x, _, _), _ in items)
+    sizes = np.array([len(x) for (x, _, _), _ in items])
+    begins, closes = np.array([edges for (_, _, edges), _ in items], float).T[:, :, None]
     gold = np.zeros((n, t_max), np.int64)
     words: dict[tuple[str, ...], int] = {}
     code = np.zeros((n, t_max), np.int64)
-    for k, ((x, y), _) in enumerate(items):
+    for k, ((x, y, _), _) in enumerate(items):
         gold[k, : len(y)] = y
         code[k, : len(x)] = [words.setdefault(w, len(words)) for w in x]
     has = np.zeros((len(words), len(known)))
@@ -235,11 +244,11 @@ def fit(rows: list[Labelled], steps: int = 150, penalty: float = 0.02) -> Crf:
     for step in range(1, steps + 1):
         unary, pairs, first, last = parts
         e = (has @ unary)[code]
-        ahead = [first + e[:, 0]]
+        ahead = [begins * first + e[:, 0]]
         for t in range(1, t_max):
             ahead.append(np.where(inside[:, t, None], log_sum(ahead[-1][:, :, None] + pairs, 1) + e[:, t], ahead[-1]))
-        total = log_sum(ahead[-1] + last, 1)
-        behind = np.broadcast_to(last, (n, n_labels)).copy()
+        total = log_sum(ahead[-1] + closes * last, 1)
+        behind = closes * last
         g_words = np.zeros((len(words), n_labels))
         g_pairs, g_first, g_last = np.zeros_like(pairs), np.zeros_like(first), np.zeros_like(last)
         for t in range(t_max - 1, -1, -1):
@@ -248,11 +257,11 @@ def fit(rows: list[Labelled], steps: int = 150, penalty: float = 0.02) -> Crf:
             ends = here & (t == sizes - 1)
             np.add.at(g_words, code[here, t], -p[here])
             np.add.at(g_words, (code[here, t], gold[here, t]), weight[here])
-            g_last -= p[ends].sum(0)
-            np.add.at(g_last, gold[ends, t], weight[ends])
+            g_last -= (closes * p)[ends].sum(0)
+            np.add.at(g_last, gold[ends, t], (weight * closes[:, 0])[ends])
             if t == 0:
-                g_first -= p.sum(0)
-                np.add.at(g_first, gold[:, 0], weight)
+                g_first -= (begins * p).sum(0)
+                np.add.at(g_first, gold[:, 0], weight * begins[:, 0])
             else:
                 q = ahead[t - 1][:, :, None] + pairs + (e[:, t] + behind)[:, None, :] - total[:, None, None]
                 g_pairs -= (np.exp(q) * (weight * here)[:, None, None]).sum(0)
@@ -304,10 +313,11 @@ def labelled_lines() -> list[Labelled]:
     return out
 
 
-def labelled_runs(text: str) -> list[Labelled]:
+def labelled_runs(text: str, most_words: int = MOST_WORDS) -> list[Labelled]:
     """Runs of a text with the labels that the rules give their words.
 
-    Runs with something of a rule's form that failed its other conditions are left out: it
+    A run of over ``most_words`` words comes in pieces that say which edges of it they have.
+    Pieces with something of a rule's form that failed its other conditions are left out: it
     may be two things that stand side by side.
     """
     spans = rule_spans(text)
@@ -315,18 +325,20 @@ def labelled_runs(text: str) -> list[Labelled]:
     doubtful = [m.span() for form in (_IP, _CARD, _PHONE) for m in form.finditer(text) if m.span() not in kept and len(_NOT_DIGIT.sub("", m[0])) >= 9]
     out = []
     for run in runs(text):
-        run = run[:MOST_WORDS]
-        if not any(a < run[-1][1] and run[0][0] < b for a, b in doubtful):
-            out.append(_labels(text, run, spans))
+        words, labels = _labels(text, run, spans)
+        for k in range(0, len(run), most_words):
+            piece = run[k : k + most_words]
+            if not any(a < piece[-1][1] and piece[0][0] < b for a, b in doubtful):
+                out.append((words[k : k + most_words], labels[k : k + most_words], (k == 0, k + most_words >= len(run))))
     return out
 
 
-def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_documents: int = MOST_DOCUMENTS) -> Crf:
+def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_documents: int = MOST_DOCUMENTS, most_words: int = MOST_WORDS) -> Crf:
     """A field trained on a small table of labelled runs.
 
     The table has ``LINES`` and what the rules say of ``most_documents`` documents with
     digits, those with the smallest hash of their id; it holds each kind of run once with its
-    number. Rows without id are not used here.
+    number, long ones in pieces of ``most_words`` words. Rows without id are not used here.
     """
     ship(docs.sparkSession)
     given = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
@@ -337,21 +349,22 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                seen.update((tuple(x), tuple(y)) for x, y in labelled_runs(text))
+                seen.update((tuple(x), tuple(y), edges) for x, y, edges in labelled_runs(text, most_words))
         rows = list(seen.items())
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([list(map(list, x)) for (x, _), _ in rows], pa.list_(pa.list_(pa.string()))),
-                pa.array([list(y) for (_, y), _ in rows], pa.list_(pa.int32())),
+                pa.array([list(map(list, x)) for (x, _, _), _ in rows], pa.list_(pa.list_(pa.string()))),
+                pa.array([list(y) for (_, y, _), _ in rows], pa.list_(pa.int32())),
+                pa.array([list(edges) for (_, _, edges), _ in rows], pa.list_(pa.bool_())),
                 pa.array([c for _, c in rows], pa.int64()),
             ],
-            names=["words", "labels", "n"],
+            names=["words", "labels", "edges", "n"],
         )
 
     texts = given.join(F.broadcast(chosen.distinct()), "id").select("text")
-    found = texts.mapInArrow(label, "words array<array<string>>, labels array<int>, n long")
-    found = found.groupBy("words", "labels").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "words", "labels").limit(most_documents)
-    rows = [([tuple(w) for w in r["words"]], list(r["labels"])) for r in found.collect() for _ in range(min(r["n"], 100))]
+    found = texts.mapInArrow(label, "words array<array<string>>, labels array<int>, edges array<boolean>, n long")
+    found = found.groupBy("words", "labels", "edges").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "words", "labels", "edges").limit(most_documents)
+    rows = [([tuple(w) for w in r["words"]], list(r["labels"]), tuple(r["edges"])) for r in found.collect() for _ in range(min(r["n"], 100))]
     return fit(rows + 20 * labelled_lines())
 
 

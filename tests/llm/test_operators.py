@@ -418,6 +418,21 @@ def test_field_learns_held_out_lines():
     assert right >= 0.6 * len(held)
 
 
+def test_field_sees_whole_words_and_whole_runs():
+    assert pii.shape("ab," * 40 + "12") == "a," * 40 + "d"
+    url = "https://example.org/" + "a1/" * 30
+    assert pii.features(url + "12") != pii.features(url + "xx") and max(map(len, pii.features(url * 50))) < 100
+    text = " ".join(f"x{k}" for k in range(60)) + " and x7 x8"
+    found = pii.labelled_runs(text)
+    assert [len(x) for x, _, _ in found] == [24, 24, 12, 2] and sum((x for x, _, _ in found), []) == [pii.features(w) for w in text.split() if w != "and"]
+    assert [edges for _, _, edges in found] == [(True, False), (False, False), (False, True), (True, True)]
+    assert [(len(x), edges) for x, _, edges in pii.labelled_runs(text, 100)] == [(60, (True, True)), (2, (True, True))]
+    # The words of a piece without edges teach nothing of how runs begin or end.
+    row = ([("any",)] * 3, [0, 7, 0])
+    inner, whole = pii.fit([(*row, (False, False))], 5), pii.fit([row], 5)
+    assert not inner.last.any() and len(set(inner.first)) == 2 and whole.last.any() and inner.pairs.any()
+
+
 def test_quality_of_labelled_documents(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
