@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daysync.llm import bpe, chat, exact, html, lattice, minhash, packing, pii, quality, secrets, sql
+from daysync.llm import bpe, chat, exact, html, lattice, minhash, packing, phrases, pii, quality, secrets, sql, whiten, winnow
 from daysync.llm.common import table
 
 
@@ -113,6 +113,22 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_winnow_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whitened(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -125,6 +141,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_crf_pii": op9_crf_pii,
         "op10_rule_quality": op10_rule_quality,
+        "op11_winnow_contamination": op11_winnow_contamination,
+        "op12_phrase_collocations": op12_phrase_collocations,
+        "op13_chebyshev_whitening": op13_chebyshev_whitening,
     }
 
 

@@ -107,9 +107,78 @@ SELECT conv_id, count(*)::INTEGER AS n_turns, count(*) FILTER (NOT apart)::INTEG
 FROM sized GROUP BY conv_id
 """
 
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Windows of all sizes that items have, joined on their words.
+_CONTAMINATED = f"""
+WITH docs AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), items AS (
+  SELECT item_id, {_WORDS} AS w FROM benchmark
+), wanted AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+    unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS words
+  FROM items WHERE len(w) > 0
+), placed AS (
+  SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS pos
+  FROM docs CROSS JOIN (SELECT DISTINCT size FROM wanted) WHERE len(w) >= size
+), hits AS (
+  SELECT doc_id, pos, p.size, item_id FROM placed p JOIN wanted q
+  ON p.size = q.size AND array_to_string(w[pos:pos + p.size - 1], ' ') = q.words
+), covered AS (
+  SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS k FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered c USING (doc_id) LEFT JOIN named i USING (doc_id)
+"""
+
+#: Every phrase of one to four words counted plainly.
+_PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\n\\x0B\\f\\r]')) AS piece FROM documents
+), cut AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces
+), placed AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS pos FROM cut
+), grams AS (
+  SELECT lang, m, array_to_string(w[pos:pos + m - 1], ' ') AS phrase
+  FROM placed CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS m) WHERE pos + m - 1 <= len(w)
+), counted AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang
+), candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m > 1
+), cuts AS (
+  SELECT *, unnest(range(1, m)) AS k FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.m, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.m], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_ AS (
+  SELECT lang, a AS f, unnest(flatten(list_transform(range(2, m), lambda s: list_transform(range(1, m - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))))) AS phrase
+  FROM candidates WHERE m > 2
+), inside AS (
+  SELECT lang, phrase, max(f) AS f FROM inner_ GROUP BY lang, phrase
+), standing AS (
+  SELECT s.* FROM lowest s LEFT JOIN inside i USING (lang, phrase) WHERE i.f IS NULL OR 100::HUGEINT * i.f < 80::HUGEINT * s.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM standing
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 STATEMENTS = {
     "op1_minhash_near_dedup": _NEAR,
     "op2_lattice_near_dedup": _VECTORS,
     "op7_preference_format": _CHAT,
     "op6_grace_exact_dedup": _EXACT,
+    "op11_winnow_contamination": _CONTAMINATED,
+    "op12_phrase_collocations": _PHRASES,
 }

@@ -49,3 +49,60 @@ def near_duplicates(docs, size, percent):
     ]
     at = roots(docs, links)
     return {k: (len(sets[k]), at[k]) for k in docs}
+
+
+def benchmark_words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def contaminated(text, items, size):
+    """(words, words hit, items hit) of one text; items: (id, text)."""
+    words = benchmark_words(text)
+    hit, named = set(), set()
+    for item, other in items:
+        theirs = benchmark_words(other)
+        n = min(size, len(theirs))
+        if not n:
+            continue
+        windows = {tuple(theirs[k : k + n]) for k in range(len(theirs) - n + 1)}
+        for k in range(len(words) - n + 1):
+            if tuple(words[k : k + n]) in windows:
+                hit.update(range(k, k + n))
+                named.add(item)
+    return len(words), len(hit), sorted(str(x) for x in named if x is not None)
+
+
+def collocations(docs, longest, least, percent, top, scale):
+    """docs: (lang, text). Rows (lang, rank, phrase, a, l, r, n, score)."""
+    f, n = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        n[lang] += 0
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(len(words)):
+                for m in range(1, longest + 1):
+                    if k + m <= len(words):
+                        f[lang, tuple(words[k : k + m])] += 1
+    candidates = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= least}
+    inside = Counter()
+    for (lang, words), a in candidates.items():
+        for m in range(2, len(words)):
+            for k in range(len(words) - m + 1):
+                key = lang, words[k : k + m]
+                inside[key] = max(inside[key], a)
+    rows = []
+    for (lang, words), a in candidates.items():
+        if 100 * inside[lang, words] >= percent * a:
+            continue
+        cuts = [(scale * a // (f[lang, words[:k]] + f[lang, words[k:]]), k) for k in range(1, len(words))]
+        score, k = min(cuts)
+        rows.append((lang, " ".join(words), a, f[lang, words[:k]], f[lang, words[k:]], n[lang], score))
+    out = []
+    for lang in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))
+        out += [(lang, at, *r[1:]) for at, r in enumerate(own[:top], 1)]
+    return sorted(out)

@@ -21,7 +21,7 @@ def duck():
 
 
 def test_all_are_registered():
-    assert len(queries.queries()) == 10
+    assert len(queries.queries()) == 13
     assert set(queries.queries()) | {"pipeline"} <= set(driver.queries())
     assert set(sql.STATEMENTS) <= set(driver.oracle_sql())
 
