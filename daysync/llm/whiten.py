@@ -89,6 +89,29 @@ def coded(vectors: DataFrame, id_column: str, vector_column: str, steps: int = S
     return given.mapInArrow(run, "id long, size int, code binary")
 
 
+def _gathered(distinct: DataFrame, most: int = 4096) -> DataFrame:
+    """``kind, codes``: packed vectors of one kind one after the other, many to a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by: dict[int, list[bytes]] = {}
+            for code in batch.column("code").to_pylist():
+                by.setdefault(code[0], []).append(code[1:])
+            for kind, codes in by.items():
+                for first in range(0, len(codes), most):
+                    joined = b"".join(codes[first : first + most])
+                    yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([joined], pa.binary())], names=["kind", "codes"])
+
+    return distinct.mapInArrow(run, "kind int, codes binary")
+
+
+def _vectors(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[np.ndarray]:
+    """Blocks of vectors out of ``_gathered`` rows."""
+    for batch in batches:
+        for kind, codes in zip(batch.column("kind").to_pylist(), batch.column("codes"), strict=True):
+            yield np.frombuffer(codes.as_buffer(), f"<i{chr(kind)}").reshape(-1, size).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Centre:
     """Number of distinct vectors, and their sums without the shift, as Python's whole numbers."""
@@ -124,10 +147,9 @@ def _summed(fit: DataFrame, centre: Centre, sums: Sums) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for batch in batches:
-            for first in range(0, batch.num_rows, 4096):
-                part = sums(centre.rows(_unpacked(batch.column("code").slice(first, 4096))))
-                total = part if total is None else total + part
+        for whole in _vectors(batches, len(centre.sums)):
+            part = sums(centre.rows(whole))
+            total = part if total is None else total + part
         if total is not None:
             rows = pa.array(total.tolist(), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), rows], names=["row", "part"])
@@ -242,16 +264,14 @@ def fit(rows: DataFrame, count: int = COMPONENTS) -> Whitening | None:
     size = _most_common_size(rows)
     if size is None:
         return None
-    distinct = stored(rows.where(F.col("size") == size).select("code").distinct())
+    distinct = stored(_gathered(rows.where(F.col("size") == size).select("code").distinct()))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sums = 0, [0] * size
-        for batch in batches:
-            for first in range(0, batch.num_rows, 4096):
-                whole = _unpacked(batch.column("code").slice(first, 4096))
-                wide = len(whole) and int(np.abs(whole).max()) >= 1 << 48
-                part = whole.astype(object).sum(0) if wide else whole.sum(0)
-                n, sums = n + len(whole), [a + int(b) for a, b in zip(sums, part, strict=True)]
+        for whole in _vectors(batches, size):
+            wide = int(np.abs(whole).max(initial=0)) >= 1 << 48
+            part = whole.astype(object).sum(0) if wide else whole.sum(0)
+            n, sums = n + len(whole), [a + int(b) for a, b in zip(sums, part, strict=True)]
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array([str(x) for x in [*sums, n]])], names=["at", "x"])
 
