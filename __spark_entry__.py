@@ -37,8 +37,9 @@ from daysync.operators.update import update_all, update_first  # noqa: E402
 from daysync.plans import report  # noqa: E402
 from daysync.plans.apply import apply_plan, backfill, replace_days  # noqa: E402
 from daysync.plans.policies import sync_plan  # noqa: E402
-from daysync.plans.run import sync_day_tables, sync_table  # noqa: E402
+from daysync.plans.run import sync_day_tables, sync_partitions, sync_table  # noqa: E402
 from daysync.session import work_folder  # noqa: E402
+from daysync.sinks.publish import add_columns, days_of, ddl, location_of  # noqa: E402
 from daysync.sinks.write import export_parquet, write_day_table  # noqa: E402
 from daysync.sources.files import Folder  # noqa: E402
 from daysync.sources.shards import (  # noqa: E402
@@ -219,7 +220,7 @@ def evolve_schema(spark, d):
 
 def empty_clone_merge(spark, d):
     source, _ = _sides(spark, d)
-    return upsert(empty_clone(source), in_shards(source, [snap.NOT_IN_TARGET], "ts"), **ID)
+    return upsert(empty_clone(source), source, **ID)
 
 
 def replace_shard(spark, d):
@@ -288,10 +289,14 @@ def _renamed_sync(names: dict[str, str], columns: list[str], policy: str, **opti
     return query
 
 
+def _catalog_names(folder: str) -> dict[str, str]:
+    return {side: f"{side}_{folder.rpartition('-')[2]}" for side in ("source", "target")}
+
+
 def day_tables_sync(spark, d):
     """Tables of one day each; they are gone from the catalog afterwards, their files are read."""
     folder = work_folder(spark)
-    names = {side: f"{side}_{folder.rpartition('-')[2]}" for side in ("source", "target")}
+    names = _catalog_names(folder)
     window = lookback_shards(snap.LOGICAL_DATE, snap.LOOKBACK)
     for side, df in zip(names, _sides(spark, d), strict=True):
         write_day_table(in_shards(df, window, "ts"), f"{folder}/{side}")
@@ -307,12 +312,55 @@ def day_tables_sync(spark, d):
     parts = []
     for day in window:
         if spark.catalog.tableExists(f"{names['target']}_{day}"):
-            parts.append(spark.read.parquet(f"{folder}/{names['target']}_{day}").withColumn(SHARD, F.lit(day)))
+            parts.append(spark.table(f"{names['target']}_{day}").withColumn(SHARD, F.lit(day)))
         for name in names.values():
             spark.sql(f"DROP TABLE IF EXISTS {name}_{day}")
     return union_all(*parts)
 
 
+def partitions_sync(spark, d):
+    """Catalog tables partitioned by day; the files of the target are read when it is gone from the catalog."""
+    folder = work_folder(spark)
+    names = _catalog_names(folder)
+    for side, df in zip(names, _sides(spark, d), strict=True):
+        write_day_table(df, f"{folder}/{side}")
+        fields = [f for f in df.schema.fields if f.name != SHARD]
+        spark.sql(
+            f"CREATE TABLE {names[side]} ({ddl(fields)}, {SHARD} string) USING parquet "
+            f"PARTITIONED BY ({SHARD}) LOCATION '{folder}/{side}'"
+        )
+        spark.catalog.recoverPartitions(names[side])
+    sync_partitions(
+        spark, names["source"], names["target"], modified="modified", keys=["event_id"], folder=folder, **WINDOW
+    )
+    result = spark.table(names["target"])
+    parts = [
+        spark.read.schema(result.drop(SHARD).schema).parquet(location_of(spark, names["target"], day)).withColumn(SHARD, F.lit(day))
+        for day in days_of(spark, names["target"])
+    ]
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
+    return union_all(*parts)
+
+
+def catalog_evolve(spark, d):
+    """Day tables of the target get the columns only the source has, and no file of theirs changes."""
+    folder = work_folder(spark)
+    source, target = _sides(spark, d)
+    write_day_table(target.drop("props"), f"{folder}/target")
+    written = read_day_table(spark, f"{folder}/target", target.drop("props").schema)
+    name = _catalog_names(folder)["target"]
+    spark.sql(
+        f"CREATE TABLE {name} ({ddl(written.drop(SHARD).schema.fields)}, {SHARD} string) USING parquet "
+        f"PARTITIONED BY ({SHARD}) LOCATION '{folder}/target'"
+    )
+    spark.catalog.recoverPartitions(name)
+    add_columns(spark, name, source.schema)
+    evolved = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return read_day_table(spark, f"{folder}/target", evolved)
+
+
 def late_rows(spark, d):
     """Days whose newest rows are alike and of which the source has more are merged too."""
     source, target = _sides(spark, d)
@@ -344,8 +392,7 @@ def export_projection(spark, d):
 
 def append_rows_by_name(spark, d):
     source, target = _sides(spark, d)
-    rows = in_shards(source, [snap.NOT_IN_TARGET], "ts").select("event_id", "event_type", "ts", SHARD)
-    return append_by_name(target, rows)
+    return append_by_name(target, source.select("event_id", "event_type", "ts", SHARD))
 
 
 def union_both(spark, d):
@@ -458,6 +505,8 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ["event_id", "user_pseudo_id", "event_timestamp", "event_name", "value", "modified"], "hybrid",
         ),
         "day_tables_sync": day_tables_sync,
+        "partitions_sync": partitions_sync,
+        "catalog_evolve": catalog_evolve,
         "late_rows": late_rows,
         "report_replicate": lambda spark, d: report.by_bucket(_plan("replicate")(spark, d), report.REPLICATE_BUCKETS),
         "export_projection": export_projection,

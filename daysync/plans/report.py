@@ -28,7 +28,7 @@ NOTHING_D1 = "SKIPPED (no changes or source missing)"
 NOTHING_OTHER = "SKIPPED (no changes)"
 EMPTY = "None"
 HYBRID_BUCKETS = (DIRECT_TRANSFER, BACKFILL_COPY, MERGE, SKIPPED)
-REPLICATE_BUCKETS = (SYNC_DONE, SCHEMA_CHANGE, DATA_CHANGE, SKIPPED)
+REPLICATE_BUCKETS = (SYNC_DONE, SCHEMA_CHANGE, DATA_CHANGE, SKIPPED, MISSING_SOURCE)
 
 
 def _shards(holds: Column | None = None) -> Column:

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from daysync.functions.columns import col
 from daysync.operators.dedupe import latest
 from daysync.operators.merge import ID_COLUMN, UNIQUE, choose_keys, merge_staged, newer_than
-from daysync.operators.schema import empty_clone
+from daysync.operators.schema import conform, empty_clone, evolve
 from daysync.plans.apply import Decisions, merge_days
 from daysync.plans.policies import plan_profiles, sync_plan
 from daysync.session import shuffles_for, work_folder
+from daysync.sinks import publish
 from daysync.sinks.write import by_shard, finish_replace, replace_shards, stage
 from daysync.sources.files import Folder
 from daysync.sources.shards import (
@@ -215,11 +216,12 @@ def sync_day_tables(
     """``sync_table`` for catalog tables of one day each, such as ``db.events_20240130``.
 
     Returns the plan. A copied day becomes a table with the source's columns, a merged one
-    has those of both sides; both replace the target's table of the day. All new contents are
-    staged before the first table is replaced. New tables are the catalog's, or lie below
-    ``folder``. A few days are due, so the tables are written one after the other, each by
-    all executors.
+    has those of both sides. New rows are written once, where they stay: below ``folder``, or else
+    where the database has its tables. When all are complete the tables are pointed at them, see
+    ``sinks.publish``; a run that is lost on the way is finished by the next one.
     """
+    root = _root(spark, target_prefix, folder)
+    publish.finish(spark, root)
     shards = lookback_shards(logical_date, lookback)
     sides = [
         {s: spark.table(f"{prefix}_{s}") for s in shards if spark.catalog.tableExists(f"{prefix}_{s}")}
@@ -239,24 +241,95 @@ def sync_day_tables(
     if policy == "incremental":
         options["incremental_by"] = modified
     options.setdefault("order_by", [modified])
-    staged = Folder(spark, work_folder(spark))
-    try:
-        ready = {}
-        for day in decisions.copied:
-            ready[day] = f"{staged.path}/{day}"
-            sides[0][day].write.parquet(ready[day])
-        if decisions.merged:
-            merged = merge_days(source, target, decisions.merged, keys, **options)
-            rows = stage(merged, f"{staged.path}/merged")
-            for day in decisions.merged:
-                ready[day] = f"{staged.path}/merged/{SHARD}={day}"
-                if not Folder(spark, ready[day]).exists():  # a day merged to no rows
-                    rows.limit(0).drop(SHARD).write.parquet(ready[day])
-        for day, path in ready.items():
-            writer = spark.read.parquet(path).write.mode("overwrite")
-            if folder:
-                writer = writer.option("path", f"{folder.rstrip('/')}/{target_prefix.rpartition('.')[2]}_{day}")
-            writer.saveAsTable(f"{target_prefix}_{day}")
-    finally:
-        staged.drop("")
+    run = publish.start(spark, root)
+    written: dict[str, tuple[str, T.StructType]] = {}
+    for day in decisions.copied:
+        written[day] = f"{run}/{day}", sides[0][day].schema
+        sides[0][day].write.parquet(written[day][0])
+    written |= _write_merged(source, target, decisions.merged, keys, run, options)
+    changes = [
+        publish.Change(name, None, path, schema.json(), publish.location_of(spark, name))
+        for day, (path, schema) in written.items()
+        for name in [f"{target_prefix}_{day}"]
+    ]
+    publish.publish(spark, run, changes)
+    return spark.createDataFrame([tuple(r[c] for c in plan.columns) for r in decisions.rows], plan.schema)
+
+
+def _root(spark: SparkSession, name: str, folder: str | None) -> str:
+    database, _, table = name.rpartition(".")
+    if folder is None:
+        folder = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{folder.rstrip('/')}/_{table}-days"
+
+
+def _write_merged(
+    source: DataFrame, target: DataFrame, days: list[str], keys: Sequence[str] | None, run: str, options: dict
+) -> dict[str, tuple[str, T.StructType]]:
+    """The folder and the columns of each merged day, all days written by one job."""
+    if not days:
+        return {}
+    merged = merge_days(source, target, days, keys, **options)
+    rows = stage(merged, f"{run}/merged")
+    schema = T.StructType([f for f in merged.schema.fields if f.name != SHARD])
+    out = {day: (f"{run}/merged/{SHARD}={day}", schema) for day in days}
+    for path, _ in out.values():
+        if not Folder(source.sparkSession, path).exists():  # a day merged to no rows
+            rows.limit(0).drop(SHARD).write.parquet(path)
+    return out
+
+
+def sync_partitions(
+    spark: SparkSession,
+    source_table: str,
+    target_table: str,
+    policy: str = "hybrid",
+    *,
+    logical_date: date | str,
+    lookback: int = DEFAULT_LOOKBACK,
+    keys: Sequence[str] | None = None,
+    modified: str,
+    present_only: bool = False,
+    folder: str | None = None,
+    **options,
+) -> DataFrame:
+    """``sync_table`` for catalog tables partitioned by shard, whose partitions the catalog tracks.
+
+    Returns the plan. New rows are written where they stay and the partitions pointed at them,
+    as by ``sync_day_tables``. Columns only the source has are added to the table; those only the
+    target has are NULL in copied days. The target is made if it is not there.
+    """
+    root = _root(spark, target_table, folder)
+    publish.finish(spark, root)
+    source = spark.table(source_table)
+    if not spark.catalog.tableExists(target_table):
+        Folder(spark, f"{root}/table").make()
+        fields = [f for f in source.schema.fields if f.name != SHARD]
+        spark.sql(
+            f"CREATE TABLE {publish.quoted(target_table)} ({publish.ddl(fields)}, {SHARD} string) "
+            f"USING parquet PARTITIONED BY ({SHARD}) LOCATION '{root}/table'"
+        )
+    target = spark.table(target_table)
+    plan = sync_plan(source, target, policy, logical_date, lookback, modified=modified, late_rows=True)
+    decisions = Decisions.of(plan)
+    if decisions.merged and keys is None:
+        keys = _keys(policy, source.columns, present_only)
+    if policy == "incremental":
+        options["incremental_by"] = modified
+    options.setdefault("order_by", [modified])
+    wide = evolve(target, source)
+    schema = T.StructType([f for f in wide.schema.fields if f.name != SHARD])
+    run = publish.start(spark, root)
+    written: dict[str, str | None] = {}
+    if decisions.copied:
+        # Days of the source are read as they lie, without a shuffle.
+        conform(in_shards(source, decisions.copied), wide).write.partitionBy(SHARD).parquet(f"{run}/copied")
+        written |= {day: f"{run}/copied/{SHARD}={day}" for day in decisions.copied}
+    merged = _write_merged(source, target, decisions.merged, keys, run, options)
+    written |= {day: path for day, (path, _) in merged.items()}
+    changes = [
+        publish.Change(target_table, day, path, schema.json(), publish.location_of(spark, target_table, day))
+        for day, path in written.items()
+    ]
+    publish.publish(spark, run, changes)
     return spark.createDataFrame([tuple(r[c] for c in plan.columns) for r in decisions.rows], plan.schema)

@@ -17,6 +17,7 @@ from daysync.sources.tables import read_day_table
 _STAGED = "_staged-"
 _READY = "_READY"
 _EMPTY = "_EMPTY-"
+_REPLACED = "_REPLACED-"
 
 
 def by_shard(df: DataFrame) -> DataFrame:
@@ -59,8 +60,8 @@ def replace_shards(
     frames, and keep them from sharing work.) Frames may differ in columns, as long as each
     shard comes from one of them, and may read the table itself: all rows are first written
     next to it, with a note of each shard that will have none. Only when all of this is
-    marked as complete does a staged shard take the place of the old one, and a shard without
-    rows go. If the driver dies before the mark, the table is as it was; after it,
+    marked as complete does a staged shard take the place of the old one, which is moved aside
+    and deleted after all shards are in place, and a shard without rows go. If the driver dies before the mark, the table is as it was; after it,
     ``finish_replace`` goes on from the staged copy.
 
     Rows are written as they lie: good for days read from a table of days, which need no
@@ -90,7 +91,14 @@ def finish_replace(spark: SparkSession, path: str) -> None:
         if _READY in names:
             for name in names:
                 if name.startswith(f"{SHARD}="):
+                    _set_aside(folder, staged, name)
                     folder.move(f"{staged}/{name}", name)
                 elif name.startswith(_EMPTY):
-                    folder.drop(f"{SHARD}={name.removeprefix(_EMPTY)}")
+                    _set_aside(folder, staged, f"{SHARD}={name.removeprefix(_EMPTY)}")
         folder.drop(staged)
+
+
+def _set_aside(folder: Folder, staged: str, name: str) -> None:
+    """The old rows of a shard out of the way, whole: nothing is deleted before all is in place."""
+    if folder.exists(name):
+        folder.move(name, f"{staged}/{_REPLACED}{uuid.uuid4().hex}")

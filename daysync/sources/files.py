@@ -15,6 +15,7 @@ class Folder:
     def __init__(self, spark: SparkSession, path: str):
         self.path = path.rstrip("/")
         self._hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+        self._read = spark._jvm.org.apache.commons.io.IOUtils.toString
         self._fs = self._hadoop_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _at(self, name: str):
@@ -25,8 +26,8 @@ class Folder:
         at = self._at(inner)
         return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
 
-    def exists(self) -> bool:
-        return self._fs.exists(self._at(""))
+    def exists(self, name: str = "") -> bool:
+        return self._fs.exists(self._at(name))
 
     def shards(self, among: Collection[str] | None = None) -> list[str]:
         """The days, of those given, that the table has files of; an empty folder is no day."""
@@ -48,11 +49,28 @@ class Folder:
     def touch(self, name: str) -> None:
         self._fs.create(self._at(name)).close()
 
+    def write_text(self, name: str, text: str) -> None:
+        """A small file that is there whole or not at all, over what was there."""
+        self.drop(f".{name}")
+        out = self._fs.create(self._at(f".{name}"))
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        self.drop(name)
+        self.move(f".{name}", name)
+
+    def read_text(self, name: str) -> str:
+        found = self._fs.open(self._at(name))
+        try:
+            return self._read(found, "UTF-8")
+        finally:
+            found.close()
+
     def drop(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 
     def move(self, name: str, to: str) -> None:
-        """Rename, in place of what was there."""
-        self.drop(to)
+        """Rename; nothing may be there."""
         if not self._fs.rename(self._at(name), self._at(to)):
             raise OSError(f"could not move {name} to {to} in {self.path}")

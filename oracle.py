@@ -251,7 +251,7 @@ def statements() -> dict[str, str]:
             ),
             "\ndrifted AS (SELECT * EXCLUDE (props), 'events_' || shard AS loaded_from FROM tgt)",
         ),
-        "empty_clone": _with("SELECT * FROM src WHERE shard = '20240127'"),
+        "empty_clone": _with("SELECT * FROM src"),
         "replace_shard": _with(
             f"SELECT {LISTED} FROM tgt WHERE shard <> '20240130' "
             f"UNION ALL SELECT {LISTED} FROM src WHERE shard = '20240130'"
@@ -279,7 +279,7 @@ def statements() -> dict[str, str]:
         "export_projection": "SELECT c_custkey AS id, c_name AS name FROM customer",
         "append_by_name": _with(
             f"SELECT {LISTED} FROM tgt UNION ALL SELECT event_id, ts, NULL, event_type, NULL, NULL, shard, NULL "
-            "FROM src WHERE shard = '20240127'"
+            "FROM src"
         ),
         "union_all": _with(f"SELECT {LISTED} FROM src UNION ALL SELECT {LISTED} FROM tgt"),
         "update_all": _with(
@@ -322,8 +322,10 @@ FROM g""",
     sql["incremental_first_sync"] = _with(f"SELECT {LISTED} FROM src WHERE shard BETWEEN '20240124' AND '20240130'")
     sql["event_key_sync_table"] = _event_key_result()
     sql["composite_sync_table"] = _composite_result()
-    sql["report_replicate"] = _buckets("replicate", ("sync_done", "schema_change", "data_change", "skipped"))
+    sql["report_replicate"] = _buckets("replicate", ("sync_done", "schema_change", "data_change", "skipped", "missing_source"))
     sql["day_tables_sync"] = f"SELECT * FROM ({_hybrid_result()}) r WHERE shard BETWEEN '20240124' AND '20240130'"
+    sql["partitions_sync"] = _hybrid_result()
+    sql["catalog_evolve"] = _with("SELECT * REPLACE (CAST(NULL AS VARCHAR) AS props) FROM tgt")
     # The newest rows of both sides are alike, so only the numbers of rows tell.
     sql["late_rows"] = (
         f"WITH {SIDES.replace('+ INTERVAL 1 DAY', '')},{DAYS}\nSELECT shard, \"offset\", source_rows, target_rows, "
