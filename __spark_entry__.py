@@ -34,9 +34,9 @@ from daysync.operators.merge import (  # noqa: E402
 )
 from daysync.operators.schema import drift, empty_clone, schema_rows  # noqa: E402
 from daysync.operators.update import update_all, update_first  # noqa: E402
-from daysync.plans import report  # noqa: E402
+from daysync.plans import report, state  # noqa: E402
 from daysync.plans.apply import apply_plan, backfill, replace_days  # noqa: E402
-from daysync.plans.policies import sync_plan  # noqa: E402
+from daysync.plans.policies import plan_profiles, sync_plan  # noqa: E402
 from daysync.plans.run import sync_day_tables, sync_partitions, sync_table  # noqa: E402
 from daysync.session import work_folder  # noqa: E402
 from daysync.sinks.publish import add_columns, days_of, ddl, location_of  # noqa: E402
@@ -51,7 +51,7 @@ from daysync.sources.shards import (  # noqa: E402
     profile,
     with_shard,
 )
-from daysync.sources.tables import read_day_table  # noqa: E402
+from daysync.sources.tables import file_profile, read_day_table  # noqa: E402
 
 import oracle  # noqa: E402
 
@@ -368,6 +368,31 @@ def late_rows(spark, d):
     return sync_plan(late, target, "modified", time_column="ts", late_rows=True, **WINDOW)
 
 
+def checksum_plan(spark, d):
+    """The target's rows stand for what the source had when it was last synced."""
+    source, target = _sides(spark, d)
+    days = _all_days()
+    before = profile(in_shards(target, days, "ts"), "modified", checksums=True)
+    last = state.synced(before, before)
+    plan = sync_plan(source, target, "hybrid", time_column="ts", state=last, checksums=True, **WINDOW)
+    return plan.drop("source_checksum")
+
+
+def file_times_plan(spark, d):
+    """What is newer is told by the files, and those of the source are written last."""
+    folder = work_folder(spark)
+    source, target = _sides(spark, d)
+    write_day_table(target, f"{folder}/target")
+    write_day_table(source, f"{folder}/source")
+    sides = []
+    for side in ("source", "target"):
+        rows = profile(read_day_table(spark, f"{folder}/{side}"), "modified").select(SHARD, "rows")
+        times = file_profile(spark, f"{folder}/{side}").select(SHARD, "max_modified")
+        sides.append(rows.join(times, SHARD))
+    plan = plan_profiles(*sides, "hybrid", snap.LOGICAL_DATE, snap.LOOKBACK)
+    return plan.select(SHARD, "offset", "source_rows", "target_rows", "action")
+
+
 def target_time(source):
     return F.col("ts").cast(source.schema["modified"].dataType)
 
@@ -508,6 +533,8 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partitions_sync": partitions_sync,
         "catalog_evolve": catalog_evolve,
         "late_rows": late_rows,
+        "checksum_sync_plan": checksum_plan,
+        "sync_plan_file_times": file_times_plan,
         "report_replicate": lambda spark, d: report.by_bucket(_plan("replicate")(spark, d), report.REPLICATE_BUCKETS),
         "export_projection": export_projection,
         "append_by_name": append_rows_by_name,

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.columns import EPOCH, any_of, col
+from daysync.functions.rows import row_digest
 from daysync.operators.dedupe import latest
 from daysync.operators.joins import KEY_HASH, key_match, keyed, unkeyed, value
 from daysync.operators.schema import conform, evolve
-from daysync.sources.shards import SHARD, in_shards
+from daysync.session import work_folder
+from daysync.sources.shards import SHARD, in_shards, per_day
 
 # The column that is the key by itself, and the columns that are it together.
 ID_COLUMN = "id"
@@ -31,9 +33,11 @@ TIME_KEY = ("event_time", "event_name")
 UNIQUE = "unique"
 
 _COPIES = "__copies"
+_DIGEST = "__digest"
 _TARGET_ROWS = "__target_rows"
 
 
+
 def choose_keys(
     columns: Sequence[str],
     *,
@@ -187,16 +191,21 @@ def _ambiguous(source: DataFrame, known: DataFrame, keys: Sequence[str], match:
 def insert_new_rows(target: DataFrame, source: DataFrame, *, ignore: Sequence[str] = ()) -> DataFrame:
     """``target`` plus the source rows it has no equal of.
 
-    Rows are equal if all source columns but ``ignore`` are, NULL equal to NULL. This is
-    the merge for sources without a key: a matched row has nothing to update.
+    Rows are equal if all source columns but ``ignore`` are, NULL equal to NULL, maps whatever the
+    order of their entries. This is the merge for sources without a key: a matched row has
+    nothing to update.
+
+    What is compared is the SHA-256 of each row, so of the target's columns none is shuffled,
+    only distinct digests of 32 bytes are.
     """
     compared = [c for c in source.columns if c not in ignore]
     if not compared:
         raise ValueError("no column left to compare")
     target = evolve(target, source)
     source = conform(source, target)
-    known = keyed(target.select(*[col(c) for c in compared]).distinct(), compared)
-    found = source.join(known, key_match(compared, compared), "left")
+    known = keyed(target.select(row_digest(target, compared).alias(_DIGEST)).distinct(), [_DIGEST])
+    marked = source.withColumn(_DIGEST, row_digest(source, compared))
+    found = marked.join(known, key_match([_DIGEST]), "left")
     new = found.where(F.col(KEY_HASH).isNull())
     return target.unionByName(new.select(*[col(c) for c in target.columns]))
 
@@ -234,10 +243,12 @@ def mark_text(moment: Column, kind: T.DataType) -> Column:
 def newer_than(source: DataFrame, modified: str, marks: Mapping[str, str | None]) -> DataFrame:
     """``incremental`` where the mark of each day, as ``mark_text``, is known already.
 
-    The marks are literals in the filter, so partitions and Parquet row groups with
-    nothing newer are not read.
+    The days and the smallest mark are literals in the filter, so partitions and Parquet row
+    groups with nothing newer are not read. The mark of a row's day is looked up in a map.
     """
     kind = source.schema[modified].dataType
+    if not marks:
+        return source.limit(0)
 
     def mark(text: str | None) -> Column:
         if text is None:
@@ -246,8 +257,9 @@ def newer_than(source: DataFrame, modified: str, marks: Mapping[str, str | None]
             return F.timestamp_micros(F.lit(int(text)))
         return F.lit(text).cast(kind)
 
-    newer = [(col(SHARD) == shard) & (col(modified) > mark(text)) for shard, text in marks.items()]
-    return in_shards(source, list(marks)).where(any_of(newer))
+    known = {shard: mark(text) for shard, text in marks.items()}
+    least = F.least(*known.values()) if len(known) > 1 else next(iter(known.values()))
+    return in_shards(source, list(marks)).where((col(modified) > least) & (col(modified) > per_day(known)))
 
 
 def merge_incremental(
@@ -262,16 +274,22 @@ def merge_incremental(
 ) -> DataFrame:
     """Merge only the ``incremental`` rows.
 
-    The marks are fetched, a row per day, and reach the scan of the source as literals. The
-    two joins of the merge shuffle what passes each for itself, as the modified column is
-    inserted but not updated.
+    The marks are fetched, a row per day, and reach the scan of the source as literals. What
+    passes is written to the shared folder once, and all uses in the merge read it from there.
     """
     kind = source.schema[modified].dataType
     found = high_water(target, modified, shards)
     found = found.select(SHARD, mark_text(col("high_water").cast(kind), kind).alias("mark"))
     marks = dict.fromkeys(shards) | {r[SHARD]: r["mark"] for r in found.collect()}
-    staged = newer_than(in_shards(source, list(shards), time_column), modified, marks)
-    return merge_staged(target, staged, modified, keys, **options)
+    newer = newer_than(in_shards(source, list(shards), time_column), modified, marks)
+    return merge_staged(target, kept(newer), modified, keys, **options)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once, as a table in the shared folder."""
+    path = work_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_staged(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -28,8 +28,11 @@ class Decisions:
         Known days prune partitions when the next job is planned, and stay the same while
         that job replaces the files they were decided from.
         """
-        mark = mark_text(col("target_modified"), plan.schema["target_modified"].dataType)
-        return cls(sorted(plan.withColumn("mark", mark).collect(), key=lambda r: r["offset"]))
+        marks = {
+            name: mark_text(col(moment), plan.schema[moment].dataType)
+            for name, moment in (("mark", "target_modified"), ("source_mark", "source_modified"))
+        }
+        return cls(sorted(plan.withColumns(marks).collect(), key=lambda r: r["offset"]))
 
     @property
     def copied(self) -> list[str]:
@@ -51,6 +54,14 @@ class Decisions:
         """The target's high-water mark of each day to merge, as ``merge.mark_text``."""
         return {r[SHARD]: r["mark"] for r in self.rows if r["action"] == MERGE}
 
+    def states(self, written: Mapping[str, int]) -> dict[str, tuple[int, str | None, str | None, int]]:
+        """What ``plans.state`` keeps of the days that were written, each with its rows since."""
+        return {
+            r[SHARD]: (r["source_rows"], r["source_mark"], r["source_checksum"] if "source_checksum" in r else None, written[r[SHARD]])
+            for r in self.rows
+            if r[SHARD] in written
+        }
+
     @property
     def changed(self) -> list[str]:
         return self.copied + self.merged

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daysync.plans.state import at_rest
 from daysync.sources.shards import (
     DEFAULT_LOOKBACK,
     SHARD,
@@ -43,16 +44,18 @@ def _first(*rules: tuple[Column, str], otherwise: str) -> Column:
     return chain.otherwise(otherwise)
 
 
-def _action(policy: str, late_rows: bool) -> Column:
+def _action(policy: str, late_rows: bool, rest: Column, checksums: bool) -> Column:
     yesterday = F.col("offset") == 1
     no_target = F.col("target_rows").isNull()
     # Rows that arrive late, below the newest, show in the number of rows only.
-    no_late = F.lit(True) if not late_rows else F.col("source_rows") <= F.col("target_rows")
+    no_late = F.lit(True) if not late_rows else (F.col("source_rows") <= F.col("target_rows")) | rest
     not_newer = (F.col("source_modified") <= F.col("target_modified")) & no_late
     newer = F.col("target_modified").isNull() | (F.col("source_modified") > F.col("target_modified")) | ~no_late
+    if checksums:  # they decide alone, whatever the modified times say
+        not_newer, newer, no_late = F.lit(False), F.lit(True), F.lit(False)
     modified_gate = (~no_target & ((F.col("source_modified").isNull() & no_late) | not_newer), SKIPPED)
     count_gate = [
-        (F.col("source_rows") == F.col("target_rows"), SKIPPED),
+        ((F.col("source_rows") == F.col("target_rows")) & F.lit(not checksums), SKIPPED),
         (yesterday, DIRECT_TRANSFER),
     ]
     copy_first = [(no_target, SYNC_DONE), (yesterday, SYNC_DONE)]
@@ -80,7 +83,7 @@ def _action(policy: str, late_rows: bool) -> Column:
             otherwise=SKIPPED,
         ),
     }
-    return chains[policy]
+    return F.when(rest & F.col("source_rows").isNotNull(), SKIPPED).otherwise(chains[policy]) if checksums else chains[policy]
 
 
 POLICIES = (
@@ -104,6 +107,8 @@ def plan_profiles(
     lookback: int = DEFAULT_LOOKBACK,
     *,
     late_rows: bool = False,
+    state: DataFrame | None = None,
+    checksums: bool = False,
 ) -> DataFrame:
     """The plan for two profiles ``(shard, rows, max_modified[, fingerprint])``.
 
@@ -128,7 +133,7 @@ def plan_profiles(
     shards = lookback_shards(logical_date, lookback)
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        named = {"rows": f"{name}_rows", "max_modified": f"{name}_modified", "fingerprint": f"{name}_fingerprint"}
+        named = {c: f"{name}_{c}" for c in ("rows", "fingerprint", "checksum")} | {"max_modified": f"{name}_modified"}
         return in_shards(df, shards).withColumnsRenamed(named)
 
     # Both profiles are partitioned by shard already, so this moves nothing.
@@ -138,7 +143,14 @@ def plan_profiles(
     if policy in SCHEMA_POLICIES:
         days = days.withColumn("schema_changed", F.col("source_fingerprint") != F.col("target_fingerprint"))
         shown.append("schema_changed")
-    return days.select(*shown, _action(policy, late_rows).alias("action"))
+    if checksums:
+        shown.append("source_checksum")
+    rest: Column = F.lit(False)
+    if state is not None:
+        # A row for each day of the window at most.
+        days = days.join(in_shards(state, shards), SHARD, "left")
+        rest = at_rest(days, checksums)
+    return days.select(*shown, _action(policy, late_rows, rest, checksums).alias("action"))
 
 
 def sync_plan(
@@ -151,6 +163,8 @@ def sync_plan(
     modified: str = "modified",
     time_column: str | None = None,
     late_rows: bool = False,
+    state: DataFrame | None = None,
+    checksums: bool = False,
     schemas: Sequence[Mapping[str, T.StructType]] = ({}, {}),
 ) -> DataFrame:
     """The plan for two tables, from one aggregation over the window of each.
@@ -161,7 +175,7 @@ def sync_plan(
     shards = lookback_shards(logical_date, lookback)
     schema = policy in SCHEMA_POLICIES
     sides = [
-        profile(in_shards(df, shards, time_column), modified, with_schema=schema, schemas=declared)
-        for df, declared in zip((source, target), schemas, strict=True)
+        profile(in_shards(df, shards, time_column), modified, with_schema=schema, schemas=declared, checksums=sums)
+        for df, declared, sums in zip((source, target), schemas, (checksums, False), strict=True)
     ]
-    return plan_profiles(*sides, policy, logical_date, lookback, late_rows=late_rows)
+    return plan_profiles(*sides, policy, logical_date, lookback, late_rows=late_rows, state=state, checksums=checksums)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.columns import col
+from daysync.functions.rows import checksum
 from daysync.operators.dedupe import latest
 from daysync.operators.merge import ID_COLUMN, UNIQUE, choose_keys, merge_staged, newer_than
 from daysync.operators.schema import conform, empty_clone, evolve
+from daysync.plans import state
 from daysync.plans.apply import Decisions, merge_days
 from daysync.plans.policies import plan_profiles, sync_plan
 from daysync.session import shuffles_for, work_folder
@@ -43,8 +45,8 @@ class _Side:
         self.schemas = shard_schemas(spark, path, present)
         self.rows = read_day_table(spark, path, merged_schema(self.schemas.values()), present)
 
-    def profile(self) -> DataFrame:
-        """Two columns are read for it at most; none if files tell what is newer."""
+    def profile(self, checksums: bool = False) -> DataFrame:
+        """Two columns are read for it at most, none if files tell what is newer; all for checksums."""
         if self.modified in self.rows.columns:
             newest = F.max(col(self.modified))
         elif self.modified or not self.schemas:
@@ -52,7 +54,8 @@ class _Side:
         else:
             newest = F.max("_metadata.file_modification_time")
         days = in_shards(self.rows, self.shards).groupBy(SHARD).agg(
-            F.count(F.lit(1)).alias("rows"), newest.alias("max_modified")
+            F.count(F.lit(1)).alias("rows"), newest.alias("max_modified"),
+            *([checksum(self.rows, [c for c in self.rows.columns if c != SHARD]).alias("checksum")] if checksums else []),
         )
         texts = {day: F.lit(schema_text(schema)) for day, schema in self.schemas.items()}
         return days.withColumn("fingerprint", per_day(texts, F.lit(None).cast("string")))
@@ -82,6 +85,7 @@ def sync_table(
     keys: Sequence[str] | None = None,
     modified: str | None = None,
     present_only: bool = False,
+    checksums: bool = False,
     **options,
 ) -> DataFrame:
     """Bring the target's days of the window up to date; returns the plan with ``written_rows``.
@@ -90,7 +94,9 @@ def sync_table(
     times of the files. Beyond that only days that change are read, and only they are
     written; a copied day gets the source's columns, a merged one those of both sides.
     With the column, a day of which the source has more rows counts as newer too, see ``late_rows`` of
-    ``plan_profiles``. ``keys`` and ``options`` are those of ``merge.upsert``; without keys the
+    ``plan_profiles``, unless it is as it was when last synced, which is noted in the target's
+    folder. With ``checksums`` all columns of the source's days are read, and a day is taken when
+    anything of it differs from what was synced last. ``keys`` and ``options`` are those of ``merge.upsert``; without keys the
     columns of the source decide, see ``_keys``. The latest row of a key is by ``modified``
     unless ``order_by`` says else.
 
@@ -109,7 +115,8 @@ def sync_table(
     if modified and source.schemas and modified not in source.rows.columns:
         raise ValueError(f"the source has no column {modified}")
     plan = plan_profiles(
-        source.profile(), target.profile(), policy, logical_date, lookback, late_rows=modified is not None
+        source.profile(checksums), target.profile(), policy, logical_date, lookback,
+        late_rows=modified is not None, state=state.read(spark, target_path), checksums=checksums,
     )
     decisions = Decisions.of(plan)
 
@@ -133,7 +140,9 @@ def sync_table(
     finally:
         for folder in staged:
             folder.drop("")
-    return _report(spark, plan.schema, decisions, days, target_path)
+    written = _written(spark, days, target_path)
+    state.write(spark, target_path, decisions.states(written))
+    return _report(spark, plan.schema, decisions, written)
 
 
 def _keys(policy: str, columns: list[str], present_only: bool) -> list[str] | None:
@@ -182,19 +191,19 @@ def _merged(
     return by_shard(merge_days(theirs, target.rows, days, keys, **options))
 
 
-def _report(
-    spark: SparkSession, schema: T.StructType, decisions: Decisions, days: list[str], target_path: str
-) -> DataFrame:
-    """The fetched plan, and how many rows each written day now has by the file footers."""
-    written: dict[str, int] = {}
-    if days:
-        now = read_day_table(spark, target_path, T.StructType(), days)
-        written = {r[SHARD]: r["count"] for r in now.groupBy(SHARD).count().collect()}
+def _written(spark: SparkSession, days: list[str], target_path: str) -> dict[str, int]:
+    """How many rows each written day now has, by the file footers."""
+    if not days:
+        return {}
+    # The listing of the target may be older than the swap.
+    now = read_day_table(spark, target_path, T.StructType(), Folder(spark, target_path).shards(set(days)))
+    return dict.fromkeys(days, 0) | {r[SHARD]: r["count"] for r in now.groupBy(SHARD).count().collect()}
+
+
+def _report(spark: SparkSession, schema: T.StructType, decisions: Decisions, written: dict[str, int]) -> DataFrame:
+    """The fetched plan, and the rows of each day that was written."""
     shown = schema.names
-    rows = [
-        (*(r[c] for c in shown), written.get(r[SHARD], 0) if r[SHARD] in days else None)
-        for r in decisions.rows
-    ]
+    rows = [(*(r[c] for c in shown), written.get(r[SHARD])) for r in decisions.rows]
     out = T.StructType([*schema.fields, T.StructField("written_rows", T.LongType())])
     return spark.createDataFrame(rows, out)
 
@@ -210,6 +219,7 @@ def sync_day_tables(
     keys: Sequence[str] | None = None,
     modified: str,
     present_only: bool = False,
+    checksums: bool = False,
     folder: str | None = None,
     **options,
 ) -> DataFrame:
@@ -233,7 +243,8 @@ def sync_day_tables(
     target = read_day_tables(spark, target_prefix, sides[1]) if sides[1] else empty_clone(source)
     schemas = [{s: df.schema for s, df in side.items()} for side in sides]
     plan = sync_plan(
-        source, target, policy, logical_date, lookback, modified=modified, late_rows=True, schemas=schemas
+        source, target, policy, logical_date, lookback, modified=modified, late_rows=True, schemas=schemas,
+        state=state.read(spark, root), checksums=checksums,
     )
     decisions = Decisions.of(plan)
     if decisions.merged and keys is None:
@@ -253,6 +264,7 @@ def sync_day_tables(
         for name in [f"{target_prefix}_{day}"]
     ]
     publish.publish(spark, run, changes)
+    state.write(spark, root, decisions.states({day: spark.read.parquet(path).count() for day, (path, _) in written.items()}))
     return spark.createDataFrame([tuple(r[c] for c in plan.columns) for r in decisions.rows], plan.schema)
 
 
@@ -290,6 +302,7 @@ def sync_partitions(
     keys: Sequence[str] | None = None,
     modified: str,
     present_only: bool = False,
+    checksums: bool = False,
     folder: str | None = None,
     **options,
 ) -> DataFrame:
@@ -310,7 +323,10 @@ def sync_partitions(
             f"USING parquet PARTITIONED BY ({SHARD}) LOCATION '{root}/table'"
         )
     target = spark.table(target_table)
-    plan = sync_plan(source, target, policy, logical_date, lookback, modified=modified, late_rows=True)
+    plan = sync_plan(
+        source, target, policy, logical_date, lookback, modified=modified, late_rows=True,
+        state=state.read(spark, root), checksums=checksums,
+    )
     decisions = Decisions.of(plan)
     if decisions.merged and keys is None:
         keys = _keys(policy, source.columns, present_only)
@@ -332,4 +348,5 @@ def sync_partitions(
         for day, path in written.items()
     ]
     publish.publish(spark, run, changes)
+    state.write(spark, root, decisions.states({day: spark.read.parquet(path).count() for day, path in written.items()}))
     return spark.createDataFrame([tuple(r[c] for c in plan.columns) for r in decisions.rows], plan.schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.columns import col, shard_of
+from daysync.functions.rows import checksum
 
 SHARD = "shard"
 DEFAULT_LOOKBACK = 4
@@ -93,15 +94,22 @@ def per_day(values: Mapping[str, Column], otherwise: Column | None = None) -> Co
 
 
 def profile(
-    df: DataFrame, modified: str, *, with_schema: bool = False, schemas: Mapping[str, T.StructType] | None = None
+    df: DataFrame,
+    modified: str,
+    *,
+    with_schema: bool = False,
+    schemas: Mapping[str, T.StructType] | None = None,
+    checksums: bool = False,
 ) -> DataFrame:
-    """One row per shard: ``rows``, ``max_modified`` and, on request, ``fingerprint``.
+    """One row per shard: ``rows``, ``max_modified`` and, on request, ``fingerprint`` and ``checksum``.
 
     A single aggregation with map-side combine, so a day holding most of the rows costs no
     more than any other. The fingerprint lists ``name:type`` of the columns that the day
-    declares: those of ``schemas``, else those of ``df``. No value is read for it.
+    declares: those of ``schemas``, else those of ``df``. No value is read for it. The checksum,
+    see ``rows.checksum``, reads all columns.
     """
-    days = df.groupBy(SHARD).agg(F.count(F.lit(1)).alias("rows"), F.max(col(modified)).alias("max_modified"))
+    whole = [checksum(df, [c for c in df.columns if c != SHARD]).alias("checksum")] if checksums else []
+    days = df.groupBy(SHARD).agg(F.count(F.lit(1)).alias("rows"), F.max(col(modified)).alias("max_modified"), *whole)
     if not with_schema:
         return days
     texts = {day: F.lit(schema_text(schema)) for day, schema in (schemas or {}).items()}

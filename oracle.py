@@ -324,6 +324,22 @@ FROM g""",
     sql["composite_sync_table"] = _composite_result()
     sql["report_replicate"] = _buckets("replicate", ("sync_done", "schema_change", "data_change", "skipped", "missing_source"))
     sql["day_tables_sync"] = f"SELECT * FROM ({_hybrid_result()}) r WHERE shard BETWEEN '20240124' AND '20240130'"
+    # Days are alike if they have the same rows as often, whatever their order.
+    listed = ", ".join(c for c in COLUMNS)
+    sql["checksum_sync_plan"] = (
+        f"WITH {SIDES},{DAYS},\nn1 AS (SELECT {listed}, count(*) AS n FROM src GROUP BY ALL),"
+        f"\nn2 AS (SELECT {listed}, count(*) AS n FROM tgt GROUP BY ALL),"
+        "\nchanged AS (SELECT DISTINCT shard FROM ((SELECT * FROM n1 EXCEPT SELECT * FROM n2) UNION ALL "
+        "(SELECT * FROM n2 EXCEPT SELECT * FROM n1)) x)"
+        "\nSELECT shard, \"offset\", source_rows, target_rows, source_modified, target_modified, "
+        "CASE WHEN source_rows IS NULL THEN 'missing_source' WHEN shard NOT IN (SELECT shard FROM changed) THEN 'skipped' "
+        "WHEN \"offset\" = 1 THEN 'direct_transfer' WHEN target_rows IS NULL THEN 'backfill_copy' ELSE 'merge' END AS action FROM days"
+    )
+    sql["sync_plan_file_times"] = (
+        f"WITH {SIDES},{DAYS}\nSELECT shard, \"offset\", source_rows, target_rows, CASE WHEN source_rows IS NULL THEN "
+        "'missing_source' WHEN \"offset\" = 1 THEN 'direct_transfer' WHEN target_rows IS NULL THEN 'backfill_copy' "
+        "ELSE 'merge' END AS action FROM days"
+    )
     sql["partitions_sync"] = _hybrid_result()
     sql["catalog_evolve"] = _with("SELECT * REPLACE (CAST(NULL AS VARCHAR) AS props) FROM tgt")
     # The newest rows of both sides are alike, so only the numbers of rows tell.

@@ -310,3 +310,52 @@ def test_incremental_merge_without_keys_compares_rows(spark):
     source = frame(spark, [("20260410", None, at(10, "09:00")), ("20260410", "x", at(10, "09:00"))], schema)
     merged = merge_incremental(target, source, "modified", ["20260410"], keys=None)
     assert rows(merged) == [("20260410", None, at(10, "08:00")), ("20260410", "x", at(10, "09:00"))]
+
+
+ODD = "id int, m map<string,int>, x double, s string, l array<double>, at timestamp_ntz, n struct<a:int,b:map<int,timestamp>>"
+
+
+def _odd(at="2026-01-01 00:00:00.000001", **changes):
+    inner = {1: dt.datetime(2026, 1, 1, tzinfo=dt.UTC), 2: None}
+    row = {"id": 1, "m": {"a": 1, "b": None}, "x": 0.0, "s": None, "l": [1.5, None], "at": dt.datetime.fromisoformat(at), "n": (1, inner)}
+    return tuple((row | changes).values())
+
+
+def test_rows_with_maps_are_compared_whatever_their_order(spark):
+    turned = {2: None, 1: dt.datetime(2026, 1, 1, tzinfo=dt.UTC)}
+    target = spark.createDataFrame([_odd(), _odd(id=2, x=float("nan"))], ODD)
+    same = [_odd(m={"b": None, "a": 1}), _odd(x=-0.0), _odd(n=(1, turned)), _odd(id=2, x=float("nan"))]
+    other = [
+        _odd(m={"a": 1, "b": 0}), _odd(s="null"), _odd(s=""), _odd(at="2026-01-01 00:00:00.000002"), _odd(l=[1.5]), _odd(m=None), _odd(n=None),
+    ]
+    merged = insert_new_rows(target, spark.createDataFrame(same + other, ODD))
+    assert merged.count() == 2 + len(other)
+    assert insert_new_rows(merged, spark.createDataFrame(same + other, ODD)).count() == 2 + len(other)
+
+
+def test_no_column_of_the_target_is_shuffled_to_compare_rows(spark):
+    target = spark.createDataFrame([(k, "x" * 50) for k in range(50)], "id int, payload string")
+    source = spark.createDataFrame([(k, "x" * 50) for k in range(40, 60)], "id int, payload string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = insert_new_rows(target, source)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert merged.count() == 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(moved) >= 2 and "payload" not in "".join(line for line in moved if "digest" in line and "hash" not in line)
+
+
+def test_marks_of_days_are_looked_up_and_the_least_is_pushed(spark, tmp_path):
+    rows = [(k, f"2026010{k % 3 + 1}", dt.datetime(2026, 1, 1) + dt.timedelta(hours=k)) for k in range(60)]
+    spark.createDataFrame(rows, "id int, shard string, modified timestamp_ntz").write.parquet(str(tmp_path / "t"))
+    source = spark.read.parquet(str(tmp_path / "t"))
+    marks = {"20260101": "2026-01-02 00:00:00", "20260102": "2026-01-01 12:00:00.5"}
+    found = {r["id"] for r in newer_than(source, "modified", marks).collect()}
+    bound = {d: dt.datetime.fromisoformat(m) for d, m in marks.items()}
+    assert found == {k for k, d, at in rows if d in bound and at > bound[d]}
+    plan = newer_than(source, "modified", marks)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(modified,2026" in plan
+    assert newer_than(source, "modified", {}).count() == 0

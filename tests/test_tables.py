@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daysync.functions.rows import checksum
 from daysync.operators.joins import merge_on
 from daysync.operators.schema import widens
 from daysync.plans.run import sync_table
@@ -426,3 +427,44 @@ def test_decimals_widen():
 
     assert fits((10, 2), (12, 2)) and fits((10, 2), (12, 4)) and fits(T.IntegerType(), (20, 0)) and fits(T.LongType(), (19, 0))
     assert not fits((10, 2), (10, 3)) and not fits((12, 2), (10, 2)) and not fits(T.LongType(), (18, 0)) and not fits(T.DoubleType(), (38, 5))
+
+
+def test_a_sync_that_reduces_duplicates_comes_to_rest(spark, tmp_path):
+    """The source always has more rows than the target then."""
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    twice = [(d, 1, v, t) for d in ("20260411", "20260410") for v, t in (("a", TIMES[0]), ("b", TIMES[1]))]
+    write.write_day_table(days(spark, twice), source)
+    write.write_day_table(days(spark, [(d, 1, "old", "2026-04-01 00:00:00") for d in ("20260411", "20260410")]), target)
+    first = sync(spark, (source, target), modified="modified", on_duplicate="latest")
+    assert {d: a for d, (a, _) in first.items() if d in ("20260411", "20260410")} == dict.fromkeys(("20260411", "20260410"), "merge")
+    for _ in range(2):
+        again = sync(spark, (source, target), modified="modified", on_duplicate="latest")
+        assert {a for a, _ in again.values()} == {"skipped", "missing_source"}
+    # One more late row is seen, and after it there is rest again.
+    write.append_rows(spark, days(spark, [("20260410", 2, "late", "2026-03-01 00:00:00")]), source, days(spark, SOURCE).schema)
+    assert sync(spark, (source, target), modified="modified", on_duplicate="latest")["20260410"] == ("merge", 2)
+    assert sync(spark, (source, target), modified="modified", on_duplicate="latest")["20260410"] == ("skipped", None)
+
+
+def test_checksums_see_everything_and_rest(spark, pair):
+    source, target = pair
+    asked = {"modified": "modified", "checksums": True}
+    sync(spark, pair, **asked)
+    assert {a for a, _ in sync(spark, pair, **asked).values()} <= {"skipped", "missing_source"}
+    old = read_day_table(spark, source).where("shard = '20260410'")
+    changed = old.withColumn("v", F.lit("in place"))  # as many rows, as new
+    write.replace_shards(spark, [changed], source, ["20260410"])
+    done = sync(spark, pair, **asked)
+    assert done["20260410"][0] == "merge" and {a for d, (a, _) in done.items() if d != "20260410"} <= {"skipped", "missing_source"}
+    assert {v for d, v in content(spark, target, "shard", "v") if d == "20260410"} >= {"in place"}
+    # Rows that someone else took from the target show too.
+    write.replace_shards(spark, [read_day_table(spark, target).where("shard = '20260411'").limit(0)], target, ["20260411"])
+    assert sync(spark, pair, **asked)["20260411"][0] == "backfill_copy"
+
+
+def test_checksums_do_not_depend_on_order_or_parts(spark):
+    rows = [("20260410", k % 7, f"v{k % 5}", {"a": k % 3, "b": None}) for k in range(50)]
+    schema = "shard string, id long, v string, m map<string,int>"
+    sums = lambda r, n: spark.createDataFrame(r, schema).repartition(n).groupBy("shard").agg(checksum(spark.createDataFrame(r, schema), ["id", "v", "m"]).alias("c")).first()["c"]
+    assert sums(rows, 1) == sums(rows[::-1], 7)
+    assert len({sums(rows, 2), sums(rows[1:], 2), sums(rows + rows[:1], 2), sums([*rows[1:], ("20260410", None, "v0", {})], 2)}) == 4
