@@ -31,6 +31,8 @@ from daysync.llm.words import PATTERN, split_words
 #: Words kept by a worker between batches, and characters of them.
 KEPT_WORDS = 600_000
 KEPT_CHARS = 12_000_000
+#: Characters of a text from which on the library gets single words.
+LONG = 100_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -69,7 +71,15 @@ class Vocabulary:
         self.by_id = all(a < b for a, b in pairwise(parts)) and len(parts) == len(self.merges)
         self.ids = {bytes([letters[w]]): k for w, k in ids.items() if w in letters}
         self.ids |= {self.token_bytes[k]: k for k in parts}
-        self.longest = max(map(len, self.ids))
+        # The lengths of the tokens that end with a byte, the longest first, up to each length.
+        longest = max(map(len, self.ids))
+        ending: dict[int, set[int]] = {}
+        for token in self.ids:
+            ending.setdefault(token[-1], set()).add(len(token))
+        self.longest = longest
+        self.lengths = {
+            byte: [tuple(n for n in sorted(sizes, reverse=True) if n <= most) for most in range(longest + 1)] for byte, sizes in ending.items()
+        }
         # The tokens at a token's right and left border as merges make it, each with the rank
         # of the merge that takes it into the next.
         never = len(self.merges) + 1
@@ -138,6 +148,7 @@ class TrieEncoder:
     def encode_words(self, words: list[bytes]) -> Iterator[list[int]]:
         """The ids of sorted distinct words."""
         get, longest, beside = self.vocabulary.ids.get, self.vocabulary.longest, self.vocabulary.beside
+        lengths = self.vocabulary.lengths
         known = self.vocabulary.known.get
         before, tokens, sizes = b"", [-1], [0]  # the path: last token and its length, by depth
         for word in words:
@@ -147,7 +158,8 @@ class TrieEncoder:
                 depth += 1
             del tokens[depth + 1 :], sizes[depth + 1 :]
             for end in range(depth + 1, len(word) + 1):
-                for begin in range(end - longest if end > longest else 0, end):
+                for size in lengths[word[end - 1]][end if end < longest else longest]:
+                    begin = end - size
                     token = get(word[begin:end])
                     if token is None:
                         continue
@@ -158,7 +170,7 @@ class TrieEncoder:
                         if not stays:
                             continue
                     tokens.append(token)
-                    sizes.append(end - begin)
+                    sizes.append(size)
                     break
                 else:
                     raise ValueError("the vocabulary cannot encode a byte")
@@ -266,11 +278,17 @@ class LibraryEncoder(TrieEncoder):
         """Nothing is gained by many texts at a time."""
 
     def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [self._library.encode_to_numpy(t, disallowed_special=()) for t in texts]
+        parts = [self._library.encode_to_numpy(t, disallowed_special=()) if len(t) <= LONG else self._by_words(t) for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
         return np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int32), offsets
 
 
+    def _by_words(self, text: str) -> np.ndarray:
+        """The library's pattern gives up on very long runs of white space, so the words are cut here."""
+        piece = lru_cache(maxsize=100_000)(self._library._core_bpe.encode_single_piece)
+        return np.fromiter((k for word in _words([text])[0] for k in piece(word.encode())), np.int32)
+
+
 @lru_cache(maxsize=2)
 def _encoder(content: str, trie: bool) -> TrieEncoder:
     vocabulary = Vocabulary(content)
