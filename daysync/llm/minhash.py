@@ -8,8 +8,9 @@ probability ``(1 - (1 - s**r) ** m) ** 2``: with the default 4 and 20, all but o
 19,000 at a similarity of just 0.8, and all but one in 3 million at 0.86. A half key that
 no other text has is left out before pairs are made of it, as its tables hold one text.
 
-Texts with the same set of shingles are put into a class before anything is paired, so a
-group of copies takes part once. What meets in a table is confirmed on full sets:
+Texts with the same words are put into a class, by SHA-256 of the words, before anything is
+paired, so a group of copies takes part once. What meets in a table is confirmed on full sets
+of the words themselves, so no hash decides on a link:
 
 1. every class with one leader of each of its tables, the class that meets most others;
    confirmed links give components;
@@ -26,6 +27,7 @@ So a large group of near copies costs a link per member, not per pair, and no ta
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -34,9 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daysync.llm.common import blocks, lists, ship, stored, text_buffers
+from daysync.llm.common import blocks, lists, ship, stored
 from daysync.llm.components import components
-from daysync.llm.shingles import mix, overlap, shingle_sets
+from daysync.llm.shingles import exact_sets, mix, normal, overlap, shingle_sets
+from daysync.llm.wordcodes import WordCodes
 
 HALVES = 20
 ROWS = 4
@@ -49,30 +52,28 @@ def _multipliers(count: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_column: str, text_column: str, words: int, halves: int = HALVES, rows: int = ROWS) -> DataFrame:
-    """``id, n_shingles, f1, f2, a, b`` of each row.
+    """``id, n_shingles, digest, a, b`` of each row of a binary text.
 
-    f1 and f2 identify the set, a and b are its half keys. Without words n_shingles is 0 and
-    the lists are empty.
+    The digest identifies the words, a and b are its half keys. Without words n_shingles is 0
+    and the lists are empty.
     """
     ship(docs.sparkSession)
     values = 2 * halves * rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = _multipliers(values)
+        factors, known = _multipliers(values), WordCodes()
         for batch in batches:
             for block in blocks(batch, "text"):
-                sets = shingle_sets(*text_buffers(block.column("text")), words)
+                texts = _texts(block.column("text"))
+                sets = shingle_sets(texts, words, known)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(sizes)
                 least = np.zeros((len(full), values), np.uint64)
-                f1, f2 = np.zeros((2, len(sets)), np.uint64)
                 if len(full):
                     flat = np.concatenate([sets[k] for k in full])
                     starts = np.cumsum(sizes[full]) - sizes[full]
                     for k in range(values):
                         least[:, k] = np.minimum.reduceat(flat * factors[k], starts)
-                    f1[full] = np.add.reduceat(mix(flat), starts)
-                    f2[full] = np.add.reduceat(mix(flat ^ np.uint64(0x5851F42D4C957F2D)), starts)
                 half = np.zeros((len(full), 2 * halves), np.uint64)
                 for k in range(rows):
                     half = mix(half + least[:, k :: rows])
@@ -81,26 +82,29 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, words: int, ha
                     [
                         block.column("id"),
                         pa.array(sizes),
-                        pa.array(f1.view(np.int64)),
-                        pa.array(f2.view(np.int64)),
+                        pa.array([hashlib.sha256(normal(t)).digest() for t in texts], pa.binary()),
                         lists(half[:, :halves].reshape(-1).view(np.int64), offsets, pa.int64()),
                         lists(half[:, halves:].reshape(-1).view(np.int64), offsets, pa.int64()),
                     ],
-                    names=["id", "n_shingles", "f1", "f2", "a", "b"],
+                    names=["id", "n_shingles", "digest", "a", "b"],
                 )
 
-    given = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    schema = "id long, n_shingles long, f1 long, f2 long, a array<long>, b array<long>"
-    return given.select(F.col("id").cast("long"), "text").mapInArrow(sign, schema)
+    given = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("binary").alias("text"))
+    return given.mapInArrow(sign, "id long, n_shingles long, digest binary, a array<long>, b array<long>")
+
+
+def _texts(column: pa.Array) -> list[bytes]:
+    return [t or b"" for t in column.to_pylist()]
 
 
 def _exploded(docs: DataFrame, words: int) -> DataFrame:
     """``id, n, h``: each shingle of the texts of ``id, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordCodes()
         for batch in batches:
             for block in blocks(batch, "text", 1 << 20):
-                sets = shingle_sets(*text_buffers(block.column("text")), words)
+                sets = shingle_sets(_texts(block.column("text")), words, known)
                 sizes = np.array([len(x) for x in sets], np.int64)
                 ids = np.repeat(block.column("id").to_numpy(), sizes)
                 hashes = np.concatenate(sets).view(np.int64)
@@ -138,12 +142,13 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, share: Fraction)
     up, down = share.numerator, share.denominator
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordCodes()
         for batch in batches:
             for block in blocks(batch, "text_a"):
-                x = shingle_sets(*text_buffers(block.column("text_a")), words)
-                y = shingle_sets(*text_buffers(block.column("text_b")), words)
+                x, y = _texts(block.column("text_a")), _texts(block.column("text_b"))
+                sets = exact_sets(x + y, words, known)
                 good = []
-                for s, t in zip(x, y, strict=True):
+                for s, t in zip(sets[: len(x)], sets[len(x) :], strict=True):
                     both = overlap(s, t)
                     good.append(both > 0 and down * both >= up * (len(s) + len(t) - both))
                 yield block.filter(pa.array(good, pa.bool_())).select(["a", "b"])
@@ -175,9 +180,9 @@ def near_duplicates(
     An empty table gives an empty result.
     """
     signed = stored(signatures(docs, id_column, text_column, words, halves, rows))
-    given = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    given = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("binary").alias("text"))
     full = signed.where("n_shingles > 0")
-    identity = ["n_shingles", "f1", "f2"]
+    identity = ["n_shingles", "digest"]
     classes = stored(full.groupBy(*identity).agg(F.min("id").alias("rep")))
     reps = (
         full.withColumnRenamed("id", "rep").join(classes.where("rep is not null"), [*identity, "rep"], "left_semi")

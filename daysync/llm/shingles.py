@@ -1,9 +1,18 @@
-"""Sets of word shingles as sorted 64-bit hashes, made by numpy over whole blocks of text."""
+"""Sets of word shingles, made by numpy over whole blocks of text.
+
+Words are runs of characters other than ASCII white space; A-Z count as a-z.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
+from daysync.llm.mixing import mix
+from daysync.llm.wordcodes import WordCodes, byte_table, chained
+
+__all__ = ["exact_sets", "mix", "normal", "overlap", "shingle_sets", "word_hashes"]
+
+_TABLE = byte_table(b" \t\n\x0b\x0c\r")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -12,21 +21,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    """Spreads every bit of 64-bit values over all bits; one to one."""
-    h = h ^ (h >> np.uint64(33))
-    h = h * np.uint64(0xFF51AFD7ED558CCD)
-    h ^= h >> np.uint64(33)
-    h *= np.uint64(0xC4CEB9FE1A85EC53)
-    h ^= h >> np.uint64(33)
-    return h
-
-
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word and the row it stands in.
-
-    Words are runs of bytes other than ASCII white space; A-Z count as a-z.
-    """
+    """A quick hash for each word and the row it stands in, for statistics: different words may share one."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     solid = ~_SPACE[data]
@@ -49,35 +45,59 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(hashes), rows
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
-    """For each row the sorted distinct hashes of ``size`` words in a row.
+def normal(text: bytes) -> bytes:
+    """The words with one blank between them: equal for texts of equal words, and only for them."""
+    return b" ".join(text.translate(_TABLE).split())
 
-    A row of fewer words has the whole of them as its one shingle; without words, none.
-    """
-    words, rows = word_hashes(data, offsets)
-    count = len(offsets) - 1
-    ends = np.searchsorted(rows, np.arange(count), "right")
-    starts = np.concatenate([[0], ends[:-1]]) if count else ends
-    # A shingle for each place where ``size`` words follow; those across rows are skipped below.
-    rolled = np.full(max(0, len(words) - size + 1), np.uint64(size), np.uint64)
-    for k in range(size):
-        rolled = rolled * _STEP + words[k : k + len(rolled)]
-    rolled = mix(rolled)
+
+def _rows(texts: list[bytes], known: WordCodes) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts one after the other, and where each text's begin and the last ends."""
+    codes = known.codes(texts, _TABLE)
+    ends = np.flatnonzero(codes < 0) - np.arange(len(texts))
+    return codes[codes >= 0], np.concatenate([[0], ends])
+
+
+def _distinct(values: np.ndarray, bounds: np.ndarray, size: int, short: list) -> list[np.ndarray]:
+    """The distinct values of each row, of which those that reach into the next do not count."""
     sets = []
-    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+    for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
         if b - a >= size:
-            own = np.sort(rolled[a : b - size + 1])
+            own = np.sort(values[a : b - size + 1])
             sets.append(own[np.append(True, own[1:] != own[:-1])])
-        elif b > a:
-            h = np.full(1, np.uint64(b - a), np.uint64)
-            for k in range(a, b):
-                h = h * _STEP + words[k : k + 1]
-            sets.append(mix(h))
         else:
-            sets.append(np.zeros(0, np.uint64))
+            sets.append(short[k] if b > a else values[:0])
     return sets
 
 
+def shingle_sets(texts: list[bytes], size: int, known: WordCodes) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of ``size`` words in a row.
+
+    A text of fewer words has the whole of them as its one shingle; without words, none.
+    """
+    codes, bounds = _rows(texts, known)
+    hashes = known.hashes()[codes]
+    sizes = np.diff(bounds)
+    short = {k: chained(hashes[bounds[k] : bounds[k + 1]], sizes[k]) for k in np.flatnonzero((sizes > 0) & (sizes < size)).tolist()}
+    return _distinct(chained(hashes, size), bounds, size, short)
+
+
+def exact_sets(texts: list[bytes], size: int, known: WordCodes) -> list[np.ndarray]:
+    """As ``shingle_sets``, but numbers that are equal for equal words only; they hold within one call."""
+    words, bounds = _rows(texts, known)
+    found, count = words, len(known.words)
+    for k in range(1, size):
+        # Two numbers that stand for k words and the next make one for k + 1 words.
+        both = found[: max(0, len(words) - k)] * count + words[k:]
+        found = np.unique(both, return_inverse=True)[1]
+    seen: dict[bytes, int] = {}
+    sizes = np.diff(bounds)
+    short = {}
+    for k in np.flatnonzero((sizes > 0) & (sizes < size)).tolist():
+        whole = words[bounds[k] : bounds[k + 1]].tobytes()
+        short[k] = np.array([-1 - seen.setdefault(whole, len(seen))])
+    return _distinct(found, bounds, size, short)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """How many values two sorted sets share."""
     if len(a) > len(b):

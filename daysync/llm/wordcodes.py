@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 
-from daysync.llm.shingles import mix
+from daysync.llm.mixing import mix
 
 #: Words that a worker keeps between blocks; a bound on memory that changes no result.
 KEPT_WORDS = 1_000_000

@@ -455,3 +455,22 @@ def test_quality_of_odd_rows(docs, empty, spark):
     assert sorted(found.columns) == sorted(docs.columns) and found.count() == len(DOCS)
     assert all(0 <= r["score"] <= 1 for r in found.collect())
     assert quality.scored(empty, quality.train(empty, labels)).collect() == []
+
+
+def test_different_words_that_a_polynomial_hash_confuses_link_nothing(spark):
+    x, y = "a", "b"
+    for _ in range(10):
+        x, y = x + y, y + x
+    texts = {1: f"{x} b c d e", 2: f"{y} b c d e", 3: f"{x.upper()} b c  d\te", 4: x, 5: y, 6: f"{y} b c d e f"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["id"]: (r["n_shingles"], r["component"]) for r in minhash.near_duplicates(df, words=4).collect()}
+    assert found == brute.near_duplicates(texts, 4, 80)
+
+
+def test_very_long_runs_are_cut_and_packed(spark):
+    texts = {1: " " * 1_200_000 + "x", 2: "\n" * 300_000, 3: "a" * 300_000, 4: "b"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sizes = {r["id"]: r["n"] for r in packing.cut(df, PATH).groupBy("id").agg(F.sum("length").alias("n")).collect()}
+    library = Tokenizer.from_file(PATH)
+    assert sizes == {k: len(library.encode(t, add_special_tokens=False).ids) + 1 for k, t in texts.items()}
+    assert packing.pack(packing.cut(df, PATH)).groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0

@@ -14,7 +14,8 @@ from tokenizers import Tokenizer
 
 from daysync.llm import bpe, lattice, packing, quality
 from daysync.llm.common import blocks, text_buffers
-from daysync.llm.shingles import overlap, shingle_sets
+from daysync.llm.shingles import exact_sets, overlap, shingle_sets
+from daysync.llm.wordcodes import WordCodes
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = st.text(alphabet=st.sampled_from("aAbB .,'st1²é中\n\t\x0b\x1c\x85 "), max_size=40)
@@ -35,7 +36,7 @@ def library():
 @given(st.lists(st.one_of(st.none(), TEXTS), max_size=6), st.integers(1, 5))
 @settings(max_examples=150, deadline=None)
 def test_shingles_are_those_of_a_plain_version(texts, size):
-    sets = shingle_sets(*text_buffers(pa.array(texts, pa.string())), size)
+    sets = shingle_sets([(t or "").encode() for t in texts], size, WordCodes())
     plain = [brute.shingles(t, size) for t in texts]
     assert [len(s) for s in sets] == [len(p) for p in plain]
     for i in range(len(texts)):
@@ -157,3 +158,42 @@ def test_rules_separate_and_are_few():
     assert quality.fit(x[:0], y[:0]).score(z).min() > 0.99
     assert quality.fit(x, np.zeros(3000, int)).score(z).max() < 0.01
     assert quality.fit(x * 0, y).score(z).std() == 0
+
+
+def _folded(a: bytes, b: bytes, times: int) -> tuple[bytes, bytes]:
+    """Thue-Morse words: any polynomial of their letters modulo 2**64 has one value for both."""
+    for _ in range(times):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_that_a_polynomial_hash_confuses_are_apart():
+    x, y = _folded(b"a", b"b", 10)
+    assert len(x) == 1024 and x != y
+    texts = [x + b" one two three", y + b" one two three", (x + b" one two three").upper()]
+    a, b, c = shingle_sets(texts, 4, WordCodes())
+    assert a.tolist() != b.tolist() and a.tolist() == c.tolist()
+    a, b, c = exact_sets(texts, 4, WordCodes())
+    assert a.tolist() != b.tolist() and a.tolist() == c.tolist()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab \t\né", max_size=25), max_size=6), st.integers(1, 5))
+def test_exact_sets_are_alike_when_the_plain_ones_are(texts, size):
+    sets = exact_sets([t.encode() for t in texts], size, WordCodes())
+    plain = [brute.shingles(t, size) for t in texts]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    for s, p in zip(sets, plain, strict=True):
+        for t, q in zip(sets, plain, strict=True):
+            assert overlap(s, t) == len(p & q)
+
+
+@pytest.mark.parametrize("trie", [False, True])
+@pytest.mark.parametrize("text", [" " * 2_000_000 + "x", "\n" * 2_000_000, "a" * 200_000, "ab " * 50_000 + "\t" * 900_000 + "it's ''re"])
+def test_very_long_runs_are_encoded_as_by_the_library(library, text, trie):
+    if trie:
+        text = text[:150_000] + text[-20:]
+    encoder = bpe._encoder(bpe.read_vocabulary(PATH), trie)
+    ids, offsets = encoder.encode([text, "", text[:10]])
+    expected = [library.encode(t, add_special_tokens=False).ids for t in (text, "", text[:10])]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == expected
