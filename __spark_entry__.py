@@ -58,7 +58,9 @@ import oracle  # noqa: E402
 try:  # the corpus operators and their pipeline are a part that can be left out
     import corpus_pipeline
     from daysync.llm import queries as corpus
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "daysync.llm", "public_tokenizers", "tiktoken", "regex"):
+        raise
     corpus = None
 
 SMOKE = "/root/testdata/sf0.001"
@@ -439,6 +441,25 @@ def update_top_k(spark, d):
     return update_first(_sides(spark, d)[1], "event_id", 3, {"props": extra})
 
 
+def update_first_ties(spark, d):
+    """Many rows of the least users; three rows change."""
+    extra = F.concat(F.lit("tied "), F.col("event_id").cast("string"))
+    return update_first(_sides(spark, d)[1], "user_id", 3, {"props": extra}, then_by=["ts", "event_id"])
+
+
+def generated_random(spark, d):
+    """What is random of the events is not returned, but what holds of all of them is."""
+    made = generate_events(_events(spark, d), 5, key="event_id", start="ts", random=True)
+    labels = F.when(F.col("event_type") == event_label(F.col("event_type_id")), 1)
+    return made.agg(
+        F.count("*").alias("rows"), F.count_distinct("id").alias("ids"),
+        F.count_if(F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("uuids"),
+        F.count(labels).alias("labels"), F.min("event_type_id").alias("least_type"), F.max("event_type_id").alias("most_type"),
+        F.count_distinct("description").alias("descriptions"),
+        F.count_if(F.col("last_modified").isNull()).alias("no_time"),
+    )
+
+
 def row_fingerprint(spark, d):
     return _sides(spark, d)[1].select(
         "event_id", row_text(["event_id", "user_id", "event_type", "props"]).alias("row_text")
@@ -542,11 +563,13 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "update_all": update_every_row,
         "update_by_subquery": update_by_subquery,
         "update_top_k": update_top_k,
+        "update_first_ties": update_first_ties,
         "row_fingerprint": row_fingerprint,
         "case_label": case_label,
         "timestamp_shift": timestamp_shift,
         "generate_events": _generated(False),
         "generate_events_random": _generated(True),
+        "generate_events_facts": generated_random,
     }
 
 

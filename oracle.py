@@ -324,6 +324,14 @@ FROM g""",
     sql["composite_sync_table"] = _composite_result()
     sql["report_replicate"] = _buckets("replicate", ("sync_done", "schema_change", "data_change", "skipped", "missing_source"))
     sql["day_tables_sync"] = f"SELECT * FROM ({_hybrid_result()}) r WHERE shard BETWEEN '20240124' AND '20240130'"
+    sql["update_first_ties"] = _with(
+        "SELECT * REPLACE (CASE WHEN event_id IN (SELECT event_id FROM tgt ORDER BY user_id, ts, event_id LIMIT 3) "
+        "THEN 'tied ' || CAST(event_id AS VARCHAR) ELSE props END AS props) FROM tgt"
+    )
+    sql["generate_events_facts"] = (
+        "SELECT 5 * count(*) AS rows, 5 * count(*) AS ids, 5 * count(*) AS uuids, 5 * count(*) AS labels, "
+        "0::BIGINT AS least_type, 4::BIGINT AS most_type, 5::BIGINT AS descriptions, 0::BIGINT AS no_time FROM events"
+    )
     # Days are alike if they have the same rows as often, whatever their order.
     listed = ", ".join(c for c in COLUMNS)
     sql["checksum_sync_plan"] = (

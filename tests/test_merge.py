@@ -16,6 +16,7 @@ from daysync.operators.merge import (
     upsert,
 )
 from daysync.operators.schema import empty_clone
+from daysync.operators.update import update_first
 
 
 def rows(df):
@@ -359,3 +360,12 @@ def test_marks_of_days_are_looked_up_and_the_least_is_pushed(spark, tmp_path):
     plan = newer_than(source, "modified", marks)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(modified,2026" in plan
     assert newer_than(source, "modified", {}).count() == 0
+
+
+def test_update_first_changes_exactly_so_many_of_the_rows_that_tie(spark, tmp_path):
+    rows = [(1, "a")] * 5 + [(2, "a"), (None, "a")]
+    spark.createDataFrame(rows, "id int, v string").repartition(3).write.parquet(str(tmp_path / "t"))
+    for df in (spark.read.parquet(str(tmp_path / "t")), spark.createDataFrame(rows, "id int, v string")):
+        for count in (0, 1, 3, 5, 6, 9):
+            changed = [r["id"] for r in update_first(df, "id", count, {"v": F.lit("b")}).collect() if r["v"] == "b"]
+            assert sorted(changed) == ([1] * 5 + [2])[:count]
