@@ -257,9 +257,15 @@ def newer_than(source: DataFrame, modified: str, marks: Mapping[str, str | None]
             return F.timestamp_micros(F.lit(int(text)))
         return F.lit(text).cast(kind)
 
-    known = {shard: mark(text) for shard, text in marks.items()}
-    least = F.least(*known.values()) if len(known) > 1 else next(iter(known.values()))
-    return in_shards(source, list(marks)).where((col(modified) > least) & (col(modified) > per_day(known)))
+    known = {shard: mark(text) for shard, text in marks.items() if text is not None}
+    fresh = [shard for shard, text in marks.items() if text is None]
+    parts = []
+    if known:
+        least = F.least(*known.values()) if len(known) > 1 else next(iter(known.values()))
+        parts.append(col(SHARD).isin(list(known)) & (col(modified) > least) & (col(modified) > per_day(known)))
+    if fresh:  # days without a mark do not lower that of the others
+        parts.append(col(SHARD).isin(fresh) & (col(modified) > mark(None)))
+    return in_shards(source, list(marks)).where(any_of(parts))
 
 
 def merge_incremental(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from daysync import session, snapshots
 from daysync.operators.dedupe import latest
+from daysync.operators import merge
 from daysync.operators.merge import incremental, insert_new_rows, newer_than, upsert
 from daysync.operators.update import update_matching
 from daysync.plans.apply import merge_days
@@ -132,7 +133,7 @@ def test_merged_days_share_the_source_shuffle(spark, tmp_path, conf):
     assert len(re.findall(r"ReusedExchange \[__key_0", plan)) == 1
 
 
-def test_marks_of_an_incremental_merge_reach_the_reader(spark, tmp_path, conf):
+def test_marks_of_an_incremental_merge_reach_the_reader(spark, tmp_path, conf, monkeypatch):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     sides = []
     for name, hot in (("t", -1), ("s", -2)):
@@ -143,10 +144,15 @@ def test_marks_of_an_incremental_merge_reach_the_reader(spark, tmp_path, conf):
         sides.append(read_day_table(spark, f"{tmp_path}/{name}"))
     target, source = sides
     days = ["20260411", "20260412"]
+    staged = []
+    keep = merge.kept
+    monkeypatch.setattr(merge, "kept", lambda df: staged.append(planned(df)) or keep(df))
     merged = merge_days(source, target, days, ["id"], incremental_by="modified")
     rows, plan = ran(merged)
     assert rows >= 6000
-    assert "GreaterThan(modified" in plan
+    # The source is read once, for what is staged, and the merge reads that.
+    assert len(staged) == 1 and "GreaterThan(modified" in staged[0]
+    assert f"{tmp_path}/s/" not in plan and f"{tmp_path}/s]" not in plan
 
 
 def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
