@@ -329,8 +329,9 @@ FROM g""",
         "THEN 'tied ' || CAST(event_id AS VARCHAR) ELSE props END AS props) FROM tgt"
     )
     sql["generate_events_facts"] = (
-        "SELECT 5 * count(*) AS rows, 5 * count(*) AS ids, 5 * count(*) AS uuids, 5 * count(*) AS labels, "
-        "0::BIGINT AS least_type, 4::BIGINT AS most_type, 5::BIGINT AS descriptions, 0::BIGINT AS no_time FROM events"
+        "SELECT 'Event ' || CAST(n AS VARCHAR) AS description, count(*) AS rows, count(*) AS ids, count(*) AS uuids, "
+        "count(*) AS labels, 0::BIGINT AS least_type, 4::BIGINT AS most_type, 0::BIGINT AS no_time "
+        "FROM events, range(1, 6) r(n) GROUP BY n"
     )
     # Days are alike if they have the same rows as often, whatever their order.
     listed = ", ".join(c for c in COLUMNS)
