@@ -32,10 +32,11 @@ from daysync.operators.merge import (  # noqa: E402
     merge_incremental,
     upsert,
 )
-from daysync.operators.schema import drift, empty_clone, schema_rows  # noqa: E402
+from daysync.operators.schema import drift, empty_clone, nested_drift, schema_rows  # noqa: E402
 from daysync.operators.update import update_all, update_first  # noqa: E402
 from daysync.plans import report, state  # noqa: E402
 from daysync.plans.apply import apply_plan, backfill, replace_days  # noqa: E402
+from daysync.plans.bucketed import merge_into_bucketed, write_bucketed  # noqa: E402
 from daysync.plans.policies import plan_profiles, sync_plan  # noqa: E402
 from daysync.plans.run import sync_day_tables, sync_partitions, sync_table  # noqa: E402
 from daysync.session import work_folder  # noqa: E402
@@ -67,6 +68,7 @@ SMOKE = "/root/testdata/sf0.001"
 ID = {"keys": ["event_id"], "within": ["shard"]}
 EVENT = ["user_id", "ts", "event_type"]
 SESSION = ["user_id", "event_type"]
+BUCKETS = 16
 WINDOW = {"logical_date": snap.LOGICAL_DATE, "lookback": snap.LOOKBACK}
 
 
@@ -83,6 +85,20 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return snap.source_events(events), snap.target_events(events)
 
 
+def _nested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with columns in columns; the source's have fields, at three depths, the target's lack."""
+    source, target = _sides(spark, sf_dir)
+    sides = []
+    for df, newer in ((source, True), (target, False)):
+        value, kind = [F.col("value")] if newer else [], [F.col("event_type").alias("kind")]
+        user = F.col("user_id") if newer else F.col("user_id").cast("string")
+        about = F.struct("user_id", F.struct(*kind, *value).alias("what"), *([F.col("props")] if newer else []))
+        steps = F.array(F.struct(F.lit(1).cast("bigint" if not newer else "int").alias("n"), *value))
+        facts = F.create_map(F.col("event_type"), F.struct(user.cast("string").alias("who"), *value))
+        sides.append(df.select("event_id", SHARD, about.alias("about"), steps.alias("steps"), facts.alias("facts")))
+    return sides[0], sides[1]
+
+
 def _all_days() -> list[str]:
     return lookback_shards(snap.LOGICAL_DATE, snap.ALL_DAYS)
 
@@ -146,6 +162,12 @@ def schema_listing(spark, d):
     return schema_rows(source, "source").unionByName(schema_rows(target, "target", snap.declared(target)))
 
 
+def nested_schema_drift(spark, d):
+    source, target = _nested(spark, d)
+    older = target.withColumn("about", F.struct("about.user_id")).schema
+    return nested_drift(source, target, target_schemas={snap.DRIFTED: older})
+
+
 # Plans and reports
 
 
@@ -220,6 +242,18 @@ def evolve_schema(spark, d):
     return upsert(target, source, **ID)
 
 
+def nested_evolve(spark, d):
+    """Fields in fields of arrays, maps and columns are added, and what is nested is returned in columns of its own."""
+    source, target = _nested(spark, d)
+    fact = F.get(F.map_values("facts"), 0)
+    return upsert(target, source, **ID).select(
+        "event_id", SHARD, F.col("about.user_id").alias("user_id"), F.col("about.what.kind").alias("kind"),
+        F.col("about.what.value").alias("what_value"), F.col("about.props").alias("props"),
+        F.get("steps", 0)["n"].alias("n"), F.get("steps", 0)["value"].alias("step_value"),
+        fact["who"].alias("who"), fact["value"].alias("fact_value"),
+    )
+
+
 def empty_clone_merge(spark, d):
     source, _ = _sides(spark, d)
     return upsert(empty_clone(source), source, **ID)
@@ -363,6 +397,18 @@ def catalog_evolve(spark, d):
     return read_day_table(spark, f"{folder}/target", evolved)
 
 
+def merge_bucketed(spark, d):
+    """The target is bucketed by its key; it is gone from the catalog afterwards, its files are read."""
+    folder = work_folder(spark)
+    source, target = _sides(spark, d)
+    name = _catalog_names(folder)["target"]
+    write_bucketed(target, name, [SHARD, "event_id"], BUCKETS, f"{folder}/target")
+    merge_into_bucketed(spark, name, source, folder=f"{folder}/new")
+    merged, path = spark.table(name).schema, location_of(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(merged).parquet(path)
+
+
 def late_rows(spark, d):
     """Days whose newest rows are alike and of which the source has more are merged too."""
     source, target = _sides(spark, d)
@@ -526,6 +572,9 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_rows": incremental_rows,
         "merge_incremental": incremental_merge,
         "evolve_schema": evolve_schema,
+        "nested_drift": nested_schema_drift,
+        "nested_evolve": nested_evolve,
+        "merge_bucketed": merge_bucketed,
         "empty_clone": empty_clone_merge,
         "replace_shard": replace_shard,
         "backfill_copy": backfill_copy,

@@ -97,7 +97,7 @@ def upsert(
     Of the target's keys only those are counted that the source has. Spark broadcasts a
     small source for that, and the target is not shuffled.
     """
-    by = _checked_keys(keys, within, target, source)
+    by = checked_keys(keys, within, target, source)
     if on_duplicate not in ("error", "latest", UNIQUE):
         raise ValueError(f"on_duplicate is error or latest, not {on_duplicate}")
     if on_duplicate == "latest" and not order_by:
@@ -133,7 +133,7 @@ def upsert(
     return reduce(DataFrame.unionByName, [*parts, target])
 
 
-def _checked_keys(
+def checked_keys(
     keys: Sequence[str], within: Sequence[str], target: DataFrame, source: DataFrame
 ) -> list[str]:
     if not keys:

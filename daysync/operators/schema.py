@@ -9,19 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.columns import col
+from daysync.functions.shapes import alike, changes, fits, reshaped, united
 from daysync.sources.shards import SHARD, per_day
 
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_WIDER = {
-    T.ByteType: (*_INTEGERS[1:], T.FloatType, T.DoubleType),
-    T.ShortType: (*_INTEGERS[2:], T.FloatType, T.DoubleType),
-    T.IntegerType: (T.LongType, T.DoubleType),
-    T.FloatType: (T.DoubleType,),
-}
-
-
 Schemas = Mapping[str, T.StructType]
 
+_CHANGE = ("path", "source_type", "target_type", "change")
+
 
 def _listed(schema: T.StructType) -> Column:
     fields = [f for f in schema.fields if f.name != SHARD]
@@ -71,19 +65,29 @@ def drift(
     )
 
 
-# Digits that the whole numbers of a type may have.
-_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+def nested_drift(
+    source: DataFrame, target: DataFrame, source_schemas: Schemas | None = None, target_schemas: Schemas | None = None
+) -> DataFrame:
+    """``drift`` by path: ``(shard, path, source_type, target_type, change)``, fields of fields too.
 
+    A path goes through ``element`` of arrays, ``key`` and ``value`` of maps. Of a field that one
+    side lacks, or has as another kind, what lies in it is not listed. What differs follows from
+    the declared columns; of the rows only the shards are read, to know the days of both sides.
+    """
+    mine, theirs = source_schemas or {}, target_schemas or {}
 
-def widens(source: T.DataType, target: T.DataType) -> bool:
-    """Whether every ``source`` value has an exact ``target`` value."""
-    if isinstance(target, T.DecimalType):
-        if isinstance(source, T.DecimalType):
-            scale, digits = source.scale, source.precision - source.scale
-        else:
-            scale, digits = 0, _DIGITS.get(type(source), 99)
-        return target.scale >= scale and target.precision - target.scale >= digits
-    return source == target or type(target) in _WIDER.get(type(source), ())
+    def listed(day: str | None) -> Column:
+        sides = [
+            T.StructType([f for f in schemas.get(day, df.schema).fields if f.name != SHARD])
+            for schemas, df in ((mine, source), (theirs, target))
+        ]
+        rows = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(_CHANGE, c, strict=True)]) for c in changes(*sides)]
+        kind = "array<struct<" + ",".join(f"{n}:string" for n in _CHANGE) + ">>"
+        return F.array(*rows).cast(kind)
+
+    both = source.select(SHARD).distinct().join(target.select(SHARD).distinct(), SHARD, "left_semi")
+    found = per_day({day: listed(day) for day in dict.fromkeys([*mine, *theirs])}, listed(None))
+    return both.select(SHARD, F.explode(found).alias("c")).select(SHARD, "c.*")
 
 
 def empty_clone(df: DataFrame) -> DataFrame:
@@ -92,8 +96,9 @@ def empty_clone(df: DataFrame) -> DataFrame:
 
 
 def evolve(target: DataFrame, source: DataFrame) -> DataFrame:
-    """``target`` plus the columns only ``source`` has, NULL in existing rows."""
+    """``target`` plus the columns, and fields within columns, only ``source`` has, NULL in existing rows."""
     have = {c.lower(): c for c in target.columns}
+    kept = {f.name: col(f.name) for f in target.schema.fields}
     added = []
     for f in source.schema.fields:
         name = have.get(f.name.lower())
@@ -101,13 +106,18 @@ def evolve(target: DataFrame, source: DataFrame) -> DataFrame:
             added.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif name != f.name:
             raise ValueError(f"columns {name} and {f.name} differ in case only")
-    return target.select(*[col(c) for c in target.columns], *added)
+        else:
+            mine = target.schema[name].dataType
+            wide = united(mine, f.dataType)
+            if not alike(mine, wide):
+                kept[name] = reshaped(col(name), mine, wide).alias(name)
+    return target.select(*kept.values(), *added)
 
 
 def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     """``source`` with the columns, order and types of ``target``.
 
-    Columns the source lacks are NULL. A source type that does not fit the target's
+    Columns, and fields within columns, the source lacks are NULL. A source type that does not fit the target's
     without loss is refused: a merge never changes the type of a target column.
     """
     types = {f.name: f.dataType for f in source.schema.fields}
@@ -115,10 +125,10 @@ def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     for f in target.schema.fields:
         if f.name not in types:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif types[f.name] == f.dataType:
+        elif alike(types[f.name], f.dataType):
             out.append(col(f.name))
-        elif widens(types[f.name], f.dataType):
-            out.append(col(f.name).cast(f.dataType).alias(f.name))
+        elif fits(types[f.name], f.dataType):
+            out.append(reshaped(col(f.name), types[f.name], f.dataType).alias(f.name))
         else:
             raise ValueError(
                 f"column {f.name}: source {types[f.name].simpleString()} does not fit "

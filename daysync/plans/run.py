@@ -334,6 +334,7 @@ def sync_partitions(
         options["incremental_by"] = modified
     options.setdefault("order_by", [modified])
     wide = evolve(target, source)
+    publish.refuse_new_fields(spark, target_table, wide.schema)
     schema = T.StructType([f for f in wide.schema.fields if f.name != SHARD])
     run = publish.start(spark, root)
     written: dict[str, str | None] = {}

