@@ -2,10 +2,10 @@
 
 Only the number of pieces of each length matters for the plan, a table of at most
 ``capacity`` counts however many documents there are. The plan goes through the lengths from
-the longest down. What a piece leaves open is looked up among single lengths, sums of two
-and sums of three, by the counts still there, and a combination that fills it exactly is
-used as often as its counts allow. Where there is none, the longest length that fits goes in
-(best fit) and the lookup starts again with what is left.
+the longest down. What a piece leaves open is looked up in an index of the sums of one, two and
+three lengths that are still there, and a combination that fills it exactly is used as
+often as its counts allow. Where there is none, the longest length that fits goes in (best fit)
+and the lookup starts again with what is left.
 
 Pieces find their place by their number within their length. It is counted within chunks of
 a length, so a length that most documents have is dealt to many tasks, and the chunks are
@@ -41,53 +41,125 @@ class Pattern:
     count: int
 
 
+class Sums:
+    """An index of the sums of one, two and three lengths that are there.
+
+    By sum it holds in how many ordered ways it can be made, each length used at most as often
+    as it counts. Counts only fall, and only their steps to two, one and none change the index,
+    each in one pass over the sums. So a lookup is one read, and a gap that nothing fills costs no search.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.left = np.zeros(capacity + 1, np.int64)
+        for length, n in counts.items():
+            self.left[length] = n
+        # Ways without regard to counts, then the ways that use a single length more than once.
+        self._one = (self.left > 0).astype(np.int64)
+        self._two = self._product(self._one, self._one)
+        self._three = self._product(self._two, self._one)
+        self._single_twice = self._at_multiple(2, self.left == 1)
+        self._single_thrice = self._at_multiple(3, self.left == 1)
+        self._double_thrice = self._at_multiple(3, self.left == 2)
+        self._twice_and_one = self._product(self._single_twice, self._one)
+
+    def _product(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.convolve(a, b)[: len(self.left)]
+
+    def _at_multiple(self, times: int, chosen: np.ndarray) -> np.ndarray:
+        at = times * np.flatnonzero(chosen)
+        return np.bincount(at[at < len(self.left)], minlength=len(self.left))
+
+    def _shifted(self, ways: np.ndarray, by: int) -> np.ndarray:
+        out = np.zeros_like(ways)
+        if by < len(out):
+            out[by:] = ways[: len(out) - by]
+        return out
+
+    def pairs(self, total: int) -> int:
+        return int(self._two[total] - self._single_twice[total])
+
+    def triples(self, total: int) -> int:
+        # Three times one single length is taken off once for each place of the third.
+        thrice = 2 * self._single_thrice[total] - self._double_thrice[total]
+        return int(self._three[total] - 3 * self._twice_and_one[total] + thrice)
+
+    def take(self, length: int, n: int = 1) -> None:
+        before = min(int(self.left[length]), 3)
+        self.left[length] -= n
+        for count in range(before, min(int(self.left[length]), 3), -1):
+            self._fall(length, count)
+
+    def _fall(self, x: int, count: int) -> None:
+        """From ``count`` pieces of a length to one fewer."""
+        size = len(self.left)
+        if count <= 2:
+            sign = 1 if count == 2 else -1
+            if 2 * x < size:
+                self._single_twice[2 * x] += sign
+            if 3 * x < size:
+                self._single_thrice[3 * x] += sign
+            self._twice_and_one += sign * self._shifted(self._one, 2 * x)
+        if count >= 2 and 3 * x < size:
+            self._double_thrice[3 * x] += 1 if count == 3 else -1
+        if count == 1:  # (a - x)^3 and (a - x)^2, multiplied out
+            self._three -= 3 * self._shifted(self._two, x) - 3 * self._shifted(self._one, 2 * x)
+            self._two -= 2 * self._shifted(self._one, x)
+            self._twice_and_one -= self._shifted(self._single_twice, x)
+            self._one[x] = 0
+            if 2 * x < size:
+                self._two[2 * x] += 1
+            if 3 * x < size:
+                self._three[3 * x] -= 1
+
+    def filling(self, gap: int) -> tuple[int, ...] | None:
+        """One, two or three lengths that are there and fill the gap, the longest first."""
+        if self._one[gap]:
+            return (gap,)
+        if self.pairs(gap):
+            return _pair(self.left, gap, gap - 1)
+        if not self.triples(gap):
+            return None
+        for x in (np.flatnonzero(self._one[: gap - 1]))[::-1].tolist():
+            if self.pairs(gap - x):
+                self.left[x] -= 1
+                two = _pair(self.left, gap - x, x)
+                self.left[x] += 1
+                if two is not None:
+                    return (x, *two)
+        raise AssertionError(f"the index has a triple of {gap} that is not there")
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     """Patterns that use each length as often as it counts, no sequence over ``capacity``."""
-    left = np.zeros(capacity + 1, np.int64)
-    for length, n in counts.items():
-        left[length] = n
+    sums = Sums(counts, capacity)
+    left = sums.left
     out = []
     for longest in range(capacity, 0, -1):
         while left[longest]:
-            left[longest] -= 1
+            sums.take(longest)
             lengths, gap = [longest], capacity - longest
             while gap:
-                filling = _exact(left, gap)
+                filling = sums.filling(gap)
                 if filling is None:
                     fits = np.flatnonzero(left[1 : gap + 1])
                     if not len(fits):
                         break
                     filling = (int(fits[-1]) + 1,)
                 for x in filling:
-                    left[x] -= 1
+                    sums.take(x)
                     lengths.append(x)
                 gap -= sum(filling)
             # The same again, as often as every length of it is there.
             each = np.bincount(lengths, minlength=capacity + 1)
             used = np.flatnonzero(each)
             more = int((left[used] // each[used]).min())
-            left[used] -= more * each[used]
+            if more:
+                for x in used.tolist():
+                    sums.take(x, more * int(each[x]))
             out.append(Pattern(tuple(lengths), 1 + more))
     return out
 
 
-def _exact(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three lengths that are there and fill the gap, the longest first."""
-    if left[gap]:
-        return (gap,)
-    if (two := _pair(left, gap, gap - 1)) is not None:
-        return two
-    for x in (np.flatnonzero(left[1 : gap - 1]) + 1)[::-1].tolist():
-        if 3 * x < gap:
-            break
-        left[x] -= 1
-        two = _pair(left, gap - x, x)
-        left[x] += 1
-        if two is not None:
-            return (x, *two)
-    return None
-
-
 def _pair(left: np.ndarray, gap: int, most: int) -> tuple[int, int] | None:
     """Two lengths of this sum, the longer at most ``most``."""
     low, high = -(-gap // 2), min(most, gap - 1)

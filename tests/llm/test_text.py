@@ -1,6 +1,7 @@
 """Words, shingles, byte-level BPE and packing plans, without Spark."""
 
 import random
+import itertools
 from collections import Counter
 
 import brute
@@ -106,6 +107,30 @@ def test_complements_of_one_two_and_three_are_filled():
     assert sum(p.count for p in many) == 1000
 
 
+@given(st.dictionaries(st.integers(1, 24), st.integers(1, 4), max_size=9), st.lists(st.integers(0, 99), max_size=20))
+@settings(max_examples=60, deadline=None)
+def test_index_of_sums_holds_what_is_left(counts, taken):
+    """Against all ordered choices of two and three pieces, as pieces go one by one."""
+    capacity = 40
+    sums = packing.Sums(counts, capacity)
+    for step in [None, *taken]:
+        there = [k for k in counts if sums.left[k]]
+        if step is not None:
+            if not there:
+                break
+            sums.take(there[step % len(there)])
+        ways = {n: Counter() for n in (1, 2, 3)}
+        for n in ways:
+            for chosen in itertools.product(counts, repeat=n):
+                if sum(chosen) <= capacity and all(sums.left[k] >= c for k, c in Counter(chosen).items()):
+                    ways[n][sum(chosen)] += 1
+        for total in range(1, capacity + 1):
+            assert (sums.pairs(total), sums.triples(total)) == (ways[2][total], ways[3][total])
+            filling = sums.filling(total)
+            least = next((n for n in (1, 2, 3) if ways[n][total]), None)
+            assert (filling and len(filling)) == least and (filling is None or sum(filling) == total)
+
+
 def test_places_are_gapless():
     at = packing.places(packing.plan({40: 3, 24: 2, 10: 5, 64: 1}, 64))
     filled = {}
