@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.columns import col
-from daysync.functions.shapes import alike, changes, fits, reshaped, united
+from daysync.functions.shapes import alike, changes, fits, reshaped, united, widens  # noqa: F401  widens had its place here
 from daysync.sources.shards import SHARD, per_day
 
 Schemas = Mapping[str, T.StructType]
