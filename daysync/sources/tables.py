@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daysync.functions.shapes import united
+from daysync.sources.footers import by_spark, declared, footers
 from daysync.sources.shards import SHARD
 
 
@@ -63,18 +63,26 @@ def _folders(
 
 
 def shard_schemas(spark: SparkSession, path: str, shards: Iterable[str]) -> dict[str, T.StructType]:
-    """The columns of each shard, from the footers of its files, days side by side.
+    """The columns of each shard, from the footers of its files, all days in one job.
 
-    ``shards`` are the existing days of a lookback window: a few, not the table.
+    ``shards`` are the existing days of a lookback window: a few, not the table. Executors open the
+    files that Spark deals them; to the driver comes each set of columns that a day has, and
+    they are merged in the order of its files, to the wider type. A day with files that Spark did not
+    write, or on a file system that Python cannot open, is read by Spark, a job for each such day.
     """
     days = list(shards)
-
-    def columns(day: str) -> T.StructType:
-        read = spark.read.option("mergeSchema", "true")
-        return read.parquet(f"{path.rstrip('/')}/{SHARD}={day}").schema
-
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        return dict(zip(days, pool.map(columns, days), strict=True))
+    if not days:
+        return {}
+    folders, reader = _folders(spark, path, days)
+    files = reader.format("binaryFile").load(folders).select(F.col(SHARD), "path")
+    found: dict[str, list[str | None]] = {day: [] for day in days}
+    for row in sorted(footers(files).collect(), key=lambda r: r["path"]):
+        found[row["shard"]].append(row["columns"])
+    merged = {}
+    for day, folder in zip(days, folders, strict=True):
+        schemas = declared(found[day])
+        merged[day] = by_spark(spark, folder) if not schemas else merged_schema(schemas)
+    return merged
 
 
 def read_day_tables(spark: SparkSession, prefix: str, shards: Iterable[str]) -> DataFrame:

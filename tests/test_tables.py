@@ -53,6 +53,45 @@ def test_shard_is_text_again_and_old_days_read_new_columns_as_null(spark, path):
     assert [f.names for f in found.values()] == [["id"], ["id", "extra"]]
 
 
+def test_columns_of_all_days_come_from_one_job(spark, path):
+    for part in ("id long, a int", "id long, a bigint, b string", "id long, c struct<x:int>", "id long, c struct<x:int,y:array<int>>"):
+        df = spark.createDataFrame([], part).withColumn("n", F.lit(1))
+        for day in ("20260411", "20260412"):
+            if day == "20260411" or "c " not in part:
+                rows = spark.range(1).select(F.lit(day).alias("shard"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+                rows.write.mode("append").partitionBy("shard").parquet(path)
+    spark.range(3).write.parquet(f"{path}/shard=20260413")
+    spark.sparkContext.setJobGroup("footers", "footers of three days")
+    found = shard_schemas(spark, path, ["20260411", "20260412", "20260413"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("footers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {day: dict(sorted((f.name, f.dataType.simpleString()) for f in s)) for day, s in found.items()} == {
+        "20260411": {"a": "bigint", "b": "string", "c": "struct<x:int,y:array<int>>", "id": "bigint", "n": "int"},
+        "20260412": {"a": "bigint", "b": "string", "id": "bigint", "n": "int"},
+        "20260413": {"id": "bigint"},
+    }
+    assert all(f.nullable for s in found.values() for f in s)
+    # One action; adaptive execution runs its two stages as jobs of their own. Not a job for each day.
+    assert len(jobs) <= 2
+    assert shard_schemas(spark, path, []) == {}
+
+
+def test_days_of_other_writers_are_left_to_spark(spark, path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    write.write_day_table(days(spark, [("20260411", 1)], "shard string, id long"), path)
+    os.makedirs(f"{path}/shard=20260412")
+    pq.write_table(pa.table({"id": pa.array([1], pa.int32()), "at": pa.array([0], pa.timestamp("us"))}), f"{path}/shard=20260412/x y%20.parquet")
+    found = shard_schemas(spark, path, ["20260411", "20260412"])
+    assert {day: [f.dataType.simpleString() for f in s] for day, s in found.items()} == {
+        "20260411": ["bigint"], "20260412": ["int", "timestamp_ntz"],
+    }
+    for name in ("Id", "id"):  # one column to Spark, which takes either spelling
+        spark.range(1).toDF(name).write.mode("append").parquet(f"{path}/shard=20260413")
+    assert len(shard_schemas(spark, path, ["20260413"])["20260413"]) == 1
+
+
 def test_append_fills_left_out_columns(spark, path):
     table = days(spark, [("20260412", 1, "a", TIMES[0])])
     write.write_day_table(table, path)
