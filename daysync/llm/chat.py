@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 OPEN, AFTER_ROLE, CLOSE, AFTER_TURN = "<|", "|>\n", "<|end|>", "\n"
 ASSISTANT = "assistant"
 
+# What a turn holds is written so that no marker can arise in it: every ``<|`` gets a further bar.
+HELD, WRITTEN = "<|", "<||"
+
 TURNS = "array<struct<role:string,text:string>>"
 
 
@@ -35,10 +38,21 @@ def conversations(turns: DataFrame, id_column: str = "conv_id", turn_column: str
     return rows.select("id", F.transform(F.array_sort(keyed), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
+def _written(turns: Column) -> Column:
+    """The turns as they are put between markers; ``<||`` read as ``<|`` gives them back."""
+    held = lambda c: F.replace(c, F.lit(HELD), F.lit(WRITTEN))
+    return F.transform(turns, lambda t: F.struct(held(t["role"]).alias("role"), held(t["text"]).alias("text")))
+
+
 def _rendered(turn: Column) -> Column:
     return F.concat(F.lit(OPEN), turn["role"], F.lit(AFTER_ROLE), turn["text"], F.lit(CLOSE + AFTER_TURN))
 
 
+def rendered(turns: Column) -> Column:
+    """The text of an array of turns; a null array has none."""
+    return F.coalesce(_text(_written(turns)), F.lit(""))
+
+
 def _text(turns: Column) -> Column:
     return F.array_join(F.transform(turns, _rendered), "")
 
@@ -72,13 +86,16 @@ def format_preferences(pairs: DataFrame, chosen_column: str = "chosen", rejected
     ``chosen_mask`` and ``rejected_mask`` the spans of them that count for the loss: the
     assistant's turns. All other columns are kept; those named as a result are replaced. A
     null array is an empty conversation; of equal conversations all is prompt. An empty table
-    gives an empty result.
+    gives an empty result. A role or text that holds a marker cannot make a turn of its own: each
+    ``<|`` of it is written ``<||``, and masks count what is written. Roles are taken to be names:
+    one that begins with a bar or ends with ``<`` may be read wrongly, but adds no turn of the assistant.
     """
     made = ["n_common", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask"]
     others = [c for c in pairs.columns if c.lower() not in {*made, chosen_column.lower(), rejected_column.lower()}]
     empty = F.array().cast(TURNS)
     given = pairs.select(*others, F.coalesce(F.col(chosen_column), empty).alias("chosen"), F.coalesce(F.col(rejected_column), empty).alias("rejected"))
     given = given.withColumn("n_common", _common(F.col("chosen"), F.col("rejected")))
+    given = given.withColumns({c: _written(F.col(c)) for c in ("chosen", "rejected")})
     rest = {c: F.slice(c, F.col("n_common") + 1, F.size(c)) for c in ("chosen", "rejected")}
     return given.select(
         *others, "n_common", _text(F.slice("chosen", F.lit(1), F.col("n_common"))).alias("prompt"),

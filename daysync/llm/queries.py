@@ -84,7 +84,7 @@ def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return chat.format_preferences(pairs).select(
         F.col("id").alias("conv_id"), "n_turns", "n_common", "prompt", "chosen", spans("chosen_mask").alias("chosen_mask"),
-        "rejected", spans("rejected_mask").alias("rejected_mask"),
+        "rejected", spans("rejected_mask").alias("rejected_mask"), chat.rendered(F.col("after")).alias("after"),
     )
 
 

@@ -78,6 +78,10 @@ WITH given AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM given
 ), replies AS (
   SELECT conv_id, max(k) AS last FROM numbered WHERE role = 'assistant' GROUP BY conv_id
+), stale AS (
+  SELECT conv_id, string_agg('<|' || replace(role, '<|', '<||') || '|>' || chr(10) || replace(text, '<|', '<||') || '<|end|>' || chr(10), ''
+    ORDER BY k) AS after
+  FROM numbered JOIN replies USING (conv_id) WHERE k > last GROUP BY conv_id
 ), sides AS (
   SELECT n.*, n.k = r.last AS reply FROM numbered n LEFT JOIN replies r USING (conv_id)
   WHERE r.last IS NULL OR n.k <= r.last
@@ -88,8 +92,9 @@ WITH given AS (
   SELECT s.conv_id, s.k, s.role, s.text AS c, CASE WHEN s.reply THEN coalesce(e.text, '') ELSE s.text END AS r
   FROM sides s LEFT JOIN earlier e USING (conv_id)
 ), turns AS (
-  SELECT *, '<|' || role || '|>' || chr(10) AS head,
-    sum(CASE WHEN c <> r THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) > 0 AS apart
+  SELECT conv_id, k, role, replace(c, '<|', '<||') AS c, replace(r, '<|', '<||') AS r,
+    '<|' || replace(role, '<|', '<||') || '|>' || chr(10) AS head,
+    sum(CASE WHEN paired.c <> paired.r THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) > 0 AS apart
   FROM paired
 ), sized AS (
   SELECT *, coalesce(sum(length(head) + length(c) + 8) FILTER (apart) OVER w, 0) AS c_at,
@@ -103,8 +108,9 @@ SELECT conv_id, count(*)::INTEGER AS n_turns, count(*) FILTER (NOT apart)::INTEG
     FILTER (apart AND role = 'assistant'), '') AS chosen_mask,
   coalesce(string_agg(head || r || '<|end|>' || chr(10), '' ORDER BY k) FILTER (apart), '') AS rejected,
   coalesce(string_agg((r_at + length(head))::BIGINT || ':' || (r_at + length(head) + length(r) + 7)::BIGINT, ',' ORDER BY k)
-    FILTER (apart AND role = 'assistant'), '') AS rejected_mask
-FROM sized GROUP BY conv_id
+    FILTER (apart AND role = 'assistant'), '') AS rejected_mask,
+  coalesce(any_value(stale.after), '') AS after
+FROM sized LEFT JOIN stale USING (conv_id) GROUP BY conv_id
 """
 
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
