@@ -263,6 +263,20 @@ def replace_shard(spark, d):
     return replace_days(*_sides(spark, d), ["20240130"], "ts")
 
 
+def replace_narrows(spark, d):
+    """A column that only the replaced day declares goes with it, one that another day has too stays."""
+    source, target = _sides(spark, d)
+    recent = F.col(SHARD) == "20240130"
+    noted = target.withColumns({
+        "batch": F.when(recent, F.concat(F.lit("b"), F.col("event_id").cast("string"))),
+        "note": F.when(recent | (F.col(SHARD) == "20240129"), F.concat(F.lit("n"), F.col("event_id").cast("string"))),
+    })
+    schemas = {day: target.schema for day in _all_days()}
+    schemas |= {"20240130": noted.schema, "20240129": noted.drop("batch").schema}
+    plan = sync_plan(source, target, "d1_replace", time_column="ts", **WINDOW)
+    return apply_plan(source, noted, plan, ["event_id"], time_column="ts", target_schemas=schemas)
+
+
 def backfill_copy(spark, d):
     return backfill(*_sides(spark, d), snap.LOGICAL_DATE, snap.LOOKBACK, "ts")
 
@@ -577,6 +591,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_bucketed": merge_bucketed,
         "empty_clone": empty_clone_merge,
         "replace_shard": replace_shard,
+        "replace_narrows": replace_narrows,
         "backfill_copy": backfill_copy,
         "hybrid_result": hybrid_result,
         "replicate_result": replicate_result,

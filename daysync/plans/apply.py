@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row
 
 from daysync.functions.columns import col
 from daysync.operators.merge import mark_text, merge_incremental, upsert
-from daysync.operators.schema import conform, evolve
+from daysync.operators.schema import Schemas, conform, evolve
 from daysync.plans.policies import MERGE, REPLACING
 from daysync.sources.shards import DEFAULT_LOOKBACK, SHARD, in_shards, missing_shards
 
@@ -68,16 +68,32 @@ class Decisions:
 
 
 def replace_days(source: DataFrame, target: DataFrame, days: Sequence[str],
-                 time_column: str | None = None) -> DataFrame:
+                 time_column: str | None = None, target_schemas: Schemas | None = None) -> DataFrame:
     """The target with the given days taken from the source, in the columns of both.
 
-    A day the source does not have is gone from the result.
+    A day the source does not have is gone from the result. With ``target_schemas``, the columns of
+    the target's days as for ``schema.schema_rows``, a column only the target has goes with the last
+    day that declares it; without, it stays and is NULL in the replaced days.
     """
+    if target_schemas is not None:
+        target = target.drop(*_outlived(source, target, days, target_schemas))
     wide = evolve(target, source)
     copied = conform(in_shards(source, list(days), time_column), wide)
     return _other_days(wide, days).unionByName(copied)
 
 
+def _outlived(source: DataFrame, target: DataFrame, days: Sequence[str], schemas: Schemas) -> list[str]:
+    """Columns the source lacks that no day declares but the given ones.
+
+    The other days are fetched, one row each, and only if there is such a column.
+    """
+    mine = [c for c in target.columns if c not in source.columns]
+    if not mine:
+        return []
+    staying = [r[SHARD] for r in _other_days(target, days).select(SHARD).distinct().collect()]
+    return [c for c in mine if all(day in schemas and c not in schemas[day].names for day in staying)]
+
+
 def backfill(source: DataFrame, target: DataFrame, logical_date: date | str, lookback: int = DEFAULT_LOOKBACK,
              time_column: str | None = None) -> DataFrame:
     """The target with the days of the window it has no row of copied from the source."""
@@ -123,17 +139,18 @@ def apply_plan(
     keys: Sequence[str] | None = None,
     *,
     time_column: str | None = None,
+    target_schemas: Schemas | None = None,
     **options,
 ) -> DataFrame:
     """The whole target after the plan, in the columns of both sides.
 
-    ``keys`` and ``options`` are those of ``merge_days``.
+    ``keys`` and ``options`` are those of ``merge_days``, ``target_schemas`` that of ``replace_days``.
     """
     decisions = Decisions.of(plan)
     copied, merged = decisions.copied, decisions.merged
     if options.get("incremental_by"):
         copied, merged = [], decisions.changed
-    result = replace_days(source, target, copied, time_column)
+    result = replace_days(source, target, copied, time_column, target_schemas)
     if merged:
         done = merge_days(source, target, merged, keys, time_column=time_column, **options)
         result = _other_days(result, merged).unionByName(done.select(*[col(c) for c in result.columns]))

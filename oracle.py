@@ -256,6 +256,8 @@ def statements() -> dict[str, str]:
             f"SELECT {LISTED} FROM tgt WHERE shard <> '20240130' "
             f"UNION ALL SELECT {LISTED} FROM src WHERE shard = '20240130'"
         ),
+        "replace_narrows": "SELECT r.*, CASE WHEN shard = '20240129' THEN 'n' || CAST(event_id AS VARCHAR) END AS note FROM ("
+                           + _result("d1_replace", ["direct_transfer"], ["merge"]) + ") r",
         "backfill_copy": _with(
             f"SELECT {LISTED} FROM tgt UNION ALL SELECT {LISTED} FROM src WHERE shard NOT IN (SELECT shard FROM tgt) "
             "AND shard BETWEEN '20240124' AND '20240130'"

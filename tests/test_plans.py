@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from daysync.operators.schema import drift
 from daysync.plans import report
-from daysync.plans.apply import apply_plan
+from daysync.plans.apply import apply_plan, replace_days
 from daysync.plans.policies import POLICIES, plan_profiles, sync_plan
 from daysync.sources.shards import expected_shards, lookback_shards, missing_shards, profile
 
@@ -150,3 +150,24 @@ def test_drift_names_every_kind_of_change(spark):
     assert [(r["name"], r["change"]) for r in drift(empty, source, target_schemas=older).collect()] == [("new", "added")]
     plan = drift(source, target)._jdf.queryExecution().optimizedPlan().toString()
     assert "count" not in plan
+
+
+def test_replacement_drops_columns_no_other_day_declares(spark):
+    source = spark.createDataFrame([("20260412", 1, "a")], "shard string, id long, v string")
+    target = spark.createDataFrame(
+        [("20260412", 1, "x", "y"), ("20260411", 2, None, "z"), (None, 3, None, None)], "shard string, id long, old string, note string"
+    )
+    columns = {"20260412": target.schema, "20260411": target.drop("old").schema}
+
+    def names(days, rows, schemas):
+        return replace_days(source, rows, days, target_schemas=schemas).columns
+
+    dated = target.where("shard IS NOT NULL")
+    assert names(["20260412"], dated, columns) == ["shard", "id", "note", "v"]
+    assert names(["20260412", "20260411"], dated, columns) == ["shard", "id", "v"]
+    # Days that nothing is known of, and rows without a day, keep the columns of the frame.
+    assert names(["20260412"], target, columns) == names(["20260412"], dated, {}) == ["shard", "id", "old", "note", "v"]
+    assert names(["20260412"], dated, None) == ["shard", "id", "old", "note", "v"]
+    kept = replace_days(source, dated, ["20260412"], target_schemas=columns).collect()
+    assert sorted(map(tuple, kept)) == [("20260411", 2, "z", None), ("20260412", 1, None, "a")]
+    assert replace_days(source, target.drop("old", "note"), ["20260412"], target_schemas={}).columns == ["shard", "id", "v"]
