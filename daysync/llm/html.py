@@ -3,14 +3,16 @@
 A tree builder turns a page into elements that open and close in order, with the tags that
 HTML implies. The renderer follows them and writes what a reader sees: blocks apart from
 each other, items under their lists' markers, cells of a table in columns. Both keep stacks
-and never recurse, and every page is read once from front to back, so depth and length of a
-page only cost time in proportion. The text of a table may be longer than the table, as cells
+and never recurse, and every page is read from front to back, once, and again where what
+stands later bears on what stands before (rules of ``<style>``, lists numbered backwards), so
+depth and length of a page only cost time in proportion. The text of a table may be longer than the table, as cells
 are filled up to the width of their column.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,7 +26,7 @@ from daysync.llm.common import blocks, extended, ship
 # Elements by what HTML says of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = frozenset("head script style template noscript title datalist iframe noembed noframes audio video canvas object".split())
+HIDDEN = frozenset("head script style template noscript title datalist iframe noembed noframes audio video canvas object rp".split())
 CLOSE_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul li dt dd".split()
@@ -55,6 +57,10 @@ BEFORE_BODY = frozenset("html head body base link meta title style script noscri
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)|[^>=]++)*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
 _CSS_OPAQUE = re.compile(r"""/\*.*?(?:\*/|\Z)|"[^"]*+"?|'[^']*+'?|\((?:[^()"']|"[^"]*+"?|'[^']*+'?)*+\)?""", re.DOTALL)
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+_CSS_AT_RULE = re.compile(r"@[^{};]*+(?:;|\{(?:[^{}]++|\{[^{}]*+\}?)*+\}?|(?=\})|\Z)")
+_CSS_SELECTOR = re.compile(r"(\*|[A-Za-z][\w-]*+)?(?:([.#])([\w-]++))?")
+_SHOWN_BY = frozenset("display visibility content-visibility".split())
 _VISIBILITY = {"visible": True, "initial": True, "hidden": False, "collapse": False}
 _WHITE = re.compile(r"[ \t\n\r\f]+")
 
@@ -72,20 +78,65 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _declared(style: str) -> dict[str, str]:
-    """Properties of a style attribute with their values; the last counts, important ones before others.
+def _declared(style: str) -> dict[str, tuple[bool, str]]:
+    """Properties of a style with whether they are important, and values; the last counts, important ones before others.
 
     Comments, strings and what is in parentheses are left out of the values.
     """
-    plain: dict[str, str] = {}
-    important: dict[str, str] = {}
+    plain: dict[str, tuple[bool, str]] = {}
+    important: dict[str, tuple[bool, str]] = {}
     for declaration in _CSS_OPAQUE.sub(" ", style.lower()).split(";"):
         name, _, value = declaration.partition(":")
         value, sign, _ = value.partition("!")
-        (important if sign else plain)[name.strip()] = value.strip()
+        (important if sign else plain)[name.strip()] = bool(sign), value.strip()
     return plain | important
 
 
+class Rules:
+    """What the page's own rules say of what is shown, by selector.
+
+    Selectors are a tag, a class, an id, or a tag with one class or id; others, and rules inside
+    ``@media`` and the like, do not count. An element is looked up by its tag, id and classes.
+    """
+
+    def __init__(self) -> None:
+        self.found: dict[tuple[str, str, str], dict[str, tuple[tuple[bool, int, int], str]]] = {}
+        self.order = 0
+
+    def add(self, text: str) -> None:
+        for rule in _CSS_AT_RULE.sub(" ", _CSS_COMMENT.sub(" ", text)).split("}"):
+            selectors, _, body = rule.partition("{")
+            said = {n: v for n, v in _declared(body).items() if n in _SHOWN_BY} if body else {}
+            for selector in selectors.split(",") if said else ():
+                m = _CSS_SELECTOR.fullmatch(selector.strip())
+                if not m or not m[0]:
+                    continue
+                tag, kind, name = (m[1] or "*").lower(), m[2] or "", m[3] or ""
+                weight = {"": 0, ".": 10, "#": 100}[kind] + (tag != "*")
+                self.order += 1
+                mine = self.found.setdefault((tag, kind, name), {})
+                for prop, (sign, value) in said.items():
+                    rank = sign, weight, self.order
+                    if prop not in mine or mine[prop][0] < rank:
+                        mine[prop] = rank, value
+
+    def style(self, name: str, attributes: dict[str, str]) -> dict[str, str]:
+        """The properties that hold for an element; those of its own style go before rules of equal importance."""
+        best: dict[str, tuple[tuple[bool, int, int], str]] = {}
+        if "style" in attributes:
+            best = {p: ((sign, 1000, 0), value) for p, (sign, value) in _declared(attributes["style"]).items()}
+        if self.found:
+            marks = [("", ""), *((".", c) for c in attributes.get("class", "").split())]
+            if "id" in attributes:
+                marks.append(("#", attributes["id"]))
+            for kind, mark in marks:
+                for tag in ("*", name):
+                    for prop, said in self.found.get((tag, kind, mark), {}).items():
+                        if prop not in best or best[prop][0] < said[0]:
+                            best[prop] = said
+        return {prop: value for prop, (_, value) in best.items()}
+
+
 def tokens(page: str) -> Iterator[Event]:
     """``(kind, name or text, attributes)`` with the kinds open, close and text.
 
@@ -360,7 +411,7 @@ class Grid:
         wide: list[tuple[int, int, int]] = []
         for row in rows:
             for at, cell in row:
-                need = max(map(len, cell.lines), default=0)
+                need = max(map(_width, cell.lines), default=0)
                 first, last = rank[at], bisect_left(columns, at + cell.columns) - 1
                 if first == last:
                     widths[first] = max(widths[first], need)
@@ -380,29 +431,38 @@ class Grid:
                         # Cells that a page lays over each other stay apart.
                         gap = max(starts[rank[at]] - size, 2 if size else 0)
                         parts += [" " * gap, cell.lines[k]]
-                        size += gap + len(cell.lines[k])
+                        size += gap + _width(cell.lines[k])
                 out.append("".join(parts).rstrip())
         return out
 
 
 class Renderer:
-    """Writes events as text."""
+    """Writes events as text.
 
-    def __init__(self) -> None:
+    Of a closed ``<details>`` its summary is shown. ``totals`` are the items of the page's lists in the
+    order of their start tags, which lists numbered backwards start from.
+    """
+
+    def __init__(self, rules: Rules | None = None, totals: list[int] | None = None) -> None:
+        self.rules = rules or Rules()
+        self.totals = totals or []
+        self.items: list[int] = []  # of each list so far
+        self.folded = [""]  # of each open element, the child it still shows if it is closed, or "-" for none
         self.boxes = [Box()]
         self.unseen = 0  # open elements from the outermost one that is not shown
         self.visible = [True]  # of each open element, whether its own text is seen
         self.keep = 0  # open elements that keep white space
-        self.lists: list[list] = []  # whether numbered, the number
+        self.lists: list[tuple[bool, int]] = []  # whether numbered, and its place in the lists below
+        self.numbers: list[int] = []  # of each list, that of its next item
+        self.steps: list[int] = []  # and what it grows by
         self.tables: list[Grid] = []
-        self.ends: list[tuple[str, ...]] = []  # what to do when each open element closes
 
     def text(self) -> str:
         return "\n".join(self.boxes[0].finish())
 
     def feed(self, kind: str, name: str, attributes: dict[str, str]) -> None:
         if kind == "text":
-            if not self.unseen and self.visible[-1]:
+            if not self.unseen and self.visible[-1] and not self.folded[-1]:
                 self.boxes[-1].write(name, bool(self.keep))
         elif kind == "open":
             self._open(name, attributes)
@@ -412,10 +472,13 @@ class Renderer:
             self._close(name)
 
     def _open(self, name: str, attributes: dict[str, str]) -> None:
-        style = _declared(attributes["style"]) if "style" in attributes and not self.unseen else {}
-        if self.unseen or self._is_unseen(name, attributes, style):
+        style = {} if self.unseen else self.rules.style(name, attributes)
+        if self.unseen or self.folded[-1] not in ("", name) or self._is_unseen(name, attributes, style):
             self.unseen += 1
             return
+        if self.folded[-1]:
+            self.folded[-1] = "-"
+        self.folded.append("summary" if name == "details" and "open" not in attributes else "")
         visible = _VISIBILITY.get(style.get("visibility", ""), self.visible[-1])
         self.visible.append(visible)
         box = self.boxes[-1]
@@ -445,13 +508,21 @@ class Renderer:
         if name in ("pre", "textarea"):
             self.keep += 1
         elif name in ("ul", "ol", "menu", "dir"):
-            self.lists.append([name == "ol", _number(attributes.get("start", ""))])
+            place, backwards = len(self.items), name == "ol" and "reversed" in attributes
+            first = self.totals[place] if backwards and place < len(self.totals) else 1
+            self.lists.append((name == "ol", place))
+            self.items.append(0)
+            self.numbers.append(_number(attributes.get("start", ""), first))
+            self.steps.append(-1 if backwards else 1)
         elif name == "li":
-            if self.lists and self.lists[-1][0]:
-                marker = f"{self.lists[-1][1]}. "
-                self.lists[-1][1] += 1
-            else:
-                marker = "- "
+            marker = "- "
+            if self.lists:
+                numbered, place = self.lists[-1]
+                self.items[place] += 1
+                if numbered:
+                    number = _number(attributes.get("value", ""), self.numbers[place])
+                    self.numbers[place] = number + self.steps[place]
+                    marker = f"{number}. "
             box.margins.append(" " * len(marker))
             box.marker = marker if visible else ""
         elif name in ("dd", "blockquote"):
@@ -465,6 +536,7 @@ class Renderer:
 
     def _close(self, name: str) -> None:
         self.visible.pop()
+        self.folded.pop()
         if name in VOID:
             if name == "hr":
                 self.boxes[-1].block(1)
@@ -493,19 +565,48 @@ class Renderer:
             box.marker = ""
 
 
-def _number(text: str) -> int:
-    return int(text) if re.fullmatch(r"\s*-?[0-9]{1,9}\s*", text) else 1
+def _number(text: str, default: int) -> int:
+    return int(text) if re.fullmatch(r"\s*-?[0-9]{1,9}\s*", text) else default
+
+
+def _width(text: str) -> int:
+    """The columns a text takes: two for a wide sign, none for one that combines with another."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) else 1 + (unicodedata.east_asian_width(c) in "WF") for c in text)
 
 
 def _span(text: str, least: int, most: int) -> int:
     return min(max(int(text), least), most) if re.fullmatch(r"\s*[0-9]{1,9}\s*", text) else 1
 
 
+_STYLE, _REVERSED = re.compile("<style", re.IGNORECASE), re.compile("reversed", re.IGNORECASE)
+
+
+def _events(page: str) -> Iterator[Event]:
+    return TreeBuilder().events(tokens(page))
+
+
+def _rules(page: str) -> Rules:
+    rules, inside = Rules(), False
+    for kind, name, attributes in _events(page):
+        if kind == "text" and inside:
+            rules.add(name)
+        inside = kind == "open" and name == "style" and attributes.get("media", "").strip().lower() in ("", "all", "screen")
+    return rules
+
+
 def render(page: str | None) -> str:
     """The visible text of a page; empty for null."""
-    renderer = Renderer()
-    for event in TreeBuilder().events(tokens((page or "").replace("\x00", ""))):
+    page = (page or "").replace("\x00", "")
+    rules = _rules(page) if _STYLE.search(page) else Rules()
+    renderer = Renderer(rules)
+    for event in _events(page):
         renderer.feed(*event)
+    if renderer.items and _REVERSED.search(page):
+        renderer = Renderer(rules, renderer.items)
+        for event in _events(page):
+            renderer.feed(*event)
     return renderer.text().strip("\n")
 
 
@@ -514,7 +615,7 @@ def visible_text(pages: DataFrame, html_column: str = "html", text_column: str =
 
     Null and empty pages have an empty text. Text without any tag is a page too. Repeated rows
     each give a row; other columns are kept, one named as the result is replaced. An empty
-    table gives an empty result.
+    table gives an empty result. Of a page's style sheets those inside it count, see ``Rules``.
     """
     ship(pages.sparkSession)
     if text_column != html_column:

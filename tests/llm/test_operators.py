@@ -327,6 +327,32 @@ def test_pages_keep_every_visible_word(spark):
         assert "".join(found).replace("-", "") == "".join(w for w in plain.out if not re.fullmatch(r"\d+\.", w)).replace("-", "")
 
 
+def test_what_a_page_says_of_its_visibility():
+    pages = {
+        "<details><summary>S</summary>in<p>deep</details>after": "S\nafter",
+        "<details open><summary>S</summary>in</details>after": "S\nin\nafter",
+        "<details>in<summary>S <b>x</b></summary><summary>T</summary><ul><li>no</ul></details>z": "S x\nz",
+        "<details><summary>A</summary><details open><summary>B</summary>b</details></details>z": "A\nz",
+        "<ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby>": "ab",
+        "<ol><li>a<li value=7>b<li>c</ol>": "1. a\n7. b\n8. c",
+        "<ol reversed><li>a<li hidden>x<li>b<ol><li>i</ol><li>c</ol>": "3. a\n2. b\n   1. i\n1. c",
+        "<ol reversed start=10><li>a<li>b</ol><ul><li value=3>u</ul>": "10. a\n9. b\n\n- u",
+        "<style>.h, p#k {display: none}</style>a <b class='x h'>b</b><p id=k>c<p class=k>d<b id=k>e</b>": "a\n\nde",
+        "a<i>b</i><style>i{visibility:hidden} /* } */ @media print {b{display:none}} u{display:none}</style><b>c</b><u>d</u>": "ac",
+        "<style media=print>b{display:none}</style><b>x</b><i style='display:none'>y</i>": "x",
+        "<style>b{display:none !important} i{display:none} *{display:none} i, b, p, u{display:inline} body{display:block}</style>"
+        "<p><b style='display:inline'>x</b><i style='display:none'>y</i><u>z": "z",
+        "<style>.a{display:none} .a{display:block} #b{display:none} .c{display:block}</style><i class=a>x</i><i id=b class=c>y</i>": "x",
+        "<style>div > b, .a.b, b:hover {display:none}</style><div><b class='a b'>x": "x",
+        "<!-- <style>b{display:none}</style> --><b>x</b>": "x",
+        "<table><tr><td>日本語<td>a<tr><td>abcdef<td>b<tr><td>e\u0301<td>c</table>": "日本語  a\nabcdef  b\ne\u0301       c",
+    }
+    for page, text in pages.items():
+        assert html.render(page) == text, page
+    for part in ("@", "@{", "{", "/*", "b{display:none}", "b,", "}", "<li>", "<details>"):
+        html.render("<ol reversed><style>" * (part[0] != "<") + part * 200_000)  # time in proportion, or this takes hours
+
+
 def _rendered(turns):
     return "".join(f"<|{r or 'unknown'}|>\n{t or ''}<|end|>\n" for r, t in turns)
 
