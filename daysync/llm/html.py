@@ -103,7 +103,9 @@ class Rules:
         self.found: dict[tuple[str, str, str], dict[str, tuple[tuple[bool, int, int], str]]] = {}
         self.order = 0
 
-    def add(self, text: str) -> None:
+    def add(self, text: str) -> bool:
+        """Takes what a style sheet says; whether there is anything."""
+        before = self.order
         for rule in _CSS_AT_RULE.sub(" ", _CSS_COMMENT.sub(" ", text)).split("}"):
             selectors, _, body = rule.partition("{")
             said = {n: v for n, v in _declared(body).items() if n in _SHOWN_BY} if body else {}
@@ -119,6 +121,7 @@ class Rules:
                     rank = sign, weight, self.order
                     if prop not in mine or mine[prop][0] < rank:
                         mine[prop] = rank, value
+        return self.order > before
 
     def style(self, name: str, attributes: dict[str, str]) -> dict[str, str]:
         """The properties that hold for an element; those of its own style go before rules of equal importance."""
@@ -580,36 +583,53 @@ def _span(text: str, least: int, most: int) -> int:
     return min(max(int(text), least), most) if re.fullmatch(r"\s*[0-9]{1,9}\s*", text) else 1
 
 
-_STYLE, _REVERSED = re.compile("<style", re.IGNORECASE), re.compile("reversed", re.IGNORECASE)
+_REVERSED = re.compile("reversed", re.IGNORECASE)
 
 
 def _events(page: str) -> Iterator[Event]:
     return TreeBuilder().events(tokens(page))
 
 
-def _rules(page: str) -> Rules:
-    rules, inside = Rules(), False
-    for kind, name, attributes in _events(page):
-        if kind == "text" and inside:
-            rules.add(name)
-        inside = kind == "open" and name == "style" and attributes.get("media", "").strip().lower() in ("", "all", "screen")
-    return rules
+def _first(page: str) -> tuple[Renderer, bool]:
+    """A renderer that went through the page, and whether rules came after what they may bear on.
+
+    Rules of the head are known when the body begins; only ``html`` and ``head`` stand before them.
+    """
+    rules = Rules()
+    renderer = Renderer(rules)
+    before: list[Event] = []
+    sheet = body = late = False
+    for event in _events(page):
+        kind, name, attributes = event
+        if kind == "text" and sheet:
+            late |= rules.add(name) and body
+        sheet = kind == "open" and name == "style" and attributes.get("media", "").strip().lower() in ("", "all", "screen")
+        if kind == "open" and not body:
+            body = name == "body"
+            if name in ("html", "head"):
+                before.append(event)
+        renderer.feed(*event)
+    return renderer, late or bool(rules.found) and any(rules.style(name, attributes) for _, name, attributes in before)
 
 
 def render(page: str | None) -> str:
     """The visible text of a page; empty for null."""
     page = (page or "").replace("\x00", "")
-    rules = _rules(page) if _STYLE.search(page) else Rules()
-    renderer = Renderer(rules)
-    for event in _events(page):
-        renderer.feed(*event)
+    renderer, again = _first(page)
+    if again:
+        renderer = _again(page, renderer.rules, [])
     if renderer.items and _REVERSED.search(page):
-        renderer = Renderer(rules, renderer.items)
-        for event in _events(page):
-            renderer.feed(*event)
+        renderer = _again(page, renderer.rules, renderer.items)
     return renderer.text().strip("\n")
 
 
+def _again(page: str, rules: Rules, totals: list[int]) -> Renderer:
+    renderer = Renderer(rules, totals)
+    for event in _events(page):
+        renderer.feed(*event)
+    return renderer
+
+
 def visible_text(pages: DataFrame, html_column: str = "html", text_column: str = "text") -> DataFrame:
     """``pages`` with the visible text of each.
 

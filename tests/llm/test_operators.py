@@ -343,6 +343,10 @@ def test_what_a_page_says_of_its_visibility():
         "<style>b{display:none !important} i{display:none} *{display:none} i, b, p, u{display:inline} body{display:block}</style>"
         "<p><b style='display:inline'>x</b><i style='display:none'>y</i><u>z": "z",
         "<style>.a{display:none} .a{display:block} #b{display:none} .c{display:block}</style><i class=a>x</i><i id=b class=c>y</i>": "x",
+        "<html class=n><head><style>.n{visibility:hidden} b{visibility:visible}</style><body>x<b>y</b>": "y",
+        "<html><head><style>i{display:none}</style><style>p{display:none}</style></head><p>x</p><i>y</i>z<template><style>u{display:none}</style></template>": "z",
+        "<p>x<i>y</i><div><style>p{display:none}</style>z": "z",
+        "<ol reversed><li class=h>a<li>b</ol><style>.h{display:none}</style>": "1. b",
         "<style>div > b, .a.b, b:hover {display:none}</style><div><b class='a b'>x": "x",
         "<!-- <style>b{display:none}</style> --><b>x</b>": "x",
         "<table><tr><td>日本語<td>a<tr><td>abcdef<td>b<tr><td>e\u0301<td>c</table>": "日本語  a\nabcdef  b\ne\u0301       c",
