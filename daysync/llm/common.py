@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
 from daysync.session import work_folder
+from daysync.sources.files import Folder
 
 #: Bytes of text that a task handles at a time. A longer text makes a block of its own.
 BLOCK_BYTES = 4 << 20
 
 _shipped: set[str] = set()
 
+#: Paths that ``stored`` wrote, for each open ``scratch``.
+_scratches: list[list[str]] = []
+
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors once, so that their Python can import it."""
@@ -38,10 +43,31 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, safe from lost executors."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` makes inside are deleted at the end, failed or not.
+
+    What is to last has to be written by then: frames of inside read deleted tables afterwards.
+    """
+    made: list[str] = []
+    _scratches.append(made)
+    try:
+        yield
+    finally:
+        _scratches.pop()
+        for path in made:
+            Folder(spark, path).drop("")
+
+
+def stored(df: DataFrame, lasting: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, safe from lost executors.
+
+    It stays there unless a ``scratch`` is open; a ``lasting`` one stays anyway.
+    """
     spark = df.sparkSession
     path = work_folder(spark)
+    if _scratches and not lasting:
+        _scratches[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

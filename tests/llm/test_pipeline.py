@@ -1,9 +1,12 @@
 """The pipeline's stages on a small table."""
 
+import os
+
 import pytest
 
 import corpus_pipeline as pipeline
 from daysync.llm import minhash
+from daysync.llm.common import scratch, stored
 
 WORDS = [f"word{k}" for k in range(60)]
 CLEAN = " ".join(WORDS)
@@ -23,6 +26,24 @@ def _ids(df):
     return sorted((r["doc_id"] for r in df.collect()), key=lambda k: (k is None, k))
 
 
+def _tables(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    return set(os.listdir(shared)) if os.path.isdir(shared) else set()
+
+
+def test_tables_of_a_scratch_are_deleted(spark):
+    before = _tables(spark)
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        lasting = stored(spark.range(3), lasting=True)
+        with scratch(spark):
+            stored(spark.range(5))
+        assert stored(spark.range(4)).count() == 4 and len(_tables(spark) - before) == 2
+        1 / 0  # noqa: B018
+    assert len(_tables(spark) - before) == 1 and lasting.count() == 3
+    stored(spark.range(2))
+    assert len(_tables(spark) - before) == 2
+
+
 def test_stages_take_effect_and_keep_clean_rows(spark, docs):
     names = [n for n, _ in pipeline.STAGES]
     assert names == ["quality", "exact_dedup", "near_dedup", "pii", "packing"]
@@ -51,7 +72,9 @@ def test_run_on_the_smallest_tables(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     kept = {r["doc_id"] for r in step.collect()}
     assert sum((k in kept) == bool(q) for k, q in labels.items()) >= 0.95 * len(labels)
+    before = _tables(spark)
     out = pipeline.run(spark, folder)
+    assert len(_tables(spark) - before) == len(pipeline.STAGES)
     near = {r["id"] for r in minhash.near_duplicates(pipeline.drop_copies(spark, step, folder)).where("kept").collect()}
     assert {r["doc_id"] for r in out.collect()} == near
     sizes = {r["sequence_id"]: r["n"] for r in out.groupBy("sequence_id").agg({"length": "sum"}).toDF("sequence_id", "n").collect()}
