@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daysync.llm import exact, minhash, packing, pii, quality
-from daysync.llm.common import fresh, stored, table
+from daysync.llm.common import fresh, scratch, stored, table
 from daysync.llm.queries import VOCABULARY
 
 #: Documents of a lower score go.
@@ -67,5 +67,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        with scratch(spark):  # what a stage keeps for itself goes when its result is written
+            docs = stored(stage(spark, docs, sf_dir), lasting=True)
     return docs
