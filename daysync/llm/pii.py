@@ -337,8 +337,9 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """A field trained on a small table of labelled runs.
 
     The table has ``LINES`` and what the rules say of ``most_documents`` documents with
-    digits, those with the smallest hash of their id; it holds each kind of run once with its
-    number, long ones in pieces of ``most_words`` words. Rows without id are not used here.
+    digits, those with the smallest hash of their id; it holds the ``most_documents`` most frequent
+    kinds of run once with their number, which counts up to 100, long ones in pieces of ``most_words``
+    words. Rows without id are not used here.
     """
     ship(docs.sparkSession)
     given = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
@@ -368,8 +369,13 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     return fit(rows + 20 * labelled_lines())
 
 
+def _is_card(text: str) -> bool:
+    digits = _NOT_DIGIT.sub("", text)
+    return 12 <= len(digits) <= 19 and luhn(digits)
+
+
 def _added(texts: list[str], rules: list[list[tuple[int, int, int]]], model: Crf) -> list[list[tuple[int, int, int]]]:
-    """What the field finds in each text beside the rules' spans."""
+    """What the field finds in each text beside the rules' spans; a card has to have its check digit."""
     placed = [(k, run) for k, text in enumerate(texts) for run in runs(text)]
     found = model.decode([[features(texts[k][a:b]) for a, b in run] for k, run in placed])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
@@ -387,8 +393,10 @@ def _added(texts: list[str], rules: list[list[tuple[int, int, int]]], model: Crf
                 end -= 1
             while begin < end and texts[k][begin] in "\"'<[,;:":
                 begin += 1
-            if begin < end and not any(a < end and begin < b for a, b, _ in rules[k]):
-                out[k].append((begin, end, (labels[t] - 1) // 2))
+            kind = (labels[t] - 1) // 2
+            sound = begin < end and (KINDS[kind] != "card" or _is_card(texts[k][begin:end]))
+            if sound and not any(a < end and begin < b for a, b, _ in rules[k]):
+                out[k].append((begin, end, kind))
             t = stop
     return out
 
