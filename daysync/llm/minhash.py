@@ -17,12 +17,16 @@ of the words themselves, so no hash decides on a link:
 2. in tables that still hold several components, pairs between components. Texts there may
    meet by the thousand for a passage they all have. Of a linked pair, either text shares
    with the other all but a few of its shingles, so they share one among the rarest of each,
-   and in all no more than either shares with anyone. Pairs are therefore joined by their
-   rare shingles with this bound. Where the first shingle they share is one that many texts
-   have, so are all that they share, and only such shingles count for the bound: copies that
-   were changed too much to be linked with most of their group drop out before pairing.
-
-So a large group of near copies costs a link per member, not per pair, and no table is cut.
+   and of either text no more than from the first they share on, its rarest first. Pairs are
+   therefore joined by their rare shingles with this bound. Where a shingle is one that many
+   texts have, they are joined by the size of the smaller text too, in which each takes part only
+   where its bound suffices for such sizes, and those of the component that most there are of
+   are joined with others only: members of a group that are linked already are not paired, and
+   copies that were changed too much to be linked with most of their group drop out before pairing.
+
+So members of a large group that are linked cost a link each, not one per pair, and no table is
+cut. Texts around it that are in other components and little farther from it than links reach still
+meet by the square of their number, in the join and as pairs to confirm.
 """
 
 from __future__ import annotations
@@ -45,6 +49,8 @@ HALVES = 20
 ROWS = 4
 #: A shingle that more texts have is frequent; the number changes what is compared, not the result.
 FREQUENT = 16
+#: Classes of set sizes for each factor of e, where frequent shingles are met; changes no result.
+SIZES = 16
 
 
 def _multipliers(count: int) -> np.ndarray:
@@ -122,19 +128,58 @@ def _pairs_by_rare_shingles(texts: DataFrame, groups: DataFrame, words: int, per
     often = stored(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
     rows = stored(rows.join(often, "h"))
     # So many of its shingles a text must share with another.
-    sums = rows.groupBy("id", "n").agg(F.count("*").alias("shared"), F.count_if(F.col("df") > FREQUENT).alias("frequent"))
+    sums = rows.groupBy("id", "n").agg(F.count("*").alias("shared"))
     sums = sums.where(F.col("shared") * 100 >= F.col("n") * percent)
     ranked = rows.join(stored(sums), ["id", "n"])
     nth = F.row_number().over(Window.partitionBy("id", "n").orderBy("df", "h"))
     # The rarest of a text: those that no other has come first, and are not among the rows.
     most = F.col("shared") - F.ceil(F.col("n") * percent / 100) + 1
     rare = ranked.withColumn("nth", nth).where(F.col("nth") <= most)
-    rare = rare.withColumn("bound", F.when(F.col("df") > FREQUENT, F.col("frequent")).otherwise(F.col("shared")))
-    rare = stored(rare.join(groups, F.col("id") == F.col("rep")).select("h", "id", "n", "bound", "component"))
-    left = rare.toDF("h", "a", "n_a", "bound_a", "x")
-    right = rare.toDF("h", "b", "n_b", "bound_b", "y")
+    # Where the first shingle that two texts share is its nth, no more than the rest are shared.
+    rare = rare.withColumn("bound", F.col("shared") - F.col("nth") + 1)
+    rare = stored(rare.join(groups, F.col("id") == F.col("rep")).select("h", "df", "id", "n", "bound", "component"))
+    few, many = rare.where(F.col("df") <= FREQUENT).drop("df"), rare.where(F.col("df") > FREQUENT).drop("df")
+    smaller, larger = _by_sizes(many, percent)
+    found = (
+        _meeting(few, few, ["h"], percent)
+        .union(_meeting(larger.where("apart"), smaller, ["h", "size"], percent))
+        .union(_meeting(larger.where("not apart"), smaller.where("apart"), ["h", "size"], percent))
+    )
+    return found.distinct()
+
+
+def _by_sizes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` as the smaller text of a pair and as the larger one, by ``h`` and the class ``size`` of the smaller.
+
+    A row is left out where its bound is too low for any text of the other side. ``apart`` tells
+    the rows that are not of the component most rows of their ``h`` and ``size`` have; where all
+    are of one, none are returned.
+    """
+    n, bound = F.col("n"), F.col("bound") * (100 + percent)
+    least = F.ceil(n * percent / 100)
+    size_of = lambda number: F.floor(F.log(number.cast("double")) * SIZES).cast("int")
+    # A little less than the smallest of the class, as logarithms are rounded.
+    smallest = F.greatest(least.cast("double"), F.exp(F.col("size") / SIZES) * (1 - 1e-9))
+    smaller = rows.where(bound >= n * 2 * percent).withColumn("size", size_of(n))
+    larger = rows.withColumn("size", F.explode(F.sequence(size_of(least), size_of(n)))).where(bound >= (n + smallest) * percent)
+    sides = stored(smaller.withColumn("smaller", F.lit(True)).unionByName(larger.withColumn("smaller", F.lit(False))))
+    counts = sides.groupBy("h", "size", "component").agg(F.count("*").alias("rows"))
+    main = counts.groupBy("h", "size").agg(
+        F.max_by("component", F.struct("rows", "component")).alias("main"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    main = stored(main.where("x < y").select("h", "size", "main"))
+    sides = sides.join(main, ["h", "size"]).withColumn("apart", F.col("component") != F.col("main")).drop("main")
+    sides = stored(sides)
+    return sides.where("smaller"), sides.where("not smaller")
+
+
+def _meeting(larger: DataFrame, smaller: DataFrame, on: list[str], percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components, the first no smaller, that may share enough from where they meet."""
+    left = larger.select(*on, F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bound").alias("bound_a"), F.col("component").alias("x"))
+    right = smaller.select(*on, F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bound").alias("bound_b"), F.col("component").alias("y"))
     enough = F.least("bound_a", "bound_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    return left.join(right, "h").where((F.col("x") < F.col("y")) & enough).select("a", "b").distinct()
+    pairs = left.join(right, on).where((F.col("x") != F.col("y")) & (F.col("n_a") >= F.col("n_b")) & enough)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, share: Fraction) -> DataFrame:

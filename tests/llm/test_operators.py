@@ -76,6 +76,35 @@ def test_near_duplicates_in_a_group_changed_too_much_to_be_linked_with_all(spark
     assert found == brute.near_duplicates(texts, 4, 80)
 
 
+def test_near_duplicates_of_a_large_group_meet_less_often_than_it_has_pairs(spark, monkeypatch):
+    # Half of the group is one component, each text of the other half one of its own.
+    rng = np.random.default_rng(4)
+    texts = {}
+    for k in range(300):
+        words = [f"b{j}" for j in range(120)]
+        for j in rng.choice(120, 1 + k % 2 * 2 + k % 3, replace=False):
+            words[j] = f"e{rng.integers(0, 40)}"
+        texts[k] = " ".join(words)
+    component = {k: k if k % 2 else 0 for k in texts}
+    df = spark.createDataFrame([(k, t.encode()) for k, t in texts.items()], "id long, text binary")
+    groups = spark.createDataFrame(list(component.items()), "rep long, component long")
+    met, distinct = [], type(df).distinct
+
+    def counted(rows):
+        met.append(rows.count())
+        return distinct(rows)
+
+    monkeypatch.setattr(type(df), "distinct", counted)
+    pairs = {tuple(sorted(r)) for r in minhash._pairs_by_rare_shingles(df, groups, 4, 80).collect()}
+    sets = {k: brute.shingles(t, 4) for k, t in texts.items()}
+    links = {
+        (a, b) for a in texts for b in range(a + 1, len(texts)) if component[a] != component[b]
+        and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    assert links and links <= pairs
+    assert met[-1] < len(texts) * (len(texts) - 1) / 2
+
+
 def test_components_of_long_and_wide_links(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(159, 200), (300, 300), (None, 5)]
     df = spark.createDataFrame(links, "a long, b long")
